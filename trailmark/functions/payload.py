@@ -19,8 +19,12 @@ _NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 _END = "\ue000end"
 
 
+# An object whose first character is no quote cannot be parsed; skipping it saves a costly parser exception.
+_HOPELESS = r"""^\{\s*[^"}\s]"""
+
+
 def _wrapped(text: Column) -> Column:
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    return F.when(~text.rlike(_HOPELESS), F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))))
 
 
 def _unwrapped(doc: Column) -> Column:
@@ -63,32 +67,33 @@ def number_of(value: Column) -> Column:
 
 def is_filled(value: Column) -> Column:
     """False for an absent key, null, false, zero, and empty text, list or object; the text '0' is filled."""
-    shown = F.to_json(value)
-    empty = shown.isin("null", "false", '""', "[]", "{}")
-    zero = (_kind(value) != "STRING") & (F.coalesce(F.try_variant_get(value, "$", "double"), F.lit(1.0)) == 0)
-    return value.isNotNull() & ~empty & ~zero
-
+    kind = _kind(value)
+    shown = text_of(value)
+    filled = (
+        F.when(kind == "STRING", shown != "")
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~shown.isin("[]", "{}"))
+        .otherwise(F.try_variant_get(value, "$", "double") != 0)
+    )
+    return F.coalesce(filled, F.lit(False))
 
-def member(doc: Column, key: str) -> Column:
-    return F.try_variant_get(doc, f"$.{key}", "variant")
 
+def fields_of(payload: Column) -> Column:
+    """The keys that are read later, taken out of the payload in one go; NULL unless it is an object.
 
-def price_of(doc: Column) -> Column:
-    """Number under the first price key present; a bad value there is NULL, later keys are not tried."""
-    price = F.lit(None).cast("double")
-    for key in reversed(PRICE_KEYS):
-        value = member(doc, key)
-        price = F.when(value.isNotNull(), number_of(value)).otherwise(price)
-    return price
+    An absent key is a NULL field, a JSON null is not.
+    """
+    keys = ", ".join(f"{key} variant" for key in (*PRICE_KEYS, "quantity", "product_id", "item_id", "sku"))
+    item = ", ".join(f"{key} variant" for key in ("price", "quantity", "product_id", "item_id", "sku"))
+    return F.try_variant_get(payload, "$", f"struct<{keys}, items: array<struct<{item}>>>")
 
 
-def items_of(doc: Column) -> Column:
-    """The nested line items, NULL unless they are a list."""
-    return F.try_variant_get(doc, "$.items", "array<variant>")
+def price_of(fields: Column) -> Column:
+    """Number under the first price key present; a bad value there is NULL, later keys are not tried."""
+    return number_of(F.coalesce(*[fields[key] for key in PRICE_KEYS]))
 
 
 def _item_values(items: Column, key: str) -> Column:
-    return F.filter(F.transform(items, lambda item: member(item, key)), lambda value: value.isNotNull())
+    return F.filter(F.transform(items, lambda item: item[key]), lambda value: value.isNotNull())
 
 
 def items_total(items: Column, key: str) -> Column:
@@ -110,33 +115,28 @@ def _first_filled(values: list[Column]) -> Column:
     return F.coalesce(*[F.when(is_filled(value), text_of(value)) for value in tried], text_of(last))
 
 
-def with_payload_fields(df: DataFrame, doc: str = "event_data_parsed") -> DataFrame:
+def with_payload_fields(df: DataFrame, payload: str = "event_data_parsed") -> DataFrame:
     """Add price, quantity, product_id, unit_price and total.
 
-    Three projections: what several fields share is read from the payload once.
+    Separate projections: what several columns share is computed once.
     """
-    payload = F.col(doc)
-    top = {f"_{key}": member(payload, key) for key in ("quantity", "product_id", "item_id", "sku")}
-    nested = {f"_items_{key}": items_first(F.col("_items"), key) for key in ("product_id", "sku", "item_id")}
+    fields = F.col("_fields")
+    items = fields["items"]
+    nested = {f"_items_{key}": items_first(items, key) for key in ("product_id", "sku", "item_id")}
     price = F.col("price")
+    product = [fields["product_id"], fields["item_id"], fields["sku"], *[F.col(name) for name in nested]]
     return (
-        df.withColumns({"price": price_of(payload), "_items": items_of(payload), **top})
-        .withColumns(
-            {
-                **nested,
-                "quantity": F.when(is_filled(F.col("_quantity")), number_of(F.col("_quantity"))).otherwise(
-                    items_total(F.col("_items"), "quantity")
-                ),
-                "unit_price": F.when(price != 0, price).otherwise(items_total(F.col("_items"), "price")),
-            }
-        )
+        df.withColumn("_fields", fields_of(F.col(payload)))
+        .withColumns({"price": price_of(fields), **nested})
         .withColumns(
             {
-                "product_id": _first_filled(
-                    [F.col(name) for name in ("_product_id", "_item_id", "_sku", *nested)]
+                "quantity": F.when(is_filled(fields["quantity"]), number_of(fields["quantity"])).otherwise(
+                    items_total(items, "quantity")
                 ),
-                "total": F.col("unit_price") * F.col("quantity"),
+                "unit_price": F.when(price != 0, price).otherwise(items_total(items, "price")),
+                "product_id": _first_filled(product),
             }
         )
-        .drop("_items", *top, *nested)
+        .withColumn("total", F.col("unit_price") * F.col("quantity"))
+        .drop("_fields", *nested)
     )

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_AUTHORITY = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#]*)"
+# host part up to the path, query or fragment; brackets only as one pair
+_PLAIN = r"[^/?#\[\]]*"
+_AUTHORITY = rf"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//({_PLAIN}(?:\[{_PLAIN}\]{_PLAIN})?)(?:[/?#]|$)"
+
 _QUERY = r"^[^?#]*\?([^#]*)"
 
 UTM_KEYS = ("utm_source", "utm_medium", "utm_campaign")
 
 
 def authority(url: Column) -> Column:
-    """Lower-case ``user@host:port`` part, ``''`` if there is none, NULL for NULL or unbalanced brackets."""
-    host = F.lower(F.regexp_extract(url, _AUTHORITY, 1))
-    return F.when(F.contains(host, F.lit("[")) == F.contains(host, F.lit("]")), host)
+    """Lower-case ``user@host:port`` part, ``''`` if there is none, NULL for NULL."""
+    return F.lower(F.regexp_extract(url, _AUTHORITY, 1))
 
 
 def domain(url: Column) -> Column:
@@ -27,16 +29,30 @@ def percent_decode(text: Column) -> Column:
     return F.try_url_decode(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
-def query_parameter(url: Column, key: str) -> Column:
-    """First non-blank value of a query-string key, decoded."""
-    name = key.replace("_", "(?:_|%5[Ff])")
-    query = F.regexp_extract(url, _QUERY, 1)
-    raw = F.regexp_extract(query, f"(?:^|&){name}=([^&]+)", 1)
-    return percent_decode(F.nullif(raw, F.lit("")))
+def query_text(url: Column) -> Column:
+    """Text between the first ``?`` and the fragment; NULL where it cannot hold a campaign parameter."""
+    return F.when(F.contains(url, F.lit("utm")), F.regexp_extract(url, _QUERY, 1))
+
+
+def _parameter(names: str) -> str:
+    return rf"(?:^|&)(?:{names.replace('_', '(?:_|%5[Ff])')})=([^&]+)"
+
+
+def query_parameter(query: Column, key: str) -> Column:
+    """First non-blank value of a key in a query text, decoded."""
+    raw = F.regexp_extract(query, _parameter(key), 1)
+    return F.when(raw != "", percent_decode(raw))
+
+
+def with_utm(df: DataFrame, url: str = "page_url") -> DataFrame:
+    """Add the campaign parameters of a URL column."""
+    found = {key: query_parameter(F.col("_query"), key) for key in UTM_KEYS}
+    return df.withColumn("_query", query_text(F.col(url))).withColumns(found).drop("_query")
 
 
-def utm_columns(url: Column) -> dict[str, Column]:
-    return {key: query_parameter(url, key) for key in UTM_KEYS}
+def has_utm(url: Column) -> Column:
+    """Whether any campaign parameter has a value; false for NULL."""
+    return F.coalesce(query_text(url).rlike(_parameter("|".join(UTM_KEYS))), F.lit(False))
 
 
 def looks_anonymized(host: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.payload import with_payload, with_payload_fields
 from ..functions.text import CANONICAL, blank_to_null, repaired_event_name
 from ..functions.times import parse_utc
-from ..functions.urls import domain, utm_columns
+from ..functions.urls import domain, with_utm
 
 # Columns whose equality makes two cleaned rows copies of each other (NULL equals NULL).
 COPY_KEY = ("source_file", "timestamp", "event_name", "event_data", "page_url", "referrer", "client_id")
@@ -57,10 +57,15 @@ def keep_first(events: DataFrame, key: tuple[str, ...] = COPY_KEY, order: str =
     """The first row of each group of copies.
 
     Spark limits each group before the shuffle as well (WindowGroupLimit), so however many copies a group has,
-    every task sends one of them.
+    every task sends one of them. The hash comes first in the sort, so long texts are compared only between copies.
     """
-    copies = Window.partitionBy(*key).orderBy(order)
-    return events.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
+    copies = Window.partitionBy("_hash", *key).orderBy(order)
+    return (
+        events.withColumn("_hash", F.xxhash64(*key))
+        .withColumn("_copy", F.row_number().over(copies))
+        .where("_copy = 1")
+        .drop("_copy", "_hash")
+    )
 
 
 def count_copies(events: DataFrame, key: tuple[str, ...] = COPY_KEY) -> DataFrame:
@@ -74,9 +79,7 @@ def count_copies(events: DataFrame, key: tuple[str, ...] = COPY_KEY) -> DataFram
 def derive(events: DataFrame) -> DataFrame:
     """Timestamp, payload, campaign and referrer columns of normalized events."""
     parsed = with_payload(events.withColumn("timestamp_utc", parse_utc(F.col("timestamp"))))
-    return with_payload_fields(parsed).withColumns(
-        {**utm_columns(F.col("page_url")), "referrer_domain": domain(F.col("referrer"))}
-    )
+    return with_utm(with_payload_fields(parsed)).withColumn("referrer_domain", domain(F.col("referrer")))
 
 
 def clean_events(raw: DataFrame) -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
-from ..functions.payload import price_of, with_payload
+from ..functions.payload import fields_of, price_of, with_payload
 from ..functions.text import CANONICAL, KNOWN_EVENTS, PURCHASE
 from ..functions.times import parse_utc
-from ..functions.urls import authority, looks_anonymized, utm_columns
+from ..functions.urls import authority, has_utm, looks_anonymized
 
 # Columns whose equality makes two raw rows duplicates.
 DUPLICATE_KEY = ("source_file", "timestamp", "event_name", "event_data")
@@ -74,15 +74,15 @@ def _listing(rows: DataFrame, key: str, text: Column, around: str) -> DataFrame:
 def inspect(raw: DataFrame) -> DataFrame:
     """Raw events with parsed timestamp and payload and the flags that the checks count."""
     parsed = with_payload(raw.withColumn("timestamp_parsed", parse_utc(F.col("timestamp"))))
-    host = authority(F.col("referrer"))
-    return parsed.withColumns(
+    shared = {"referrer_domain": authority(F.col("referrer")), "_fields": fields_of(F.col("event_data_parsed"))}
+    return parsed.withColumns(shared).withColumns(
         {
             "json_error": F.col("event_data").isNotNull() & F.col("event_data_parsed").isNull(),
-            "referrer_anonymized": looks_anonymized(host),
-            "has_utm": F.coalesce(*utm_columns(F.col("page_url")).values()).isNotNull(),
-            "price": price_of(F.col("event_data_parsed")),
+            "referrer_anonymized": looks_anonymized(F.col("referrer_domain")),
+            "has_utm": has_utm(F.col("page_url")),
+            "price": price_of(F.col("_fields")),
         }
-    )
+    ).drop("_fields")
 
 
 def profile(raw: DataFrame) -> DataFrame:

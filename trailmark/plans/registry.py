@@ -104,8 +104,7 @@ def referrer_domain(spark, sf_dir):
 
 @query
 def utm_extract(spark, sf_dir):
-    found = urls.utm_columns(F.col("url"))
-    return _urls(spark, sf_dir, "page_url").select("origin", "id", *[c.alias(name) for name, c in found.items()])
+    return urls.with_utm(_urls(spark, sf_dir, "page_url"), "url").select("origin", "id", *urls.UTM_KEYS)
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +127,7 @@ def payload_parse_flags(spark, sf_dir):
 @query
 def payload_price(spark, sf_dir):
     return _payloads(spark, sf_dir).select(
-        "row_seq", "copy_no", payload.price_of(F.col("event_data_parsed")).alias("price")
+        "row_seq", "copy_no", payload.price_of(payload.fields_of(F.col("event_data_parsed"))).alias("price")
     )
 
 
@@ -137,7 +136,7 @@ def payload_items(spark, sf_dir):
     items = F.col("items")
     return (
         _payloads(spark, sf_dir)
-        .withColumn("items", payload.items_of(F.col("event_data_parsed")))
+        .withColumn("items", payload.fields_of(F.col("event_data_parsed"))["items"])
         .select(
             "row_seq",
             "copy_no",

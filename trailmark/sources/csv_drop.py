@@ -7,8 +7,6 @@ read with its own schema, and the groups are unioned by name.
 
 from __future__ import annotations
 
-import csv
-import io
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,36 +19,86 @@ from ..functions.text import CANONICAL, blank_to_null, squeeze
 _HEADER_BYTES = 1 << 20
 _BASE_NAME = r"([^/]+)$"
 _FOLDER_NAME = r"(?:[^/=]+=)?([^/]+)/[^/]+$"
+# file systems that the executors can open without Spark, by URI scheme
+_DIRECT = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
 
 
-def _first_record(path: str) -> list[str]:
-    from pyarrow import fs
+def _lineage(path: Column, lineage: str) -> Column:
+    pattern = {"file": _BASE_NAME, "folder": _FOLDER_NAME}[lineage]
+    return F.regexp_extract(path, pattern, 1)
 
-    filesystem, inner = fs.FileSystem.from_uri(path)
-    with filesystem.open_input_stream(inner, compression="detect") as stream:
-        head = stream.read(_HEADER_BYTES).decode("utf-8-sig", errors="replace")
-    return next(csv.reader(io.StringIO(head)), [])
 
+def _plain_path(uri: Column) -> Column:
+    """The listed form of a path that the scan metadata show URI-encoded."""
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
 
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(header=[_first_record(path) for path in batch["path"]])
 
+def _peek(files: DataFrame) -> DataFrame:
+    """First record of each file, from its first bytes.
 
-def _lineage(path: Column, lineage: str) -> Column:
-    pattern = {"file": _BASE_NAME, "folder": _FOLDER_NAME}[lineage]
-    return F.url_decode(F.regexp_extract(path, pattern, 1))
+    The function is local so that it travels to the executors by value; they need not have this package.
+    """
+    schemes, size = dict(_DIRECT), _HEADER_BYTES
+
+    def first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+        import io
+
+        from pyarrow import fs
+
+        for batch in batches:
+            headers = []
+            for path in batch["path"]:
+                scheme, rest = path.split(":", 1)
+                if scheme == "file":
+                    system, inner = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    system, inner = fs.FileSystem.from_uri(f"{schemes[scheme]}:{rest}")
+                with system.open_input_stream(inner, compression="detect") as stream:
+                    head = stream.read(size).decode("utf-8-sig", errors="replace")
+                headers.append(next(csv.reader(io.StringIO(head)), []))
+            yield batch.assign(header=headers)
+
+    return files.mapInPandas(first_records, "path string, header array<string>")
+
+
+def _scan(files: DataFrame, pattern: str) -> DataFrame:
+    """First line of each file by a text scan, for file systems that only Spark can open."""
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+
+        for batch in batches:
+            yield batch[["path"]].assign(header=[next(csv.reader([line or ""]), []) for line in batch["line"]])
+
+    lines = files.sparkSession.read.option("recursiveFileLookup", True).text(pattern)
+    first = (
+        lines.select(
+            _plain_path(F.col("_metadata.file_path")).alias("path"),
+            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+            "value",
+        )
+        .groupBy("path")
+        .agg(F.min_by("value", "place").alias("line"))
+    )
+    return files.join(first, "path", "left").mapInPandas(split, "path string, header array<string>")
 
 
-def header_catalog(spark: SparkSession, pattern: str, lineage: str = "file") -> DataFrame:
+def header_catalog(spark: SparkSession, pattern: str, lineage: str = "file", direct: bool | None = None) -> DataFrame:
     """One row per file: path, source_file, header (as written) and columns (trimmed, lower case).
 
     ``lineage`` names the source after the file or, where a day is a folder of part files, after the folder.
-    Only the file listing and the first bytes of each file are read. An empty listing raises.
+    Only the listing and the first bytes of each file are read, unless the file system needs a scan by Spark
+    (``direct`` overrides the choice). An empty listing raises.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
     files = files.where(F.col("path").endswith(".csv") | F.col("path").endswith(".csv.gz")).select("path")
-    return files.mapInPandas(_headers, "path string, header array<string>").select(
+    if direct is None:
+        any_path = files.head()
+        direct = any_path is None or any_path["path"].split(":", 1)[0] in _DIRECT
+    headers = _peek(files) if direct else _scan(files, pattern)
+    return headers.select(
         "path",
         _lineage(F.col("path"), lineage).alias("source_file"),
         "header",
@@ -81,7 +129,7 @@ def _canonical_columns(header: list[str]) -> dict[str, Column]:
 def read_header_group(
     spark: SparkSession, paths: list[str], header: list[str], lineage: str = "file", multiline: bool = True
 ) -> DataFrame:
-    """All files with one header: canonical names, every column text, plus lineage and row order."""
+    """All files with one header: canonical names, every column text, plus lineage."""
     schema = T.StructType([T.StructField(f"c{position}", T.StringType()) for position in range(len(header))])
     rows = (
         spark.read.schema(schema)
@@ -93,8 +141,7 @@ def read_header_group(
     )
     seen = [name.strip().lower() for name in header]
     return rows.select(
-        _lineage(F.col("_metadata.file_path"), lineage).alias("source_file"),
-        F.monotonically_increasing_id().alias("row_seq"),
+        _lineage(_plain_path(F.col("_metadata.file_path")), lineage).alias("source_file"),
         *[column.alias(name) for name, column in _canonical_columns(header).items()],
         F.lit("referrer" not in seen).alias("source_file_referrer_missing"),
     )
@@ -108,7 +155,8 @@ def union_by_header(groups: list[DataFrame]) -> DataFrame:
     for group in groups[1:]:
         union = union.unionByName(group, allowMissingColumns=True)
     absent = {name: F.lit(None).cast("string") for name in CANONICAL.values() if name not in union.columns}
-    return union.withColumns(absent) if absent else union
+    # numbered after the union, so that numbers are unique; rows of a file keep their order
+    return union.withColumns({**absent, "row_seq": F.monotonically_increasing_id()})
 
 
 def read_events(spark: SparkSession, pattern: str, lineage: str = "file", multiline: bool = True) -> DataFrame:

@@ -92,13 +92,19 @@ def _event_data() -> Column:
     )
 
 
+def _spread(events: DataFrame) -> DataFrame:
+    """Use all cores where the input is one small file; a table with enough splits is left as it is."""
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(cores, "event_id") if events.rdd.getNumPartitions() < cores else events
+
+
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events, text columns only but for ``row_seq`` and the file-level referrer flag."""
     n = F.col("event_id")
     ts = F.col("ts").cast("timestamp")
     agents = {i: F.lit(agent) for i, agent in enumerate(USER_AGENTS)}
     single = (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
+        _spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
         .withColumn("_drift_day", F.day("ts").between(5, 9))
         .select(
             F.concat(F.lit("events_"), F.date_format(ts, "yyyyMMdd"), F.lit(".csv")).alias("source_file"),
