@@ -75,7 +75,7 @@ def touches_by_purchase(events: DataFrame, days: int = LOOKBACK_DAYS, slice_seco
                 "last_here": F.when(F.col("role") == "probe", nothing).otherwise(F.col("last_here")),
             }
         )
-        .withColumn("slice", F.floor(F.col("us") / width))
+        .withColumn("slice", F.col("us") - F.pmod("us", F.lit(width)))
     )
 
     in_slice = Window.partitionBy("client_id", "slice").rowsBetween(Window.unboundedPreceding, 0)

@@ -10,6 +10,8 @@ the session before it, every further one is a session of its own (it has no prev
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +21,9 @@ from ..functions.times import micros, whole_seconds
 SESSION_GAP_SECONDS = 1800
 _SLICE_BITS = 16
 _SLICE = 1 << _SLICE_BITS
+_MAX_BROADCAST_CLIENTS = 100_000
 _DATED = "client_id IS NOT NULL AND timestamp_utc IS NOT NULL"
-_NO_SECOND = -(1 << 62)
+_LAST = 1 << 62
 _UNDATED = "client_id IS NOT NULL AND timestamp_utc IS NULL"
 
 
@@ -82,19 +85,25 @@ def sessions(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
             F.sum("bought").alias("purchases"),
         )
     )
-    if has_undated(events):
-        found = found.unionByName(_undated_sessions(events, gap), allowMissingColumns=True)
+    concerned = _clients_with_undated(events)
+    if concerned is not None:
+        found = found.unionByName(_undated_sessions(concerned, gap), allowMissingColumns=True)
     return found.withColumns(
         {"session_id": session_id(), "session_duration_seconds": _duration("session_start", "session_end")}
     )
 
 
-def has_undated(events: DataFrame) -> bool:
-    """Whether any client has undated events; on a stored table Parquet statistics answer this.
+def _clients_with_undated(events: DataFrame) -> DataFrame | None:
+    """The events of clients that have undated ones; None if there are none, which statistics of a stored table tell.
 
-    The steps for undated events read the table once more, so they are left out of the plan where there are none.
+    Few such clients are broadcast, after counting them up to a bound. Beyond the bound all events are returned:
+    the steps that follow look at the undated ones of whatever they get.
     """
-    return not events.where(_UNDATED).isEmpty()
+    clients = events.where(_UNDATED).select("client_id").distinct()
+    found = clients.limit(_MAX_BROADCAST_CLIENTS + 1).count()
+    if found == 0:
+        return None
+    return events.join(F.broadcast(clients), "client_id", "left_semi") if found <= _MAX_BROADCAST_CLIENTS else events
 
 
 def _undated_runs(grid: DataFrame) -> DataFrame:
@@ -150,40 +159,49 @@ def _with_bounds(grid: DataFrame) -> DataFrame:
 
 
 def session_events(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
-    """Every event of a client with the number and bounds of its session.
+    """Every event of a client with the number and bounds of its session."""
+    ts = F.col("timestamp_utc")
+
+    def bounded_grid(part: DataFrame) -> DataFrame:
+        return _with_bounds(second_grid(part, gap, start=F.min(ts), end=F.max(ts)))
+
+    return _on_grid(events, bounded_grid, ["session_start", "session_end"]).withColumns(
+        {"session_id": session_id(), "session_duration_seconds": _duration("session_start", "session_end")}
+    )
 
-    The numbered grid has one row per client and second, so the join back has one match per event; AQE splits the
-    event side where one second of one client holds very many events.
+
+def _on_grid(events: DataFrame, make_grid: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:
+    """Every event of a client with session_seq and the given columns of its grid row.
+
+    The grid has one row per client and second, so the join back has one match per event; AQE splits the event side
+    where one second of one client holds very many events.
     """
-    ts = F.col("timestamp_utc")
-    grid = _with_bounds(second_grid(events, gap, start=F.min(ts), end=F.max(ts)))
     found = (
         events.where(_DATED)
-        .withColumn("sec", whole_seconds(ts))
+        .withColumn("sec", whole_seconds(F.col("timestamp_utc")))
         .join(
-            grid.where("sec IS NOT NULL").select("client_id", "sec", "session_seq", "session_start", "session_end"),
+            make_grid(events).where("sec IS NOT NULL").select("client_id", "sec", "session_seq", *columns),
             ["client_id", "sec"],
         )
         .drop("sec")
     )
-    if has_undated(events):
-        found = found.unionByName(_undated_session_events(events, grid))
-    return found.withColumns(
-        {"session_id": session_id(), "session_duration_seconds": _duration("session_start", "session_end")}
-    )
+    concerned = _clients_with_undated(events)
+    if concerned is None:
+        return found
+    return found.unionByName(_undated_on_grid(concerned, make_grid(concerned), columns))
 
 
-def _undated_session_events(events: DataFrame, grid: DataFrame) -> DataFrame:
-    """Undated events with their session; the first one may share a client's last dated session and its bounds."""
+def _undated_on_grid(events: DataFrame, grid: DataFrame, columns: list[str]) -> DataFrame:
+    """Undated events with their session; the first one may share a client's last dated session and its columns."""
     by_time = Window.partitionBy("client_id").orderBy(F.asc_nulls_last("sec"))
-    last = {f"last_{side}": F.lag(f"session_{side}").over(by_time) for side in ("start", "end")}
+    last = {f"last_{name}": F.lag(name).over(by_time) for name in columns}
     runs = _undated_runs(grid.withColumns(last)).select("client_id", "first_seq", "last_dated", *last)
     joined = F.col("session_seq") == F.col("last_dated")
     return (
         _numbered_undated(events)
         .join(runs, "client_id")
         .withColumn("session_seq", F.col("first_seq") + F.col("nth"))
-        .withColumns({f"session_{side}": F.when(joined, F.col(f"last_{side}")) for side in ("start", "end")})
+        .withColumns({name: F.when(joined, F.col(f"last_{name}")) for name in columns})
         .drop("nth", "first_seq", "last_dated", *last)
     )
 
@@ -196,40 +214,28 @@ def session_sequences(events: DataFrame, gap: int = SESSION_GAP_SECONDS, part_ro
     events is cut by (micros, row order). Sorting by (part, cut_us, cut_row) gives the whole order.
     """
     in_session = Window.partitionBy("client_id", "session_seq").orderBy(F.asc_nulls_last("sec"))
-    by_time = Window.partitionBy("client_id").orderBy(F.asc_nulls_last("sec"))
-    undated = F.col("sec").isNull()
-    parts = (
-        second_grid(events, gap)
-        .withColumn("running", F.sum("n_events").over(in_session.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn(
-            "before",
-            F.when(undated, F.coalesce(F.lag("running").over(by_time), F.lit(0))).otherwise(
-                F.col("running") - F.col("n_events")
-            ),
-        )
-        .select(
-            "client_id",
-            F.coalesce("sec", F.lit(_NO_SECOND)).alias("sec"),
-            F.floor(F.col("before") / part_rows).alias("part"),
-            (~undated & (F.col("n_events") > part_rows)).alias("crowded"),
-        )
-    )
-    alone = F.col("session_start").isNull()
-    placed = (
-        session_events(events, gap)
-        .withColumn("sec", F.coalesce(whole_seconds(F.col("timestamp_utc")), F.lit(_NO_SECOND)))
-        .join(parts, ["client_id", "sec"])
-        .withColumns(
+    running = F.sum("n_events").over(in_session.rowsBetween(Window.unboundedPreceding, 0))
+
+    def counted_grid(part: DataFrame) -> DataFrame:
+        return second_grid(part, gap).withColumns(
             {
-                "part": F.when(alone, 0).otherwise(F.col("part")),
-                "cut_us": F.when(F.col("crowded"), micros(F.col("timestamp_utc"))).otherwise(0),
-                "cut_row": F.when(F.col("crowded"), F.shiftright("row_seq", 13)).otherwise(0),
+                "part": F.floor((running - F.col("n_events")) / part_rows),
+                "crowded": F.col("n_events") > part_rows,
             }
         )
+
+    narrow = events.select("client_id", "timestamp_utc", "row_seq", "event_name", "page_url")
+    undated = F.col("timestamp_utc").isNull()
+    crowded = F.col("crowded")
+    placed = _on_grid(narrow, counted_grid, ["part", "crowded"]).withColumns(
+        {
+            "session_id": session_id(),
+            "part": F.coalesce("part", F.lit(0)),
+            "cut_us": F.when(crowded, F.coalesce(micros(F.col("timestamp_utc")), F.lit(_LAST))).otherwise(0),
+            "cut_row": F.when(crowded & ~undated, F.shiftright("row_seq", 13)).otherwise(0),
+        }
     )
-    event = F.struct(
-        F.col("timestamp_utc").isNull().alias("undated"), "timestamp_utc", "row_seq", "event_name", "page_url"
-    )
+    event = F.struct(undated.alias("undated"), "timestamp_utc", "row_seq", "event_name", "page_url")
     return placed.groupBy("client_id", "session_seq", "session_id", "part", "cut_us", "cut_row").agg(
         F.transform(F.array_sort(F.collect_list(event)), lambda e: e.dropFields("undated")).alias("events_in_session")
     )
