@@ -70,7 +70,7 @@ def _scan(files: DataFrame, pattern: str) -> DataFrame:
         import csv
 
         for batch in batches:
-            yield batch[["path"]].assign(header=[next(csv.reader([line or ""]), []) for line in batch["line"]])
+            yield batch[["path"]].assign(header=[next(csv.reader([(line or "").lstrip("\ufeff")]), []) for line in batch["line"]])
 
     lines = files.sparkSession.read.option("recursiveFileLookup", True).text(pattern)
     first = (
