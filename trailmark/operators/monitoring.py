@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +16,17 @@ CRITICAL, WARN = "CRITICAL", "WARN"
 DUPLICATE_KEY = ("source_file", "timestamp_utc", "event_name", "event_data")
 
 
+REPORT_ORDER = (
+    "events",
+    "purchases",
+    "null_client_rate",
+    "dup_rate",
+    "json_error_rate",
+    "revenue_drop",
+    "direct_share",
+)
+
+
 @dataclass(frozen=True)
 class Limits:
     baseline_days: int = 7
@@ -58,24 +68,25 @@ def anchor_date(events: DataFrame) -> DataFrame:
     return events.agg(F.max(F.to_date("timestamp_utc")).alias("date"))
 
 
-def ingestion(sums: DataFrame) -> DataFrame:
-    rows = F.col("rows")
-    return sums.select(*_monitor("events", rows, rows == 0, CRITICAL, F.lit("No events ingested today")))
-
-
-def sales(sums: DataFrame) -> DataFrame:
-    n = F.col("purchases")
-    return sums.select(*_monitor("purchases", n, n == 0, CRITICAL, F.lit("No purchases recorded today")))
-
-
-def null_clients(sums: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    rate = F.col("null_client_rate")
-    return sums.select(*_rate_monitor("null_client_rate", rate, limits.null_client_rate, "High null client_id rate"))
+def _scalar_monitors(limits: Limits) -> dict[str, list[Column]]:
+    rows, purchases = F.col("rows"), F.col("purchases")
+    return {
+        "events": _monitor("events", rows, rows == 0, CRITICAL, F.lit("No events ingested today")),
+        "purchases": _monitor("purchases", purchases, purchases == 0, CRITICAL, F.lit("No purchases recorded today")),
+        "null_client_rate": _rate_monitor(
+            "null_client_rate", F.col("null_client_rate"), limits.null_client_rate, "High null client_id rate"
+        ),
+        "json_error_rate": _rate_monitor(
+            "json_error_rate", F.col("json_error_rate"), limits.json_error_rate, "JSON parse error rate high"
+        ),
+    }
 
 
-def json_errors(sums: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    rate = F.col("json_error_rate")
-    return sums.select(*_rate_monitor("json_error_rate", rate, limits.json_error_rate, "JSON parse error rate high"))
+def scalar_monitors(events: DataFrame, *names: str, limits: Limits = Limits()) -> DataFrame:
+    """The named monitors out of one pass; by default all of events, purchases, null_client_rate, json_error_rate."""
+    monitors_by_name = _scalar_monitors(limits)
+    rows = [F.struct(*monitors_by_name[name]) for name in names or monitors_by_name]
+    return totals(events).select(F.inline(F.array(*rows)))
 
 
 def duplicates(events: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -130,21 +141,11 @@ def direct_share(purchases: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def monitors(events: DataFrame, purchases: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """All monitors in report order; ``purchases`` is ``purchase_attribution(events)``."""
-    sums = totals(events)
-    steps: list[Callable[[], DataFrame]] = [
-        lambda: ingestion(sums),
-        lambda: sales(sums),
-        lambda: null_clients(sums, limits),
-        lambda: duplicates(events, limits),
-        lambda: json_errors(sums, limits),
-        lambda: revenue_drop(events, limits),
-        lambda: direct_share(purchases, limits),
-    ]
-    frames = [step().withColumn("position", F.lit(position)) for position, step in enumerate(steps)]
-    rows = frames[0]
-    for frame in frames[1:]:
+    rows = scalar_monitors(events, limits=limits)
+    for frame in (duplicates(events, limits), revenue_drop(events, limits), direct_share(purchases, limits)):
         rows = rows.unionByName(frame)
-    return rows
+    order = F.array(*[F.lit(name) for name in REPORT_ORDER])
+    return rows.withColumn("position", F.array_position(order, F.col("monitor")))
 
 
 def report(rows: DataFrame, date: DataFrame) -> DataFrame:

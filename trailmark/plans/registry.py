@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import payload, urls
 from ..functions.text import repaired_event_name
 from ..functions.times import micros, parse_utc
-from ..operators import attribution, cleaning, marts, monitoring, quality, sessions
+from ..operators import attribution, cleaning, drift, marts, monitoring, quality, sessions
 from ..session import configure, materialize, staged
 from ..sources import csv_drop, tables
 from ..sources.web_events import web_events, write_daily_files
@@ -23,6 +23,7 @@ from ..sources.web_events import web_events, write_daily_files
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
+_read: dict[str, DataFrame] = {}
 
 
 def query(function: Query) -> Query:
@@ -54,7 +55,10 @@ def cleaned_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_table(spark, cleaned_path(spark, sf_dir))
+    path = cleaned_path(spark, sf_dir)
+    if path not in _read:
+        _read[path] = tables.read_table(spark, path)
+    return _read[path]
 
 
 def daily_files(spark: SparkSession, sf_dir: str) -> str:
@@ -491,18 +495,17 @@ def monitor_anchor_date(spark, sf_dir):
 
 @query
 def monitor_health(spark, sf_dir):
-    sums = monitoring.totals(cleaned(spark, sf_dir))
-    return monitoring.ingestion(sums).unionByName(monitoring.sales(sums))
+    return monitoring.scalar_monitors(cleaned(spark, sf_dir), "events", "purchases")
 
 
 @query
 def monitor_null_client_rate(spark, sf_dir):
-    return monitoring.null_clients(monitoring.totals(cleaned(spark, sf_dir)))
+    return monitoring.scalar_monitors(cleaned(spark, sf_dir), "null_client_rate")
 
 
 @query
 def monitor_json_error_rate(spark, sf_dir):
-    return monitoring.json_errors(monitoring.totals(cleaned(spark, sf_dir)))
+    return monitoring.scalar_monitors(cleaned(spark, sf_dir), "json_error_rate")
 
 
 @query
@@ -530,6 +533,38 @@ def monitor_report(spark, sf_dir):
     )
 
 
+@query
+def daily_metrics(spark, sf_dir):
+    return drift.daily_metrics(cleaned(spark, sf_dir), attributed(spark, sf_dir, "total"))
+
+
+@query
+def monitor_conversion_drift(spark, sf_dir):
+    daily = drift.daily_metrics(cleaned(spark, sf_dir), attributed(spark, sf_dir, "total"))
+    return drift.relative_drop(daily, "conversion_rate", min_volume=10)
+
+
+@query
+def monitor_event_volume(spark, sf_dir):
+    daily = drift.daily_metrics(cleaned(spark, sf_dir), attributed(spark, sf_dir, "total"))
+    return drift.unusual_volume(daily)
+
+
+@query
+def monitor_integrity_rates(spark, sf_dir):
+    return drift.integrity_rates(cleaned(spark, sf_dir))
+
+
+@query
+def engagement(spark, sf_dir):
+    return drift.engagement(cleaned(spark, sf_dir))
+
+
+@query
+def platforms(spark, sf_dir):
+    return drift.platforms(cleaned(spark, sf_dir))
+
+
 # -- drifting files -----------------------------------------------------------------------------------------------
 
 
