@@ -34,6 +34,7 @@ def local_session(cores: str = "*", app: str = "trailmark", shuffle_partitions:
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
