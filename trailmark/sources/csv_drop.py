@@ -130,7 +130,10 @@ def read_header_group(
     spark: SparkSession, paths: list[str], header: list[str], lineage: str = "file", multiline: bool = True
 ) -> DataFrame:
     """All files with one header: canonical names, every column text, plus lineage."""
-    schema = T.StructType([T.StructField(f"c{position}", T.StringType()) for position in range(len(header))])
+    places = [f"c{position}" for position in range(len(header))]
+    # Spark warns about each file whose header differs from the schema, so the header's names are used if they can be
+    usable = all(header) and len({name.lower() for name in header}) == len(header)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (header if usable else places)])
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -140,8 +143,9 @@ def read_header_group(
         .csv(paths)
     )
     seen = [name.strip().lower() for name in header]
-    return rows.select(
-        _lineage(_plain_path(F.col("_metadata.file_path")), lineage).alias("source_file"),
+    placed = rows.select(F.col("_metadata.file_path"), "*").toDF("path", *places)
+    return placed.select(
+        _lineage(_plain_path(F.col("path")), lineage).alias("source_file"),
         *[column.alias(name) for name, column in _canonical_columns(header).items()],
         F.lit("referrer" not in seen).alias("source_file_referrer_missing"),
     )
