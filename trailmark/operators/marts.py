@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio, round_half_away
 from ..functions.text import PURCHASE
-from ..functions.times import micros
 from ..functions.user_agent import DEVICES, browser, device_type, operating_system
 from .attribution import revenue_of
 from .sessions import SESSION_GAP_SECONDS, client_activity, sessions
