@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,9 @@ def op8_bpe(spark, sf_dir):
     return bpe.decode(ids, path, public_tokenizers.PATTERN).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")
     )
+
+
+@query
+def op7_pii(spark, sf_dir):
+    """Personal data in every document."""
+    return pii.scan(table(spark, sf_dir, "documents"))
