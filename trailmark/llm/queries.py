@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii
+from . import bpe, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,10 @@ def op8_bpe(spark, sf_dir):
 def op7_pii(spark, sf_dir):
     """Personal data in every document."""
     return pii.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_simhash(spark, sf_dir):
+    """Near-duplicate groups of all documents: 4-word shingles, 4 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
