@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, simhash
+from . import bpe, licenses, oracles, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.SQL)
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -44,3 +44,9 @@ def op6_simhash(spark, sf_dir):
     """Near-duplicate groups of all documents: 4-word shingles, 4 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op1_licenses(spark, sf_dir):
+    """Licence scan of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
