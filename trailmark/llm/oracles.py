@@ -54,4 +54,40 @@ FROM norm LEFT JOIN found USING (doc_id)
 """
 
 
-SQL: dict[str, str] = {"op1_licenses": _licenses()}
+def deduplicated(docs: str) -> str:
+    """CTEs that end in ``kept(doc_id, n_lines, n_removed, n_runs, text)`` of a relation with unlike doc_ids."""
+    blanks = "' ' || chr(9) || chr(13) || chr(12) || chr(11)"
+    return f"""
+line AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM {docs}
+),
+bare AS (SELECT doc_id, line_no, raw, trim(raw, {blanks}) AS body FROM line),
+numbered AS (
+    SELECT *, row_number() OVER (ORDER BY doc_id, line_no) AS place, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS seq,
+        len(regexp_extract_all(body, '[^ \\t\\n\\r\\f\\v]+')) AS words FROM bare WHERE body <> ''
+),
+windowed AS (
+    SELECT *, body || chr(10) || lead(body, 1) OVER w || chr(10) || lead(body, 2) OVER w || chr(10) || lead(body, 3) OVER w AS four
+    FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY seq)
+),
+firsts AS (
+    SELECT *, min(place) OVER (PARTITION BY body) AS first_line, min(place) OVER (PARTITION BY four) AS first_four FROM windowed
+),
+covered AS (
+    SELECT *, (words >= 6 AND place > first_line)
+        OR coalesce(bool_or(four IS NOT NULL AND place > first_four) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN 3 PRECEDING AND CURRENT ROW), false) AS gone
+    FROM firsts
+),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY seq), false) AS opens FROM covered),
+kept AS (
+    SELECT b.doc_id, count(r.seq) AS n_lines, count(*) FILTER (r.gone) AS n_removed, count(*) FILTER (r.opens) AS n_runs,
+        coalesce(string_agg(b.raw, chr(10) ORDER BY b.line_no) FILTER (NOT coalesce(r.gone, false)), '') AS text
+    FROM bare b LEFT JOIN runs r USING (doc_id, line_no) GROUP BY b.doc_id
+)"""
+
+
+SQL: dict[str, str] = {
+    "op1_licenses": _licenses(),
+    "op9_line_dedup": f"WITH {deduplicated('documents')} SELECT doc_id, coalesce(n_lines, 0) AS n_lines, "
+    "coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs, sha256(kept.text) AS kept_sha256 FROM documents LEFT JOIN kept USING (doc_id)",
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, oracles, pii, simhash
+from . import bpe, licenses, line_dedup, oracles, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -50,3 +50,11 @@ def op6_simhash(spark, sf_dir):
 def op1_licenses(spark, sf_dir):
     """Licence scan of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    """Later copies of repeated line runs deleted from all documents."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")
+    )
