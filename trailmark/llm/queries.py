@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, line_dedup, oracles, pii, simhash
+from . import bpe, decontamination, licenses, line_dedup, oracles, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -58,3 +58,10 @@ def op9_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    """Benchmark items found in documents, with the most similar window."""
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", "n_words", "distance", "similarity")
