@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, licenses, line_dedup, oracles, pii, simhash
+from . import bpe, decontamination, licenses, line_dedup, oracles, pii, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -65,3 +65,16 @@ def op2_decontamination(spark, sf_dir):
     """Benchmark items found in documents, with the most similar window."""
     found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "start_word", "n_words", "distance", "similarity")
+
+
+@query
+def op3_quality(spark, sf_dir):
+    """Quality of every document, by a model fitted to labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(quality.held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
