@@ -21,12 +21,12 @@ def whole_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``function`` over every Arrow batch of ``df``. Batches are small, so that very long texts stay within memory."""
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 256) -> DataFrame:
+    """``function`` over Arrow batches of at most ``rows`` rows; few of them keep very long texts within memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                yield function(batch.slice(start, 256))
+            for start in range(0, batch.num_rows, rows):
+                yield function(batch.slice(start, rows))
 
     return df.mapInArrow(run, schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, licenses, line_dedup, oracles, pii, quality, simhash
+from . import ann, bpe, decontamination, licenses, line_dedup, oracles, pii, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -78,3 +78,9 @@ def op3_quality(spark, sf_dir):
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op5_ann(spark, sf_dir):
+    """The 20 nearest of every twentieth embedding."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
