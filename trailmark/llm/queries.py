@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontamination, licenses, line_dedup, oracles, pii, quality, simhash
+from . import ann, bpe, decontamination, licenses, line_dedup, oracles, pii, quality, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -84,3 +84,10 @@ def op3_quality(spark, sf_dir):
 def op5_ann(spark, sf_dir):
     """The 20 nearest of every twentieth embedding."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    """Strings of 50 bytes that an earlier document has, removed from all documents."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
