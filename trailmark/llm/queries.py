@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontamination, licenses, line_dedup, oracles, pii, quality, simhash, substring_dedup
+from . import ann, bpe, decontamination, html_extraction, licenses, line_dedup, oracles, pii, quality, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -91,3 +91,9 @@ def op10_substring_dedup(spark, sf_dir):
     """Strings of 50 bytes that an earlier document has, removed from all documents."""
     found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_html(spark, sf_dir):
+    """Main text of every page."""
+    return html_extraction.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
