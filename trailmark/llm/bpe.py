@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import gc
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -258,6 +259,18 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return map_batches(whole_text(docs), run, "doc_id long, n_tokens long, ids binary")
 
 
+def encode_to_arrays(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id, n_tokens, token_ids`` of every row, the ids as an array of int; otherwise as ``encode``."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column("ids").to_pylist()
+        offsets = np.cumsum([0, *(len(x) // 4 for x in ids)])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        return pa.record_batch([batch.column("doc_id"), batch.column("n_tokens"), lists], names=["doc_id", "n_tokens", "token_ids"])
+
+    return map_batches(encode(docs, path, pattern), run, "doc_id long, n_tokens long, token_ids array<int>")
+
+
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids, text``: the text of the ids, through the incremental decoder."""
     spread = _vocabulary(encoded.sparkSession, path)

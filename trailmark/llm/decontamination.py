@@ -221,6 +221,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, ra
     return found
 
 
+def without_matches(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no benchmark item is found."""
+    for block in _blocks(benchmark):
+        spread, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
+
+        def run(batch: pa.RecordBatch, spread=spread, key=key) -> pa.RecordBatch:
+            index, _ = _index(key, spread, radius)
+            return batch.filter(pa.array([not index.matches(text or "", least) for text in batch.column("text").to_pylist()], pa.bool_()))
+
+        docs = map_batches(docs, run, docs.schema)
+    return docs
+
+
 _made: dict[str, tuple[Index, list]] = {}
 
 

@@ -230,3 +230,13 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         return pa.record_batch({"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "score": pa.array(found, pa.float64())})
 
     return map_batches(whole_text(docs).withColumn("text_hash", F.xxhash64("text")), run, "doc_id long, text_hash long, score double")
+
+
+def keep_good(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        scores = [0.5 if model is None else model.score(text or "") for text in batch.column("text").to_pylist()]
+        return batch.filter(pa.array([score >= threshold for score in scores], pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)

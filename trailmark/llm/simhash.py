@@ -150,5 +150,23 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int, max_bits: int) -> D
     )
 
 
+def one_of_each(docs: DataFrame, words_per_shingle: int, max_bits: int) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``, all columns: that of smallest ``doc_id`` (null last), then smallest hash."""
+    found = near_duplicates(docs, words_per_shingle, max_bits)
+    no_id = F.lit(-(2**63))
+    kept = (
+        found.groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
+        .select(F.coalesce("best.doc_id", no_id).alias("kept_id"), F.col("best.text_hash").alias("kept_hash"))
+    )
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), no_id).alias("kept_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("kept_hash"),
+    )
+    keys = ["kept_id", "kept_hash"]
+    return keyed.join(kept, keys).dropDuplicates(keys).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
