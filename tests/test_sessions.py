@@ -89,21 +89,30 @@ def test_against_event_by_event(spark):
             assert found[key]["session_duration_seconds"] == int(dated[-1]["t"] // 1) - int(dated[0]["t"] // 1)
 
 
-def test_sequences_keep_order_in_bounded_parts(spark):
+def test_sequence_positions(spark):
     rows = _random_rows(2)
-    df = events(spark, rows)
-    whole = sessions.session_sequences(df).collect()
-    assert {row["part"] for row in whole} == {0}
-    assert len(whole) == sessions.sessions(df).count()
-    order = ["client_id", "session_seq", "part", "cut_us", "cut_row"]
-    parts = sessions.session_sequences(df, part_rows=5).orderBy(*order).collect()
-    assert max(row["part"] for row in parts) > 0
-    joined = {}
-    for row in parts:
-        joined.setdefault((row["client_id"], row["session_seq"]), []).extend(e["row_seq"] for e in row["events_in_session"])
-    assert joined == {
-        (row["client_id"], row["session_seq"]): [e["row_seq"] for e in row["events_in_session"]] for row in whole
+    rows += [{"row_seq": 1000 + i, "client": "long", "t": i * 3.0, "name": None, "source": None, "url": "/"} for i in range(12_000)]
+    members = {}
+    key = {row["row_seq"]: (row["t"] is None, row["t"] or 0, row["row_seq"]) for row in rows}
+    for row_seq, session in brute_sessions(rows).items():
+        members.setdefault(session, []).append(row_seq)
+    expected = {
+        row_seq: (*session, place) for session, mine in members.items() for place, row_seq in enumerate(sorted(mine, key=key.get), 1)
     }
+    found = sessions.session_sequence(events(spark, rows)).collect()
+    assert {r["row_seq"]: (r["client_id"], r["session_seq"], r["position"]) for r in found} == expected
+
+
+def test_sessions_over_days_run_no_job_and_scan_once(spark):
+    rows = [{"row_seq": i, "client": "d", "t": 86_400.0 * (i // 3) + 43_200 + (i % 3 - 1) * 900} for i in range(30)]  # across midnight
+    rows += [{"row_seq": 100 + i, "client": "e", "t": i * 1500.0} for i in range(400)]  # one session over a week
+    df = events(spark, rows)
+    got = {r["row_seq"]: (r["client_id"], r["session_seq"]) for r in sessions.session_events(df).collect()}
+    assert got == brute_sessions(rows)
+    bounds = {(r["client_id"], r["session_seq"]): r["session_duration_seconds"] for r in sessions.sessions(df).collect()}
+    assert bounds[("e", 1)] == 399 * 1500 and len(bounds) == 11
+    found = sessions.sessions(df)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
 
 
 def test_session_window_agrees(spark):
@@ -116,7 +125,6 @@ def test_session_window_agrees(spark):
 def test_many_undated_run_over_slices(spark, monkeypatch):
     monkeypatch.setattr(sessions, "_SLICE_BITS", 3)
     monkeypatch.setattr(sessions, "_SLICE", 8)
-    monkeypatch.setattr(sessions, "_MAX_BROADCAST_CLIENTS", 0)
     rows = [{"row_seq": i, "client": "h", "t": 5.0 if i == 7 else None} for i in range(40)]
     df = events(spark, rows)
     got = {r["row_seq"]: r["session_seq"] for r in sessions.session_events(df).collect()}
@@ -128,10 +136,8 @@ def test_users_and_agents(spark):
     rows = [{"t": 0, "ua": "x"}, {"t": 5, "ua": "y"}, {"t": 9, "ua": "x"}, {"t": 1, "client": "b"}]
     df = events(spark, rows)
     got = {row["client_id"]: row for row in sessions.users(df).collect()}
-    assert got["a"]["sample_user_agent"] == ["x", "y"] and got["b"]["sample_user_agent"] is None
+    assert got["a"]["n_user_agents"] == 2 and got["b"]["n_user_agents"] == 0
     assert got["a"]["first_seen"].timestamp() == at(0).timestamp()
-    limited = {row["client_id"]: row for row in sessions.users(df, max_agents=1).collect()}
-    assert limited["a"]["sample_user_agent"] == ["x"]
     assert sessions.user_agents(df).count() == 2
 
 

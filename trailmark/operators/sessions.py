@@ -1,8 +1,9 @@
 """Sessions and users.
 
 A session of a client ends where the next event is more than ``gap`` seconds away. That depends only on the distinct
-seconds at which the client was active, so events are first combined per (client, second), before the shuffle. However
-many events one client has, it brings at most 86,400 rows a day into the ordered window that numbers the sessions.
+seconds at which the client was active, so events are first combined per (client, second), before the shuffle. Seconds are
+then chained within (client, day), at most 86,400 rows each, and what is left of a day, one row per run of seconds, is chained
+over the days of a client: at most 49 rows a day with a gap of half an hour, however many events the client has.
 
 Events without a client belong to no session. Events without a timestamp come last: the first one of a client stays in
 the session before it, every further one is a session of its own (it has no previous time to compare with).
@@ -10,246 +11,197 @@ the session before it, every further one is a session of its own (it has no prev
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import PURCHASE
-from ..functions.times import micros, whole_seconds
+from ..functions.times import whole_seconds
 
 SESSION_GAP_SECONDS = 1800
+_DAY = 86_400
 _SLICE_BITS = 16
 _SLICE = 1 << _SLICE_BITS
-_MAX_BROADCAST_CLIENTS = 100_000
 _DATED = "client_id IS NOT NULL AND timestamp_utc IS NOT NULL"
-_LAST = 1 << 62
-_UNDATED = "client_id IS NOT NULL AND timestamp_utc IS NULL"
+
+#: figures of a second, and how those of several are combined
+_FIGURES = {
+    "start": (lambda: F.min("timestamp_utc"), F.min),
+    "end": (lambda: F.max("timestamp_utc"), F.max),
+    "last_touch": (
+        lambda: F.max(F.when(F.expr(f"utm_source IS NOT NULL AND {_DATED}"), F.struct("timestamp_utc", "row_seq", "utm_source"))),
+        F.max,
+    ),
+    "bought": (lambda: F.count_if((F.col("event_name") == PURCHASE) & F.col("timestamp_utc").isNotNull()), F.sum),
+}
 
 
 def session_id() -> Column:
     return F.concat(F.col("client_id"), F.lit("_session_"), F.col("session_seq").cast("string"))
 
 
-def second_grid(events: DataFrame, gap: int = SESSION_GAP_SECONDS, **aggregates: Column) -> DataFrame:
-    """One row per client and active second, numbered by session.
+def _duration(start: str, end: str) -> Column:
+    return whole_seconds(F.col(end)) - whole_seconds(F.col(start))
 
-    Columns: client_id, sec, n_events, first_seq, session_seq and the extra aggregates. The row with a NULL second
-    stands for all undated events of the client; they take the sessions first_seq .. session_seq.
+
+def seconds(events: DataFrame, gap: int, *figures: str) -> DataFrame:
+    """One row per client and active second: client_id, day, sec, n_events, run (numbered within the day) and the figures.
+
+    The row with a NULL second stands for all undated events of the client.
     """
     grid = (
         events.where(F.col("client_id").isNotNull())
         .groupBy("client_id", whole_seconds(F.col("timestamp_utc")).alias("sec"))
-        .agg(F.count("*").alias("n_events"), *[column.alias(name) for name, column in aggregates.items()])
+        .agg(F.count("*").alias("n_events"), *[_FIGURES[name][0]().alias(name) for name in figures])
+        .withColumn("day", F.floor(F.col("sec") / _DAY))
     )
-    by_time = Window.partitionBy("client_id").orderBy(F.asc_nulls_last("sec"))
-    previous = F.lag("sec").over(by_time)
+    in_day = Window.partitionBy("client_id", "day").orderBy("sec")
+    opened = F.when(F.col("sec") - F.lag("sec").over(in_day) > gap, 1).otherwise(0)
+    return grid.withColumn("opened", opened).withColumn("run", F.sum("opened").over(in_day)).drop("opened")
+
+
+def runs(grid: DataFrame, gap: int, *figures: str) -> DataFrame:
+    """One row per run of seconds within a day, with the number of its session.
+
+    Columns: client_id, day, run, n_events, first_seq, session_seq and the figures. The run of the undated events (NULL day)
+    takes the sessions first_seq .. session_seq, of which ``shared`` says whether the first one is a dated session too.
+    """
+    found = grid.groupBy("client_id", "day", "run").agg(
+        F.min("sec").alias("first_sec"),
+        F.max("sec").alias("last_sec"),
+        F.sum("n_events").alias("n_events"),
+        *[_FIGURES[name][1](name).alias(name) for name in figures],
+    )
+    by_time = Window.partitionBy("client_id").orderBy(F.asc_nulls_last("first_sec"))
+    previous = F.lag("last_sec").over(by_time)
+    undated = F.col("first_sec").isNull()
     opened = (
-        F.when(F.col("sec").isNull(), F.col("n_events") - F.when(previous.isNull(), 0).otherwise(1))
-        .when(previous.isNull() | (F.col("sec") - previous > gap), 1)
+        F.when(undated, F.col("n_events") - F.col("shared").cast("int"))
+        .when(previous.isNull() | (F.col("first_sec") - previous > gap), 1)
         .otherwise(0)
     )
-    numbered = grid.withColumn("opened", opened).withColumn(
-        "session_seq", F.sum("opened").over(by_time.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = (
+        found.withColumn("shared", undated & previous.isNotNull())
+        .withColumn("opened", opened)
+        .withColumn("session_seq", F.sum("opened").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
     )
-    first = F.when(F.col("sec").isNull(), F.col("session_seq") - F.col("n_events") + 1).otherwise(F.col("session_seq"))
+    first = F.when(undated, F.col("session_seq") - F.col("n_events") + 1).otherwise(F.col("session_seq"))
     return numbered.withColumn("first_seq", first).drop("opened")
 
 
-def _duration(start: str, end: str) -> Column:
-    return whole_seconds(F.col(end)) - whole_seconds(F.col(start))
-
-
 def sessions(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
     """One row per session with bounds, duration and the last campaign source seen in it.
 
-    Also carries ``purchases``, the dated purchases of the session.
+    Also carries ``purchases``, the dated purchases of the session. One pass over the events.
     """
-    ts, utm = F.col("timestamp_utc"), F.col("utm_source")
-    grid = second_grid(
-        events,
-        gap,
-        start=F.min(ts),
-        end=F.max(ts),
-        last_touch=F.max(F.when(utm.isNotNull(), F.struct(ts, "row_seq", utm))),
-        bought=F.count_if(F.col("event_name") == PURCHASE),
+    figures = ("start", "end", "last_touch", "bought")
+    placed = runs(seconds(events, gap, *figures), gap, *figures)
+    # undated events open one session each; very many are written out in slices of numbers that spread over tasks
+    low = F.col("first_seq") + F.col("shared").cast("int")
+    slices = F.when(low <= F.col("session_seq"), F.sequence(low, F.col("session_seq"), F.lit(_SLICE).cast("bigint")))
+    sliced = placed.withColumn("low", F.explode(F.when(F.col("day").isNull(), slices).otherwise(F.array("session_seq"))))
+    numbers = F.sequence("low", F.least(F.col("session_seq"), F.col("low") + _SLICE - 1))
+    spread = sliced.repartition("client_id", "low").withColumn("session_seq", F.explode(numbers))
+    found = spread.groupBy("client_id", "session_seq").agg(
+        F.min("start").alias("session_start"),
+        F.max("end").alias("session_end"),
+        F.max("last_touch")["utm_source"].alias("session_last_utm"),
+        F.sum("bought").alias("purchases"),
     )
-    # the window left the rows partitioned by client, so this adds no shuffle
-    found = (
-        grid.where(F.col("sec").isNotNull())
-        .groupBy("client_id", "session_seq")
-        .agg(
-            F.min("start").alias("session_start"),
-            F.max("end").alias("session_end"),
-            F.max("last_touch")["utm_source"].alias("session_last_utm"),
-            F.sum("bought").alias("purchases"),
-        )
-    )
-    concerned = _clients_with_undated(events)
-    if concerned is not None:
-        found = found.unionByName(_undated_sessions(concerned, gap), allowMissingColumns=True)
     return found.withColumns(
         {"session_id": session_id(), "session_duration_seconds": _duration("session_start", "session_end")}
     )
 
 
-def _clients_with_undated(events: DataFrame) -> DataFrame | None:
-    """The events of clients that have undated ones; None if there are none, which statistics of a stored table tell.
-
-    Few such clients are broadcast, after counting them up to a bound. Beyond the bound all events are returned:
-    the steps that follow look at the undated ones of whatever they get.
-    """
-    clients = events.where(_UNDATED).select("client_id").distinct()
-    found = clients.limit(_MAX_BROADCAST_CLIENTS + 1).count()
-    if found == 0:
-        return None
-    return events.join(F.broadcast(clients), "client_id", "left_semi") if found <= _MAX_BROADCAST_CLIENTS else events
-
-
-def _undated_runs(grid: DataFrame) -> DataFrame:
-    """The grid rows for undated events, with the last dated session of the client (NULL if it has none)."""
-    by_time = Window.partitionBy("client_id").orderBy(F.asc_nulls_last("sec"))
-    return grid.withColumn("last_dated", F.lag("session_seq").over(by_time)).where("sec IS NULL")
-
-
-def _undated_sessions(events: DataFrame, gap: int) -> DataFrame:
-    """Sessions that hold one undated event each, written out in bounded runs of numbers spread over tasks."""
-    low = F.coalesce(F.col("last_dated") + 1, F.col("first_seq"))
-    runs = (
-        _undated_runs(second_grid(events, gap))
-        .select("client_id", low.alias("low"), F.col("session_seq").alias("high"))
-        .where("low <= high")
-        .withColumn("low", F.explode(F.sequence("low", "high", F.lit(_SLICE).cast("bigint"))))
-    )
-    numbers = F.sequence("low", F.least(F.col("high"), F.col("low") + _SLICE - 1))
-    return runs.repartition("client_id", "low").select(
-        "client_id", F.explode(numbers).alias("session_seq"), F.lit(0).cast("bigint").alias("purchases")
-    )
+def _undated(events: DataFrame) -> DataFrame:
+    """Undated events of clients; a table stored by day has them in one folder."""
+    found = events.where("client_id IS NOT NULL AND timestamp_utc IS NULL")
+    return found.where("dt IS NULL") if "dt" in events.columns else found
 
 
-def _numbered_undated(events: DataFrame) -> DataFrame:
-    """Undated events of clients with ``nth``, their 0-based position by row order.
+def _on_runs(events: DataFrame, placed: DataFrame, grid: DataFrame, columns: list[str]) -> DataFrame:
+    """Every event of a client with session_seq and the given columns of its run.
 
-    Positions are counted in slices of the row order: at most 65,536 rows share a slice, and the slice counts are
-    summed up per client.
+    ``placed`` has one row per run and ``grid`` one per second, so a dated event has one match. Undated events are numbered
+    by row order in slices of at most 65,536 rows, and joined to one row per client and slice.
     """
-    undated = events.where(_UNDATED).withColumn("slice", F.shiftright("row_seq", _SLICE_BITS))
-    by_slice = Window.partitionBy("client_id").orderBy("slice")
-    offsets = (
+    by_second = grid.where("sec IS NOT NULL").join(
+        placed.where("day IS NOT NULL").select("client_id", "day", "run", "session_seq", *columns), ["client_id", "day", "run"]
+    )
+    dated = (
+        events.where(_DATED)
+        .withColumn("sec", whole_seconds(F.col("timestamp_utc")))
+        .join(by_second.select("client_id", "sec", "session_seq", *columns), ["client_id", "sec"])
+        .drop("sec")
+    )
+    undated = _undated(events).withColumn("slice", F.shiftright("row_seq", _SLICE_BITS))
+    before = F.sum("rows").over(Window.partitionBy("client_id").orderBy("slice")) - F.col("rows")
+    of_client = placed.where("day IS NULL").select("client_id", "first_seq", "shared", *columns)
+    slices = (
         undated.groupBy("client_id", "slice")
         .agg(F.count("*").alias("rows"))
-        .withColumn("offset", F.sum("rows").over(by_slice) - F.col("rows"))
-        .drop("rows")
+        .withColumn("before", before)
+        .join(of_client, "client_id")
     )
-    within = F.row_number().over(Window.partitionBy("client_id", "slice").orderBy("row_seq"))
-    return (
-        undated.withColumn("within", within)
-        .join(offsets, ["client_id", "slice"])
-        .withColumn("nth", F.col("offset") + F.col("within") - 1)
-        .drop("slice", "offset", "within")
-    )
-
-
-def _with_bounds(grid: DataFrame) -> DataFrame:
-    """Session bounds next to every grid row; the rows of a client are already together."""
-    session = Window.partitionBy("client_id", "session_seq")
-    return grid.withColumns(
-        {"session_start": F.min("start").over(session), "session_end": F.max("end").over(session)}
+    nth = F.row_number().over(Window.partitionBy("client_id", "slice").orderBy("row_seq"))
+    joined = F.col("shared") & (F.col("session_seq") == F.col("first_seq"))
+    numbered = (
+        undated.withColumn("nth", nth)
+        .join(slices, ["client_id", "slice"])
+        .withColumn("session_seq", F.col("first_seq") + F.col("before") + F.col("nth") - 1)
+        .withColumns({name: F.when(joined, F.col(name)) for name in columns})
+        .drop("nth", "slice", "rows", "before", "first_seq", "shared")
     )
+    return dated.unionByName(numbered)
 
 
 def session_events(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
     """Every event of a client with the number and bounds of its session."""
-    ts = F.col("timestamp_utc")
-
-    def bounded_grid(part: DataFrame) -> DataFrame:
-        return _with_bounds(second_grid(part, gap, start=F.min(ts), end=F.max(ts)))
-
-    return _on_grid(events, bounded_grid, ["session_start", "session_end"]).withColumns(
+    grid = seconds(events, gap, "start", "end")
+    # a session may have runs on several days, and the undated run takes the bounds of the session it shares
+    in_session = Window.partitionBy("client_id", "first_seq")
+    bounds = {"session_start": F.min("start").over(in_session), "session_end": F.max("end").over(in_session)}
+    placed = runs(grid, gap, "start", "end").withColumns(bounds)
+    return _on_runs(events, placed, grid, ["session_start", "session_end"]).withColumns(
         {"session_id": session_id(), "session_duration_seconds": _duration("session_start", "session_end")}
     )
 
 
-def _on_grid(events: DataFrame, make_grid: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:
-    """Every event of a client with session_seq and the given columns of its grid row.
+def session_sequence(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
+    """Every event of a client with its session and its ``position`` there, from 1, by time and row order.
 
-    The grid has one row per client and second, so the join back has one match per event; AQE splits the event side
-    where one second of one client holds very many events.
+    The events before a second are counted over the seconds of a day and over the runs of a session, those within a second by
+    its rows; so no array grows with a session.
     """
-    found = (
-        events.where(_DATED)
+    narrow = events.select(*[c for c in events.columns if c in ("client_id", "timestamp_utc", "row_seq", "event_name", "page_url", "dt")])
+    grid = seconds(narrow, gap)
+    in_run = Window.partitionBy("client_id", "day", "run").orderBy("sec")
+    counted = grid.withColumn("within", F.sum("n_events").over(in_run) - F.col("n_events"))
+    in_session = Window.partitionBy("client_id", "first_seq").orderBy(F.asc_nulls_last("first_sec"))
+    earlier = F.coalesce(F.sum("n_events").over(in_session.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = runs(grid, gap).withColumn("earlier", earlier)
+    by_second = (
+        counted.where("sec IS NOT NULL")
+        .join(placed.where("day IS NOT NULL").select("client_id", "day", "run", "session_seq", "earlier"), ["client_id", "day", "run"])
+        .select("client_id", "sec", "session_seq", (F.col("earlier") + F.col("within")).alias("earlier"))
+    )
+    in_second = Window.partitionBy("client_id", "sec").orderBy("timestamp_utc", "row_seq")
+    dated = (
+        narrow.where(_DATED)
         .withColumn("sec", whole_seconds(F.col("timestamp_utc")))
-        .join(
-            make_grid(events).where("sec IS NOT NULL").select("client_id", "sec", "session_seq", *columns),
-            ["client_id", "sec"],
-        )
-        .drop("sec")
-    )
-    concerned = _clients_with_undated(events)
-    if concerned is None:
-        return found
-    return found.unionByName(_undated_on_grid(concerned, make_grid(concerned), columns))
-
-
-def _undated_on_grid(events: DataFrame, grid: DataFrame, columns: list[str]) -> DataFrame:
-    """Undated events with their session; the first one may share a client's last dated session and its columns."""
-    by_time = Window.partitionBy("client_id").orderBy(F.asc_nulls_last("sec"))
-    last = {f"last_{name}": F.lag(name).over(by_time) for name in columns}
-    runs = _undated_runs(grid.withColumns(last)).select("client_id", "first_seq", "last_dated", *last)
-    joined = F.col("session_seq") == F.col("last_dated")
-    return (
-        _numbered_undated(events)
-        .join(runs, "client_id")
-        .withColumn("session_seq", F.col("first_seq") + F.col("nth"))
-        .withColumns({name: F.when(joined, F.col(f"last_{name}")) for name in columns})
-        .drop("nth", "first_seq", "last_dated", *last)
+        .withColumn("nth", F.row_number().over(in_second))
+        .join(by_second, ["client_id", "sec"])
+        .withColumn("position", F.col("earlier") + F.col("nth"))
+        .drop("sec", "nth", "earlier")
     )
+    undated = _on_runs(narrow, placed, grid, ["earlier"]).where("timestamp_utc IS NULL")
+    undated = undated.withColumn("position", F.coalesce("earlier", F.lit(0)) + 1).drop("earlier")
+    return dated.unionByName(undated).withColumn("session_id", session_id())
 
 
-def session_sequences(events: DataFrame, gap: int = SESSION_GAP_SECONDS, part_rows: int = 10_000) -> DataFrame:
-    """The events of each session in order, as arrays of (timestamp_utc, row_seq, event_name, page_url).
-
-    A session of up to ``part_rows`` events is one row, part 0. Longer ones go on in further rows, so that no array
-    grows without bound: parts follow the running event count per second, and a second with more than ``part_rows``
-    events is cut by (micros, row order). Sorting by (part, cut_us, cut_row) gives the whole order.
-    """
-    in_session = Window.partitionBy("client_id", "session_seq").orderBy(F.asc_nulls_last("sec"))
-    running = F.sum("n_events").over(in_session.rowsBetween(Window.unboundedPreceding, 0))
-
-    def counted_grid(part: DataFrame) -> DataFrame:
-        return second_grid(part, gap).withColumns(
-            {
-                "part": F.floor((running - F.col("n_events")) / part_rows),
-                "crowded": F.col("n_events") > part_rows,
-            }
-        )
-
-    narrow = events.select("client_id", "timestamp_utc", "row_seq", "event_name", "page_url")
-    undated = F.col("timestamp_utc").isNull()
-    crowded = F.col("crowded")
-    placed = _on_grid(narrow, counted_grid, ["part", "crowded"]).withColumns(
-        {
-            "session_id": session_id(),
-            "part": F.coalesce("part", F.lit(0)),
-            "cut_us": F.when(crowded, F.coalesce(micros(F.col("timestamp_utc")), F.lit(_LAST))).otherwise(0),
-            "cut_row": F.when(crowded & ~undated, F.shiftright("row_seq", 13)).otherwise(0),
-        }
-    )
-    event = F.struct(undated.alias("undated"), "timestamp_utc", "row_seq", "event_name", "page_url")
-    return placed.groupBy("client_id", "session_seq", "session_id", "part", "cut_us", "cut_row").agg(
-        F.transform(F.array_sort(F.collect_list(event)), lambda e: e.dropFields("undated")).alias("events_in_session")
-    )
-
-
-def users(events: DataFrame, gap: int = SESSION_GAP_SECONDS, max_agents: int = 1000) -> DataFrame:
-    """One row per client: first and last seen, sessions, and a sorted sample of user agents.
-
-    The sample holds all user agents of a client with up to ``max_agents`` of them, NULL if it has none;
-    ``user_agents`` lists all of them for every client.
-    """
-    ts = F.col("timestamp_utc")
+def users(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
+    """One row per client: first and last seen, sessions, and how many user agents; ``user_agents`` lists those."""
     seen = (
-        second_grid(events, gap, start=F.min(ts), end=F.max(ts))
+        runs(seconds(events, gap, "start", "end"), gap, "start", "end")
         .groupBy("client_id")
         .agg(
             F.min("start").alias("first_seen"),
@@ -257,16 +209,8 @@ def users(events: DataFrame, gap: int = SESSION_GAP_SECONDS, max_agents: int = 1
             F.max("session_seq").alias("session_count"),
         )
     )
-    # the limit is applied before the shuffle too
-    first = F.row_number().over(Window.partitionBy("client_id").orderBy("user_agent"))
-    agents = (
-        user_agents(events)
-        .withColumn("nth", first)
-        .where(F.col("nth") <= max_agents)
-        .groupBy("client_id")
-        .agg(F.array_sort(F.collect_list("user_agent")).alias("sample_user_agent"))
-    )
-    return seen.join(agents, "client_id", "left")
+    agents = user_agents(events).groupBy("client_id").agg(F.count("*").alias("n_user_agents"))
+    return seen.join(agents, "client_id", "left").withColumn("n_user_agents", F.coalesce("n_user_agents", F.lit(0)))
 
 
 def user_agents(events: DataFrame) -> DataFrame:
@@ -279,7 +223,7 @@ def user_agents(events: DataFrame) -> DataFrame:
 def client_activity(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
     """Events and sessions per client."""
     return (
-        second_grid(events, gap)
+        runs(seconds(events, gap), gap)
         .groupBy("client_id")
         .agg(F.sum("n_events").alias("n_events"), F.max("session_seq").alias("n_sessions"))
     )
@@ -291,14 +235,15 @@ def purchase_sessions(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> Data
     Sessions of a client do not overlap, so a purchase's own second names its session.
     """
     bought = events.where(F.col("event_name") == PURCHASE)
-    grid = second_grid(events, gap, has_purchase=F.max(F.col("event_name") == PURCHASE))
-    where = grid.where("has_purchase AND sec IS NOT NULL").select("client_id", "sec", "session_seq")
-    placed = (
+    grid = seconds(events, gap, "bought")
+    placed = runs(grid, gap).where("day IS NOT NULL").select("client_id", "day", "run", "session_seq")
+    of_second = grid.where("bought > 0").join(placed, ["client_id", "day", "run"]).select("client_id", "sec", "session_seq")
+    found = (
         bought.where(_DATED)
         .withColumn("sec", whole_seconds(F.col("timestamp_utc")))
-        .join(where, ["client_id", "sec"], "left")
+        .join(of_second, ["client_id", "sec"], "left")
         .drop("sec")
     )
-    return placed.unionByName(bought.where(f"NOT ({_DATED})"), allowMissingColumns=True).withColumn(
+    return found.unionByName(bought.where(f"NOT ({_DATED})"), allowMissingColumns=True).withColumn(
         "session_id", session_id()
     )
