@@ -17,5 +17,10 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def exact_sum(col: Column) -> Column:
+    """Sum of money as a decimal, which does not depend on the order of the rows."""
+    return F.sum(col.try_cast("decimal(38,4)"))
+
+
 def percent_text(col: Column, digits: int = 2) -> Column:
     return F.format_string(f"%.{digits}f%%", col * 100.0)

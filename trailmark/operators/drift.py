@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import ratio, round_half_away
+from ..functions.numbers import exact_sum, ratio, round_half_away
 from ..functions.text import KNOWN_EVENTS, PURCHASE
 from ..functions.user_agent import browser, device_type, operating_system
 from .monitoring import WARN
@@ -34,8 +34,8 @@ def daily_metrics(events: DataFrame, purchases: DataFrame, gap: int = SESSION_GA
     )
     is_mobile = device_type(F.col("user_agent")) == "mobile"
     sold = purchases.groupBy(day).agg(
-        F.sum("revenue").alias("revenue"),
-        F.sum(F.when(is_mobile, F.col("revenue"))).alias("mobile_revenue"),
+        exact_sum(F.col("revenue")).cast("double").alias("revenue"),
+        exact_sum(F.when(is_mobile, F.col("revenue"))).cast("double").alias("mobile_revenue"),
         F.count_if(first.isNotNull() & (first != last)).alias("assisted"),
     )
     return volume.join(begun, "day", "left").join(sold, "day", "left").select(

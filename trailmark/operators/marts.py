@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import ratio, round_half_away
+from ..functions.numbers import exact_sum, ratio, round_half_away
 from ..functions.text import PURCHASE
-from ..functions.user_agent import DEVICES, browser, device_type, operating_system
+from ..functions.user_agent import browser, device_type, operating_system
 from .attribution import revenue_of
 from .sessions import SESSION_GAP_SECONDS, client_activity, sessions
 
@@ -18,7 +18,7 @@ DIRECT = "direct"
 
 
 def _revenue() -> Column:
-    return F.sum(F.coalesce("revenue", F.lit(0.0))).alias("revenue")
+    return exact_sum(F.coalesce("revenue", F.lit(0.0))).cast("double").alias("revenue")
 
 
 def _purchases() -> Column:
@@ -33,10 +33,10 @@ def events_with_device(events: DataFrame) -> DataFrame:
 
 
 def daily_revenue(purchases: DataFrame) -> DataFrame:
-    value = F.coalesce("revenue", F.lit(0.0))
     return (
         purchases.groupBy(F.to_date("timestamp_utc").alias("date"))
-        .agg(_purchases(), _revenue(), F.avg(value).alias("avg_order_value"))
+        .agg(_purchases(), _revenue())
+        .withColumn("avg_order_value", ratio(F.col("revenue"), F.col("purchases")))
         .orderBy(F.asc_nulls_last("date"))
     )
 
@@ -91,9 +91,9 @@ def conversion_type_share(purchases: DataFrame) -> DataFrame:
 def revenue_reconciliation(events: DataFrame, purchases: DataFrame) -> DataFrame:
     """Revenue of the purchases before and after attribution, side by side."""
     raw = events.where(F.col("event_name") == PURCHASE).agg(
-        F.coalesce(F.sum(revenue_of("total")), F.lit(0.0)).alias("raw_revenue")
+        F.coalesce(exact_sum(revenue_of("total")).cast("double"), F.lit(0.0)).alias("raw_revenue")
     )
-    attributed = purchases.agg(F.coalesce(F.sum("revenue"), F.lit(0.0)))
+    attributed = purchases.agg(F.coalesce(exact_sum(F.col("revenue")).cast("double"), F.lit(0.0)))
     return raw.withColumn("attributed_revenue", attributed.scalar())
 
 
@@ -155,12 +155,12 @@ def revenue_per_session_client_join(events: DataFrame) -> DataFrame:
     spent = (
         events.where("client_id IS NOT NULL")
         .groupBy("client_id", device_type(F.col("user_agent")).alias("device_type"))
-        .agg(F.sum("total").alias("total"))
+        .agg(exact_sum(F.col("total")).alias("total"))
     )
     return (
         spent.join(client_activity(events), "client_id")
         .groupBy("device_type")
-        .agg(F.sum("n_sessions").alias("sessions"), F.sum(F.col("total") * F.col("n_events")).alias("revenue"))
+        .agg(F.sum("n_sessions").alias("sessions"), exact_sum(F.col("total") * F.col("n_events")).cast("double").alias("revenue"))
         .withColumn("revenue_per_session", ratio(F.col("revenue"), F.col("sessions")))
         .orderBy(F.desc_nulls_last("revenue_per_session"), "device_type")
     )
@@ -172,50 +172,24 @@ def revenue_by_device(
     """Revenue by device of the purchase, per distinct client and day.
 
     By default a purchase counts once per event of its client at the same instant, as a join of purchases back to
-    events on (client, time) does; ``dedup_join`` counts it once. The instants are combined first, with one pair of
-    columns per device, so the multiplicity comes out of the same aggregation.
+    events on (client, time) does; ``dedup_join`` counts it once, without looking at other events. Purchases are combined
+    first, and only the client and time of events are compared with their instants.
     """
-    ts = F.col("timestamp_utc")
-    device = device_type(F.col("user_agent"))
-    is_purchase = F.col("event_name") == PURCHASE
-    revenue = revenue_of(revenue_policy)
-    keyed = "client_id IS NOT NULL AND timestamp_utc IS NOT NULL"
-    day = F.to_date(ts)
-
-    def pairs(of: str) -> list[Column]:
-        mine = is_purchase & (F.col("_device") == of)
-        return [
-            F.count_if(mine).alias(f"n_{of}"),
-            F.sum(F.when(mine, F.col("_revenue"))).alias(f"revenue_{of}"),
-        ]
-
-    instants = (
-        events.where(keyed)
-        .select("client_id", "timestamp_utc", "event_name", device.alias("_device"), revenue.alias("_revenue"))
-        .groupBy("client_id", "timestamp_utc")
-        .agg(F.count("*").alias("events_here"), *[column for of in DEVICES for column in pairs(of)])
-    )
-    times = F.lit(1) if dedup_join else F.col("events_here")
-    by_device = F.array(
-        *[
-            F.struct(
-                F.lit(of).alias("device_type"),
-                F.col(f"n_{of}").alias("n"),
-                (F.col(f"revenue_{of}") * times).alias("revenue"),
-            )
-            for of in DEVICES
-        ]
-    )
-    matched = instants.select("client_id", day.alias("dt"), F.inline(by_device)).where("n > 0").drop("n")
-    alone = events.where(is_purchase & ~F.expr(keyed)).select(
-        "client_id", day.alias("dt"), device.alias("device_type"), revenue.alias("revenue")
-    )
+    bought = (
+        events.where(F.col("event_name") == PURCHASE)
+        .groupBy("client_id", "timestamp_utc", device_type(F.col("user_agent")).alias("device_type"))
+        .agg(exact_sum(revenue_of(revenue_policy)).alias("revenue"))
+    )
+    if not dedup_join:
+        instant = ["client_id", "timestamp_utc"]
+        instants = bought.where("client_id IS NOT NULL AND timestamp_utc IS NOT NULL").select(*instant).distinct()
+        here = events.select(*instant).join(instants, instant, "left_semi").groupBy(*instant).agg(F.count("*").alias("events_here"))
+        bought = bought.join(here, instant, "left").withColumn("revenue", F.col("revenue") * F.coalesce("events_here", F.lit(1)))
     return (
-        matched.unionByName(alone)
-        .groupBy("device_type", "client_id", "dt")
-        .agg(F.sum("revenue").alias("revenue"))
+        bought.groupBy("device_type", "client_id", F.to_date("timestamp_utc").alias("dt"))
+        .agg(exact_sum(F.col("revenue")).alias("revenue"))
         .groupBy("device_type")
-        .agg(F.count("client_id").alias("sessions"), F.sum("revenue").alias("revenue"))
+        .agg(F.count("client_id").alias("sessions"), exact_sum(F.col("revenue")).cast("double").alias("revenue"))
         .withColumn("revenue_per_session", round_half_away(ratio(F.col("revenue"), F.col("sessions")), 2))
         .orderBy(F.desc("revenue"), "device_type")
     )

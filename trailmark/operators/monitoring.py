@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import percent_text, ratio
+from ..functions.numbers import exact_sum, percent_text, ratio
 from ..functions.text import PURCHASE
 
 CRITICAL, WARN = "CRITICAL", "WARN"
 
-# Columns whose equality makes two cleaned events duplicates for the monitor.
+# Alert texts, below, and columns whose equality makes two cleaned events duplicates for the monitor.
 DUPLICATE_KEY = ("source_file", "timestamp_utc", "event_name", "event_data")
 
 
@@ -102,7 +102,7 @@ def daily_totals(events: DataFrame) -> DataFrame:
     return (
         events.where(F.col("event_name") == PURCHASE)
         .groupBy(F.to_date("timestamp_utc").alias("day"))
-        .agg(F.sum("total").alias("revenue"))
+        .agg(exact_sum(F.col("total")).alias("revenue"))
     )
 
 
@@ -118,8 +118,10 @@ def revenue_drop(events: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return (
         placed.agg(
             F.count("*").alias("days"),
-            F.max(F.when(F.col("nth") == 1, F.col("revenue"))).alias("latest"),
-            F.avg(F.when(F.col("nth") > 1, F.col("revenue"))).alias("baseline"),
+            F.max(F.when(F.col("nth") == 1, F.col("revenue"))).cast("double").alias("latest"),
+            ratio(
+                F.sum(F.when(F.col("nth") > 1, F.col("revenue"))), F.count(F.when(F.col("nth") > 1, F.col("revenue")))
+            ).alias("baseline"),
         )
         .withColumn(
             "drop",
@@ -133,7 +135,7 @@ def direct_share(purchases: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Share of revenue whose last touch is direct; NULL without any direct purchase or without revenue."""
     is_direct = F.coalesce("last_utm_source", F.lit("direct")) == "direct"
     return purchases.agg(
-        ratio(F.sum(F.when(is_direct, F.col("revenue"))), F.sum("revenue")).alias("share")
+        ratio(exact_sum(F.when(is_direct, F.col("revenue"))), exact_sum(F.col("revenue"))).alias("share")
     ).select(
         *_rate_monitor("direct_share", F.col("share"), limits.direct_share, "Direct traffic unusually high")
     )

@@ -20,8 +20,6 @@ DUPLICATE_KEY = ("source_file", "timestamp", "event_name", "event_data")
 REQUIRED = ("clientid", "pageurl", "referrer", "timestamp", "eventname", "eventdata", "useragent")
 SEVERE = ("timestamp", "eventname", "eventdata", "clientid", "pageurl")
 
-MAX_LISTED = 100
-
 
 def _check(name: str, status: Column, metric: Column, details: Column) -> list[Column]:
     return [
@@ -45,26 +43,14 @@ def _any(count: Column, status: str = "fail") -> Column:
 
 
 def _listing(rows: DataFrame, key: str, text: Column, around: str) -> DataFrame:
-    """One row: how many rows there are and their texts joined in key order.
+    """One row: how many rows there are and all their texts joined in key order.
 
-    A report lists the first hundred and says how many more there are; the full rows are a frame of their own.
+    The rows are files or event names, not events; they are a frame of their own too, for those who read them by machine.
     """
-    shown = (
-        rows.select(F.col(key).alias("key"), text.alias("text"))
-        .orderBy("key")
-        .limit(MAX_LISTED)
-        .agg(F.array_sort(F.collect_list(F.struct("key", "text"))).alias("shown"))
-    )
-    joined = F.array_join(F.transform("shown", lambda entry: entry["text"]), ", ")
-    more = F.col("found") - F.size("shown")
-    return shown.withColumn("found", rows.agg(F.count("*")).scalar()).select(
-        "found",
-        F.concat(
-            F.lit(around[0]),
-            joined,
-            F.when(more > 0, F.format_string(", and %d more", more)).otherwise(""),
-            F.lit(around[1]),
-        ).alias("listed"),
+    entries = F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), text.alias("text"))))
+    joined = F.array_join(F.transform("entries", lambda entry: entry["text"]), ", ")
+    return rows.agg(F.count("*").alias("found"), entries.alias("entries")).select(
+        "found", F.concat(F.lit(around[0]), joined, F.lit(around[1])).alias("listed")
     )
 
 
@@ -319,7 +305,7 @@ def report(raw: DataFrame, files: DataFrame, counts: DataFrame | None = None) ->
 
 
 def report_lines(rows: DataFrame) -> DataFrame:
-    """The report as Markdown, one line per row."""
+    """The report as Markdown, one line per row; headings and line form are fixed values."""
     entry = F.format_string("- **%s** → *%s* — %s", F.col("check"), F.col("status"), F.col("details"))
     head = rows.sparkSession.createDataFrame(
         [(-2, "# Incoming Data Quality Report\n"), (-1, "## Summary of Checks\n")], "position int, line string"

@@ -91,10 +91,12 @@ def event_name_remap(spark, sf_dir):
 
 def _urls(spark: SparkSession, sf_dir: str, event_column: str) -> DataFrame:
     """URLs of the events and of the crawled pages."""
-    own = raw_events(spark, sf_dir).where("copy_no = 0").select(
-        F.lit("event").alias("origin"), F.col("row_seq").alias("id"), F.col(event_column).alias("url")
+    own = raw_events(spark, sf_dir).select(
+        F.lit("event").alias("origin"), F.col("row_seq").alias("id"), "copy_no", F.col(event_column).alias("url")
+    )
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        F.lit("page").alias("origin"), F.col("page_id").alias("id"), F.lit(0).alias("copy_no"), "url"
     )
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.lit("page").alias("origin"), F.col("page_id").alias("id"), "url")
     return own.unionByName(pages)
 
 
@@ -102,13 +104,13 @@ def _urls(spark: SparkSession, sf_dir: str, event_column: str) -> DataFrame:
 def referrer_domain(spark, sf_dir):
     url = F.col("url")
     return _urls(spark, sf_dir, "referrer").select(
-        "origin", "id", urls.domain(url).alias("referrer_domain"), urls.authority(url).alias("authority")
+        "origin", "id", "copy_no", urls.domain(url).alias("referrer_domain"), urls.authority(url).alias("authority")
     )
 
 
 @query
 def utm_extract(spark, sf_dir):
-    return urls.with_utm(_urls(spark, sf_dir, "page_url"), "url").select("origin", "id", *urls.UTM_KEYS)
+    return urls.with_utm(_urls(spark, sf_dir, "page_url"), "url").select("origin", "id", "copy_no", *urls.UTM_KEYS)
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,27 +205,7 @@ def dedupe_dropped_count(spark, sf_dir):
     return cleaning.count_copies(cleaning.repair_names(raw_events(spark, sf_dir)))
 
 
-_CLEAN_COLUMNS = (
-    "row_seq",
-    "source_file",
-    "client_id",
-    "page_url",
-    "referrer",
-    "event_name",
-    "event_data",
-    "user_agent",
-    "utm_source",
-    "utm_medium",
-    "utm_campaign",
-    "price",
-    "total",
-    "quantity",
-    "product_id",
-    "referrer_domain",
-    "client_id_missing",
-    "source_file_referrer_missing",
-    "referrer_missing",
-)
+_CLEAN_COLUMNS = ("row_seq", *[c for c in cleaning.ENRICHED_COLUMNS if c not in ("timestamp_utc", "event_data_parsed")])
 
 
 @query
@@ -290,21 +272,8 @@ query(_sessions)
 
 @query
 def session_event_sequence(spark, sf_dir):
-    shown = F.transform(
-        "events_in_session",
-        lambda e: F.concat_ws(
-            "|",
-            F.coalesce(e["event_name"], F.lit("-")),
-            F.coalesce(micros(e["timestamp_utc"]).cast("string"), F.lit("-")),
-            F.coalesce(e["page_url"], F.lit("-")),
-        ),
-    )
-    return sessions.session_sequences(cleaned(spark, sf_dir)).select(
-        "client_id",
-        "session_seq",
-        "session_id",
-        F.size("events_in_session").cast("bigint").alias("n_events"),
-        F.array_join(shown, ";").alias("events_in_session"),
+    return sessions.session_sequence(cleaned(spark, sf_dir)).select(
+        "client_id", "session_seq", "session_id", "position", "row_seq", "event_name", "page_url", _us("timestamp_utc", "timestamp_us")
     )
 
 
@@ -315,7 +284,7 @@ def users(spark, sf_dir):
         _us("first_seen", "first_seen_us"),
         _us("last_seen", "last_seen_us"),
         "session_count",
-        F.array_join("sample_user_agent", ";").alias("sample_user_agent"),
+        "n_user_agents",
     )
 
 

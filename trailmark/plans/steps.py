@@ -40,6 +40,9 @@ def check(spark: SparkSession, pattern: str, out: Layout, lineage: str = "file")
     tables.write_table(quality.report(raw, files, counts), out.path("dq_checks.parquet"))
     rows = tables.read_table(spark, out.path("dq_checks.parquet"))
     tables.write_lines(quality.report_lines(rows), out.path("dq_report.md"))
+    tables.write_table(quality.unusual_files(counts, files.select("source_file")), out.path("dq_unusual_files.parquet"))
+    tables.write_table(quality.invalid_event_names(counts), out.path("dq_invalid_event_names.parquet"))
+    tables.write_table(quality.missing_columns(files), out.path("dq_missing_columns.parquet"))
     sample = quality.issue_sample(raw).drop("event_data_parsed")
     tables.write_csv(sample, out.path("detected_issues_sample.csv"))
     return rows
@@ -96,4 +99,5 @@ def write_sessions(spark: SparkSession, out: Layout) -> None:
     events = tables.read_table(spark, out.cleaned)
     tables.write_table(sessions.sessions(events), out.path("sessions.parquet"))
     tables.write_table(sessions.users(events), out.path("users.parquet"))
-    tables.write_table(sessions.session_sequences(events), out.path("session_sequences.parquet"))
+    tables.write_table(sessions.user_agents(events), out.path("user_agents.parquet"))
+    tables.write_table(sessions.session_sequence(events), out.path("session_sequence.parquet"))

@@ -70,12 +70,13 @@ def _referrer() -> Column:
 
 def _event_data() -> Column:
     n = F.col("event_id")
-    price = F.floor("value").cast("bigint")
+    cents = F.floor(F.col("value") * 100 + 0.5).cast("bigint")
+    price = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
     quantity = 1 + n % 3
     sku = F.concat(F.lit("sku_"), n % 20)
 
     def text(template: str) -> Column:
-        return F.format_string(template.replace("%", "%%").replace("<p>", "%1$d").replace("<q>", "%2$d")
+        return F.format_string(template.replace("%", "%%").replace("<p>", "%1$s").replace("<q>", "%2$d")
                                .replace("<s>", "%3$s"), price, quantity, sku)
 
     return _case(
@@ -92,19 +93,14 @@ def _event_data() -> Column:
     )
 
 
-def _spread(events: DataFrame) -> DataFrame:
-    """Use all cores where the input is one small file; a table with enough splits is left as it is."""
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    return events.repartition(cores, "event_id") if events.rdd.getNumPartitions() < cores else events
-
-
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events, text columns only but for ``row_seq`` and the file-level referrer flag."""
     n = F.col("event_id")
     ts = F.col("ts").cast("timestamp")
     agents = {i: F.lit(agent) for i, agent in enumerate(USER_AGENTS)}
     single = (
-        _spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+        spark.read.parquet(f"{sf_dir}/events.parquet")
+        .repartition("event_id")  # the test table is one small file
         .withColumn("_drift_day", F.day("ts").between(5, 9))
         .select(
             F.concat(F.lit("events_"), F.date_format(ts, "yyyyMMdd"), F.lit(".csv")).alias("source_file"),
