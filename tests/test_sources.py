@@ -109,3 +109,44 @@ def test_sinks(spark, drop, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in again.where("dt = DATE'2025-03-02'")._jdf.queryExecution().toString()
     tables.write_csv(again.select("client_id", "event_data"), str(tmp_path / "m"))
     assert spark.read.csv(str(tmp_path / "m"), header=True, escape='"', multiLine=True).count() == 3
+
+
+def test_split_files_equal_whole_ones(spark, tmp_path):
+    rows = [f"c{i},http://h/{i},2025-03-01 10:00:00,page_viewed,x" for i in range(3000)]
+    head = "client_id,page_url,timestamp,event_name,user_agent\n"
+    (tmp_path / "plain.csv").write_text(head + "\n".join(rows) + "\n")
+    broken = list(rows)
+    for i in range(0, 3000, 7):
+        broken[i] = f'c{i},http://h/{i},2025-03-01 10:00:00,page_viewed,"two\nlines ""quoted"" of {i}"'
+    (tmp_path / "broken.csv").write_text(head + "\n".join(broken) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        found = csv_drop.read_events(spark, str(tmp_path))
+        shown = sorted(map(tuple, found.select("source_file", "client_id", "page_url", "user_agent").collect()))
+        assert found.rdd.getNumPartitions() > 10
+        assert csv_drop.files_with_broken_records(spark, [f"file:{tmp_path}/plain.csv", f"file:{tmp_path}/broken.csv"]) == {f"file:{tmp_path}/broken.csv".replace("file://", "file:/")}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = csv_drop.read_events(spark, str(tmp_path), multiline=True)
+    assert shown == sorted(map(tuple, whole.select("source_file", "client_id", "page_url", "user_agent").collect()))
+    assert len(shown) == 6000
+
+
+def test_long_headers_and_other_endings(spark, tmp_path):
+    import bz2
+
+    extra = ",".join(f"column_{i:07d}" for i in range(120_000))
+    (tmp_path / "wide.csv").write_text(f"client_id,{extra},event_name\n")
+    (tmp_path / "small.csv.bz2").write_bytes(bz2.compress(b"client_id,event_name\nz,purchase\n"))
+    catalog = {r["source_file"]: r["columns"] for r in csv_drop.header_catalog(spark, str(tmp_path)).collect()}
+    assert len(catalog["wide.csv"]) == 120_002 and catalog["wide.csv"][-1] == "event_name"
+    assert catalog["small.csv.bz2"] == ["client_id", "event_name"]
+    rows = csv_drop.read_events(spark, str(tmp_path / "small*")).collect()
+    assert [(r["client_id"], r["event_name"]) for r in rows] == [("z", "purchase")]
+
+
+def test_reports_list_every_issue(spark):
+    counts = spark.createDataFrame([("f", f"name_{i:03d}", 1) for i in range(150)], "source_file string, event_name string, rows long")
+    row = quality.check_taxonomy(counts).head()
+    assert row["metric"] == 150 and row["details"].count("name_") == 150

@@ -37,19 +37,29 @@ def test_streams_agree_with_the_batch_run(spark, tmp_path):
     assert open_ones and all((newest - row[2]).total_seconds() < 2 * 3600 for row in open_ones)
 
 
-def test_batches_update_days_and_attribute_them(spark, tmp_path):
-    events = cleaning.clean_events(web_events(spark, SF)).drop("copy_no").where("timestamp_utc IS NOT NULL")
+def test_undated_rows_of_the_stream(spark, tmp_path):
+    raw = web_events(spark, SF).drop("copy_no")
+    raw.where("timestamp = 'not a time'").write.parquet(str(tmp_path / "in"))
+    found = incremental.undated_stream(incremental.arriving_events(spark, str(tmp_path / "in")))
+    incremental.write_stream(found, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert tables.read_table(spark, str(tmp_path / "out")).count() == raw.where("timestamp = 'not a time'").count()
+
+
+def test_batches_with_late_and_undated_rows_equal_one_run(spark, tmp_path):
+    events = cleaning.clean_events(web_events(spark, SF)).drop("copy_no")
     path = str(tmp_path / "days")
-    incremental.update_days(events, path)
-    later = events.where("to_date(timestamp_utc) = DATE'2024-01-20'")
-    incremental.update_days(later, path)
+    # every batch has rows of many days, late ones and undated ones; the last batch comes twice
+    for batch in (0, 1, 2, 2):
+        incremental.update_days(events.where(f"pmod(hash(row_seq), 3) = {batch}"), path)
     stored = tables.read_table(spark, path)
-    assert stored.count() == events.count()
+    assert stored.drop("event_data_parsed").count() == events.count()
+    assert {r[0] for r in stored.select("row_seq").collect()} == {r[0] for r in events.select("row_seq").collect()}
 
     names = ["row_seq", "first_utm_source", "last_utm_source"]
+    wanted = "dt IS NULL OR dt BETWEEN DATE'2024-01-20' AND DATE'2024-01-22'"
     some = incremental.attribute_days(spark, path, "2024-01-20", "2024-01-22").select(names)
-    full = attribution.purchase_attribution(stored).where("dt BETWEEN DATE'2024-01-20' AND DATE'2024-01-22'").select(names)
-    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, full.collect()))
+    full = attribution.purchase_attribution(stored).where(wanted).select(names)
+    assert sorted(map(tuple, some.collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
 
     seen = []
     stream = spark.readStream.schema(stored.schema).parquet(path)

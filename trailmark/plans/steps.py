@@ -23,6 +23,14 @@ class Layout:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    @property
+    def raw(self) -> str:
+        return self.path("raw_events.parquet")
+
+    @property
+    def files(self) -> str:
+        return self.path("source_files.parquet")
+
     @property
     def cleaned(self) -> str:
         return self.path("cleaned_events.parquet")
@@ -32,10 +40,18 @@ class Layout:
         return self.path("purchase_attribution.parquet")
 
 
-def check(spark: SparkSession, pattern: str, out: Layout, lineage: str = "file") -> DataFrame:
-    """Quality report as table and Markdown, and a sample of the rows with issues."""
-    raw = cleaning.normalize(csv_drop.read_events(spark, pattern, lineage))
-    files = materialize(csv_drop.file_schemas(csv_drop.header_catalog(spark, pattern, lineage)), "files")
+def ingest(spark: SparkSession, pattern: str, out: Layout, lineage: str = "file") -> DataFrame:
+    """The raw rows of all files and the columns of each source, as tables; headers are looked up and files parsed once."""
+    catalog = materialize(csv_drop.header_catalog(spark, pattern, lineage), "headers")
+    tables.write_table(csv_drop.file_schemas(catalog), out.files)
+    tables.write_table(csv_drop.read_events(spark, pattern, lineage, catalog=catalog), out.raw)
+    return tables.read_table(spark, out.raw)
+
+
+def check(spark: SparkSession, out: Layout) -> DataFrame:
+    """Quality report as table and Markdown, the full lists behind it, and a sample of the rows with issues."""
+    raw = cleaning.normalize(tables.read_table(spark, out.raw))
+    files = tables.read_table(spark, out.files)
     counts = materialize(quality.profile(raw), "profile")
     tables.write_table(quality.report(raw, files, counts), out.path("dq_checks.parquet"))
     rows = tables.read_table(spark, out.path("dq_checks.parquet"))
@@ -48,19 +64,19 @@ def check(spark: SparkSession, pattern: str, out: Layout, lineage: str = "file")
     return rows
 
 
-def clean(spark: SparkSession, pattern: str, out: Layout, lineage: str = "file") -> DataFrame:
+def clean(spark: SparkSession, out: Layout) -> DataFrame:
     """Cleaned events by day, the enriched projection and the attributed purchases."""
-    tables.write_events(cleaning.clean_events(csv_drop.read_events(spark, pattern, lineage)), out.cleaned)
+    tables.write_events(cleaning.clean_events(tables.read_table(spark, out.raw)), out.cleaned)
     events = tables.read_table(spark, out.cleaned)
-    tables.write_events(cleaning.enriched(events), out.path("events_enriched.parquet"))
+    tables.write_events(cleaning.enriched(events), out.path("events_enriched.parquet"), rebalance=False)
     tables.write_table(attribution.purchase_attribution(events), out.attribution)
     return events
 
 
 def analyse(spark: SparkSession, out: Layout) -> dict[str, DataFrame]:
-    """The marts as CSV; attribution is computed once and stored."""
+    """The marts as CSV, from the stored attribution; only the revenue differs between steps."""
     events = tables.read_table(spark, out.cleaned)
-    purchases = materialize(attribution.purchase_attribution(events, "price_first"), "purchases")
+    purchases = tables.read_table(spark, out.attribution).withColumn("revenue", attribution.revenue_of("price_first"))
     results = {
         "daily_revenue": marts.daily_revenue(purchases),
         "channel_revenue_last_click": marts.channel_revenue(purchases, "last"),
@@ -86,10 +102,11 @@ def monitor(spark: SparkSession, out: Layout, limits: monitoring.Limits = monito
 
 def run_all(spark: SparkSession, pattern: str, root: str, lineage: str = "file", stop_on_failure: bool = False) -> None:
     out = Layout(root)
-    rows = check(spark, pattern, out, lineage)
+    ingest(spark, pattern, out, lineage)
+    rows = check(spark, out)
     if stop_on_failure:
         quality.gate(rows)
-    clean(spark, pattern, out, lineage)
+    clean(spark, out)
     analyse(spark, out)
     monitor(spark, out)
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import CANONICAL, blank_to_null, squeeze
 
-_HEADER_BYTES = 1 << 20
+_HEADER_CHUNK = 1 << 16
 _BASE_NAME = r"([^/]+)$"
 _FOLDER_NAME = r"(?:[^/=]+=)?([^/]+)/[^/]+$"
 # file systems that the executors can open without Spark, by URI scheme
@@ -35,11 +35,24 @@ def _plain_path(uri: Column) -> Column:
 
 
 def _peek(files: DataFrame) -> DataFrame:
-    """First record of each file, from its first bytes.
+    """First record of each file; only as much is read as it takes to complete it.
 
-    The function is local so that it travels to the executors by value; they need not have this package.
+    The functions are local so that they travel to the executors by value; they need not have this package.
     """
-    schemes, size = dict(_DIRECT), _HEADER_BYTES
+    schemes, size = dict(_DIRECT), _HEADER_CHUNK
+
+    def first_record(stream) -> str:
+        import codecs
+
+        decode, text = codecs.getincrementaldecoder("utf-8-sig")("replace").decode, ""
+        while chunk := stream.read(size):
+            at = len(text)
+            text += decode(chunk)
+            while (at := text.find("\n", at)) >= 0:
+                at += 1
+                if text.count('"', 0, at) % 2 == 0:
+                    return text[:at]
+        return text
 
     def first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import csv
@@ -56,7 +69,8 @@ def _peek(files: DataFrame) -> DataFrame:
                 else:
                     system, inner = fs.FileSystem.from_uri(f"{schemes[scheme]}:{rest}")
                 with system.open_input_stream(inner, compression="detect") as stream:
-                    head = stream.read(size).decode("utf-8-sig", errors="replace")
+                    head = first_record(stream)
+                csv.field_size_limit(max(csv.field_size_limit(), len(head)))
                 headers.append(next(csv.reader(io.StringIO(head)), []))
             yield batch.assign(header=headers)
 
@@ -89,11 +103,11 @@ def header_catalog(spark: SparkSession, pattern: str, lineage: str = "file", dir
     """One row per file: path, source_file, header (as written) and columns (trimmed, lower case).
 
     ``lineage`` names the source after the file or, where a day is a folder of part files, after the folder.
-    Only the listing and the first bytes of each file are read, unless the file system needs a scan by Spark
-    (``direct`` overrides the choice). An empty listing raises.
+    Every file that the pattern matches counts as CSV, compressed or not as its ending says. Only the listing and the first
+    record of each file are read, unless the file system needs a scan by Spark (``direct`` overrides the choice). An empty
+    listing raises.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
-    files = files.where(F.col("path").endswith(".csv") | F.col("path").endswith(".csv.gz")).select("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern).select("path")
     if direct is None:
         any_path = files.head()
         direct = any_path is None or any_path["path"].split(":", 1)[0] in _DIRECT
@@ -163,21 +177,42 @@ def union_by_header(groups: list[DataFrame]) -> DataFrame:
     return union.withColumns({**absent, "row_seq": F.monotonically_increasing_id()})
 
 
-def read_events(spark: SparkSession, pattern: str, lineage: str = "file", multiline: bool = True) -> DataFrame:
+def files_with_broken_records(spark: SparkSession, paths: list[str]) -> set[str]:
+    """The files in which a quoted text holds a line break: some line of theirs has an odd number of quotes.
+
+    A pass over the lines, split as Spark likes; quotes inside quoted texts are doubled, so they don't change the parity.
+    """
+    lines = spark.read.text(paths)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    found = lines.where(quotes % 2 == 1).select(_plain_path(F.col("_metadata.file_path")).alias("path")).distinct()
+    return {row["path"] for row in found.collect()}  # at most as many rows as files
+
+
+def read_events(
+    spark: SparkSession,
+    pattern: str,
+    lineage: str = "file",
+    multiline: bool | None = None,
+    catalog: DataFrame | None = None,
+) -> DataFrame:
     """Raw events of all files, whatever their headers.
 
-    Quoted line breaks need ``multiline``, which makes Spark read a file in one task; turn it off for exports
-    that are known to have none, so that large files are split. ``row_seq`` follows the order within each file.
+    Files are split, but for those with quoted line breaks, which Spark reads in one task each; these are looked for first,
+    unless ``multiline`` says that all files may have them, or none. ``row_seq`` follows the order within each file.
+    ``catalog`` is a stored ``header_catalog`` of the same pattern.
     """
-    catalog = header_catalog(spark, pattern, lineage)
-    # as many rows as files, which the listing already holds on the driver
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in catalog.select("path", "header").toLocalIterator():
-        if row["header"]:
-            by_header.setdefault(tuple(row["header"]), []).append(row["path"])
-    return union_by_header(
-        [
-            read_header_group(spark, sorted(paths), list(header), lineage, multiline)
-            for header, paths in sorted(by_header.items())
-        ]
-    )
+    catalog = header_catalog(spark, pattern, lineage) if catalog is None else catalog
+    # as many rows as distinct headers
+    by_header = catalog.where(F.size("header") > 0).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    groups = sorted(((row["header"], row["paths"]) for row in by_header.collect()), key=lambda group: group[0])
+    every = [path for _, paths in groups for path in paths]
+    if multiline is None:
+        broken = files_with_broken_records(spark, every) if every else set()
+    else:
+        broken = set(every) if multiline else set()
+    parts = []
+    for header, paths in groups:
+        for some, whole in (([p for p in paths if p not in broken], False), ([p for p in paths if p in broken], True)):
+            if some:
+                parts.append(read_header_group(spark, some, header, lineage, whole))
+    return union_by_header(parts)

@@ -17,13 +17,16 @@ def register(spark: SparkSession, path: str, name: str) -> DataFrame:
     return df
 
 
-def write_events(df: DataFrame, path: str, ts: str = "timestamp_utc", mode: str = "overwrite") -> None:
+def write_events(
+    df: DataFrame, path: str, ts: str = "timestamp_utc", mode: str = "overwrite", rebalance: bool = True
+) -> None:
     """Parquet partitioned by day, so that date filters prune folders.
 
-    The rebalance hint groups rows by day and lets AQE split a day that is much larger than the others.
+    The rebalance hint groups rows by day and lets AQE split a day that is much larger than the others; rows that come from
+    a table by day need none.
     """
     dated = df.withColumn("dt", F.to_date(ts))
-    dated.hint("rebalance", "dt").write.mode(mode).partitionBy("dt").parquet(path)
+    (dated.hint("rebalance", "dt") if rebalance else dated).write.mode(mode).partitionBy("dt").parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
