@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import exact_sum, ratio, round_half_away
 from ..functions.text import KNOWN_EVENTS, PURCHASE
 from ..functions.user_agent import browser, device_type, operating_system
-from .monitoring import WARN
+from .monitoring import WARN, Limits, monitors
 from .sessions import SESSION_GAP_SECONDS, sessions
 
 INFO = "INFO"
@@ -157,3 +157,78 @@ def platforms(events: DataFrame) -> DataFrame:
         device_type(agent).alias("device_type"), operating_system(agent).alias("os"), browser(agent).alias("browser")
     ).agg(F.count("*").alias("events"))
 
+
+
+#: shares that must not fall below their mean of the week before by more than a limit, and how an alert names them
+DRIFTING = {
+    "conversion_rate": "Conversion rate",
+    "mobile_revenue_share": "Mobile share of revenue",
+    "assisted_share": "Assisted share of purchases",
+}
+#: rates that alert beyond a limit
+RATE_LIMITS = {"invalid_name_rate": 0.01, "missing_referrer_rate": 0.50, "missing_utm_rate": 0.90}
+
+
+def _row(name: str, metric: Column, severity: Column, message: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("monitor"),
+        round_half_away(metric.cast("double"), 6).alias("metric"),
+        severity.alias("severity"),
+        F.when(severity == WARN, message).alias("message"),
+    )
+
+
+def drift_monitors(daily: DataFrame, limit: float = 0.30, sigmas: float = 3.0, days: int = 7, min_volume: int = 10) -> DataFrame:
+    """Monitors of the latest day against the days before it, out of one pass over the days.
+
+    Severity is NULL without enough days, INFO if a day has too few sessions to judge shares.
+    """
+    window = _days_before(days)
+    figures = {f"{name}_before": F.avg(name).over(window) for name in DRIFTING}
+    placed = daily.withColumns(
+        {
+            **figures,
+            "_days": F.count("*").over(window),
+            "_least": F.least(F.min("sessions").over(window), F.col("sessions")),
+            "_mean": F.avg("events").over(window),
+            "_deviation": F.stddev_samp("events").over(window),
+        }
+    )
+    latest = placed.orderBy(F.desc("day")).limit(1)
+    full = F.col("_days") == days
+    rows = []
+    for name, title in DRIFTING.items():
+        value, before = F.col(name), F.col(f"{name}_before")
+        drop = ratio(before - value, before)
+        severity = F.when(full & (F.col("_least") < min_volume), INFO).when(full & (before > 0) & (drop > limit), WARN)
+        rows.append(_row(f"{name}_drop", F.when(full, drop), severity, F.format_string(f"{title} down: %.3f vs baseline %.3f", value, before)))
+    away = F.abs(F.col("events") - F.col("_mean"))
+    unusual = F.when(full & (away > sigmas * F.col("_deviation")), WARN)
+    rows.append(_row("event_volume", F.when(full, F.col("events")), unusual, F.format_string("Unusual event volume: %d vs mean %.0f", F.col("events"), F.rint("_mean"))))
+    return latest.select(F.inline(F.array(*rows)))
+
+
+def rate_monitors(events: DataFrame) -> DataFrame:
+    """Shares of events with unknown names, without referrer and without campaign, against their limits."""
+    rows = []
+    for name, limit in RATE_LIMITS.items():
+        rate = F.col(name)
+        text = F.concat(F.lit(name.replace("_", " ").capitalize() + " high: "), F.format_string("%.3f", rate))
+        rows.append(_row(name, rate, F.when(rate > limit, WARN), text))
+    return integrity_rates(events).select(F.inline(F.array(*rows)))
+
+
+def freshness(events: DataFrame) -> DataFrame:
+    """Days by which the newest event lags behind the newest file, whose name carries its day."""
+    file_day = F.try_to_date(F.regexp_extract("source_file", r"(\d{8})", 1), "yyyyMMdd")
+    lag = F.date_diff(F.max(file_day), F.max(F.to_date("timestamp_utc")))
+    text = F.format_string("Events lag files by %d days", F.col("lag"))
+    return events.agg(lag.alias("lag")).select(F.inline(F.array(_row("freshness", F.col("lag"), F.when(F.col("lag") > 0, WARN), text))))
+
+
+def extended_monitors(events: DataFrame, purchases: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The monitors of the daily report, then freshness, integrity rates and drift; ``position`` gives the order."""
+    rows = monitors(events, purchases, limits)
+    more = freshness(events).unionByName(rate_monitors(events)).unionByName(drift_monitors(daily_metrics(events, purchases)))
+    order = F.array(*[F.lit(name) for name in ("freshness", *RATE_LIMITS, *[f"{name}_drop" for name in DRIFTING], "event_volume")])
+    return rows.unionByName(more.withColumn("position", F.array_position(order, F.col("monitor")) + 100))

@@ -502,6 +502,13 @@ def monitor_report(spark, sf_dir):
     )
 
 
+@query
+def monitor_report_extended(spark, sf_dir):
+    return drift.extended_monitors(cleaned(spark, sf_dir), attributed(spark, sf_dir, "total")).select(
+        "position", "monitor", "metric", "severity", "message"
+    )
+
+
 @query
 def daily_metrics(spark, sf_dir):
     return drift.daily_metrics(cleaned(spark, sf_dir), attributed(spark, sf_dir, "total"))
