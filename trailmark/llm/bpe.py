@@ -26,7 +26,7 @@ _made: dict[tuple[int, str], "Encoder"] = {}  # one per Python worker and vocabu
 class Transducer:
     """Encodes single pieces; ``ranks`` maps token bytes to ids, lower ids merge first."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 80_000):
         self.ranks, self.max_states = ranks, max_states
         self.token = {rank: token for token, rank in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
@@ -188,7 +188,7 @@ class Utf8Stream:
 class Encoder:
     """Splits texts by the pattern and encodes each match; short pieces seen lately are looked up (two bounded generations)."""
 
-    def __init__(self, vocabulary: bytes, pattern: str, max_pieces: int = 400_000):
+    def __init__(self, vocabulary: bytes, pattern: str, max_pieces: int = 200_000):
         import regex
 
         lines = (line.split() for line in vocabulary.splitlines() if line)
