@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import attribution, cleaning, marts, monitoring, quality, sessions
-from ..session import materialize
+from ..session import discard, materialize
 from ..sources import csv_drop, tables
 
 
@@ -45,6 +45,7 @@ def ingest(spark: SparkSession, pattern: str, out: Layout, lineage: str = "file"
     catalog = materialize(csv_drop.header_catalog(spark, pattern, lineage), "headers")
     tables.write_table(csv_drop.file_schemas(catalog), out.files)
     tables.write_table(csv_drop.read_events(spark, pattern, lineage, catalog=catalog), out.raw)
+    discard(catalog)
     return tables.read_table(spark, out.raw)
 
 
@@ -61,6 +62,7 @@ def check(spark: SparkSession, out: Layout) -> DataFrame:
     tables.write_table(quality.missing_columns(files), out.path("dq_missing_columns.parquet"))
     sample = quality.issue_sample(raw).drop("event_data_parsed")
     tables.write_csv(sample, out.path("detected_issues_sample.csv"))
+    discard(counts)
     return rows
 
 

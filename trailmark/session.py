@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -66,7 +67,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.staged_path = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``materialize`` wrote for frames that nothing reads any more, and let go of finished shuffles.
+
+    Spark deletes a shuffle's files once the driver has collected the objects that stand for it; between the steps of a long
+    job that should not wait for the next full collection.
+    """
+    spark = SparkSession.getActiveSession()
+    for frame in frames:
+        place = spark._jvm.org.apache.hadoop.fs.Path(frame.staged_path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def staged(spark: SparkSession, name: str, build) -> str:
