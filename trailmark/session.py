@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,8 +83,10 @@ def discard(*frames: DataFrame) -> None:
     for frame in frames:
         place = spark._jvm.org.apache.hadoop.fs.Path(frame.staged_path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what Python lets go reaches the JVM with a delay
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def staged(spark: SparkSession, name: str, build) -> str:
