@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import map_batches, whole_text
 
 _OPEN = -1  # no token closed yet
-_made: dict[tuple[int, str], "Encoder"] = {}  # one per Python worker and vocabulary
+_made: dict[tuple[int, str], "Encoder | Decoder"] = {}  # one per Python worker and vocabulary
 
 
 class Transducer:
@@ -191,9 +191,7 @@ class Encoder:
     def __init__(self, vocabulary: bytes, pattern: str, max_pieces: int = 200_000):
         import regex
 
-        lines = (line.split() for line in vocabulary.splitlines() if line)
-        self.transducer = Transducer({base64.b64decode(token): int(rank) for token, rank in lines})
-        self.token = self.transducer.token
+        self.transducer = Transducer(_ranks(vocabulary))
         self.split = regex.compile(pattern).findall
         self.max_pieces = max_pieces
         self.pieces: dict[str, bytes] = {}
@@ -216,6 +214,11 @@ class Encoder:
             out.append(ids)
         return b"".join(out)
 
+
+class Decoder:
+    def __init__(self, vocabulary: bytes):
+        self.token = {rank: token for token, rank in _ranks(vocabulary).items()}
+
     def decode(self, ids: bytes, chunk: int = 4096) -> str:
         token, stream, out = self.token, Utf8Stream(), []
         numbers = memoryview(ids).cast("I")
@@ -224,6 +227,11 @@ class Encoder:
         return "".join(out) + stream.end()
 
 
+def _ranks(vocabulary: bytes) -> dict[bytes, int]:
+    lines = (line.split() for line in vocabulary.splitlines() if line)
+    return {base64.b64decode(token): int(rank) for token, rank in lines}
+
+
 def _encoder(vocabulary: bytes, pattern: str) -> Encoder:
     key = (hash(vocabulary), pattern)
     if key not in _made:
@@ -232,6 +240,13 @@ def _encoder(vocabulary: bytes, pattern: str) -> Encoder:
     return _made[key]
 
 
+def _decoder(vocabulary: bytes) -> Decoder:
+    key = (hash(vocabulary), "")
+    if key not in _made:
+        _made[key] = Decoder(vocabulary)
+    return _made[key]
+
+
 def _vocabulary(spark: SparkSession, path: str):
     """The rank file as a broadcast; a vocabulary is bounded whatever the corpus is."""
     with open(path, "rb") as file:
@@ -262,22 +277,25 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def encode_to_arrays(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, token_ids`` of every row, the ids as an array of int; otherwise as ``encode``."""
 
+    spread = _vocabulary(docs.sparkSession, path)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = batch.column("ids").to_pylist()
-        offsets = np.cumsum([0, *(len(x) // 4 for x in ids)])
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-        return pa.record_batch([batch.column("doc_id"), batch.column("n_tokens"), lists], names=["doc_id", "n_tokens", "token_ids"])
+        encoder = _encoder(spread.value, pattern)
+        ids = [encoder.encode(text) for text in batch.column("text").to_pylist()]
+        sizes = [len(x) // 4 for x in ids]
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        return pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), lists], names=["doc_id", "n_tokens", "token_ids"])
 
-    return map_batches(encode(docs, path, pattern), run, "doc_id long, n_tokens long, token_ids array<int>")
+    return map_batches(whole_text(docs), run, "doc_id long, n_tokens long, token_ids array<int>")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids, text``: the text of the ids, through the incremental decoder."""
     spread = _vocabulary(encoded.sparkSession, path)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = _encoder(spread.value, pattern)
-        texts = [encoder.decode(ids) for ids in batch.column("ids").to_pylist()]
+        decoder = _decoder(spread.value)
+        texts = [decoder.decode(ids) for ids in batch.column("ids").to_pylist()]
         return pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "n_tokens", "ids", "text"])
 
     return map_batches(encoded.select("doc_id", "n_tokens", "ids"), run, "doc_id long, n_tokens long, ids binary, text string")
