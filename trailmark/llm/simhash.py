@@ -54,17 +54,21 @@ def fingerprints(docs: DataFrame, words_per_shingle: int) -> DataFrame:
     return map_batches(texts, run, "doc_id long, text_hash long, fp long")
 
 
-def _variants(max_bits: int) -> Column:
-    """All index keys as ``(id, keep, wild)``: the bits a key keeps, and the one of its segment that it leaves out."""
+def _masks(max_bits: int) -> list[tuple[int, int, int]]:
+    """All index keys in order: number, the bits a key keeps, and the bit of its segment that it leaves out (0: none)."""
     pieces = max_bits // 2 + 1
     borders = [BITS * i // pieces for i in range(pieces + 1)]
     signed = lambda mask: mask - (1 << BITS) if mask >> (BITS - 1) else mask
-    keys = []
+    found = []
     for low, high in zip(borders, borders[1:]):
         segment = (1 << high) - (1 << low)
         for wild in (0, *(1 << bit for bit in range(low, high))):
-            keys.append(F.struct(F.lit(len(keys)).alias("id"), F.lit(signed(segment & ~wild)).alias("keep"), F.lit(signed(wild)).alias("wild")))
-    return F.array(*keys)
+            found.append((len(found), signed(segment & ~wild), signed(wild)))
+    return found
+
+
+def _variants(max_bits: int) -> list[list[Column]]:
+    return [[F.lit(value).cast("long").alias(name) for name, value in zip(("id", "keep", "wild"), key)] for key in _masks(max_bits)]
 
 
 def _within_blocks(blocks: DataFrame, max_bits: int) -> DataFrame:
@@ -98,38 +102,40 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
     Groups under one key are compared whole if small, else in blocks of about ``BLOCK`` that spread over tasks; what leaves
     is a spanning set, never all pairs of a group.
     """
-    keyed = fps.select("fp", F.explode(_variants(max_bits)).alias("key")).select(
+    # few bytes, but many keys come of them: dealt out anew, by something else than they are dealt by already
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = _variants(max_bits)
+    keyed = fps.repartition(spread, F.xxhash64("fp")).select("fp", F.explode(F.array(*[F.struct(*key) for key in variants])).alias("key")).select(
         "fp",
         F.col("key.id").alias("id"),
         F.col("fp").bitwiseAND(F.col("key.keep")).alias("part"),
-        (F.col("fp").bitwiseAND(F.col("key.wild")) != 0).alias("side"),
-        (F.col("key.wild") != 0).alias("wild"),
+        (F.col("fp").bitwiseAND(F.col("key.wild")) != 0).cast("long").alias("side"),
     )
-    # a key that leaves a bit out is needed only where that bit differs: equal segments meet under the key of the whole segment
-    sizes = (
+    # a key that leaves a bit out is needed only where that bit differs: equal segments meet under the key of the whole segment;
+    # of two fingerprints, the smallest and the largest are all there are
+    whole = F.col("id").isin([number for number, (_, _, wild) in enumerate(_masks(max_bits)) if not wild])
+    near = F.bit_count(F.col("v").bitwiseXOR(F.col("u"))) <= max_bits
+    keys = materialize(
         keyed.groupBy("id", "part")
-        .agg(F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"), F.first("wild").alias("wild"))
-        .where("n > 1 AND (NOT wild OR low <> high)")
-        .select("id", "part", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+        .agg(F.count("*").alias("n"), F.sum("side").alias("ones"), F.min("fp").alias("v"), F.max("fp").alias("u"))
+        .where((F.col("n") > 2) | (F.col("n") == 2) & near)
+        .where(whole | (F.col("ones") > 0) & (F.col("ones") < F.col("n")))
+        .select("id", "part", "n", "u", "v"),
+        "keys",
     )
+    # merged at every size: how many keys there are is not bounded
+    sizes = keys.where("n > 2").select("id", "part", F.ceil(F.col("n") / BLOCK).alias("blocks")).hint("merge")
     grouped = materialize(
         keyed.join(sizes, ["id", "part"])
         .groupBy("id", "part", "blocks", F.expr("pmod(xxhash64(fp), blocks)").alias("block"))
         .agg(F.collect_list("fp").alias("fps")),
         "groups",
     )
-    pairs = grouped.where("blocks = 1 AND size(fps) = 2").select(F.greatest(*_two("fps")).alias("u"), F.least(*_two("fps")).alias("v"))
-    single = grouped.where("blocks > 1 OR size(fps) > 2").select(F.col("fps").alias("a"), F.lit(None).cast("array<long>").alias("b"))
+    single = grouped.select(F.col("fps").alias("a"), F.lit(None).cast("array<long>").alias("b"))
     left = grouped.where("blocks > 1").select("id", "part", "block", F.col("fps").alias("a"))
     right = left.select("id", "part", F.col("block").alias("other"), F.col("a").alias("b"))
     double = left.join(right, ["id", "part"]).where("block < other").select("a", "b")
-    return pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits).unionByName(
-        _within_blocks(single.unionByName(double), max_bits)
-    )
-
-
-def _two(column: str) -> tuple[Column, Column]:
-    return F.element_at(column, 1), F.element_at(column, 2)
+    return keys.where("n = 2").select("u", "v").unionByName(_within_blocks(single.unionByName(double), max_bits))
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int, max_bits: int) -> DataFrame:
