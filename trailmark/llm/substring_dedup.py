@@ -8,10 +8,10 @@ overlap so that no phrase is a prefix of a longer reading and every string lies
 The parse is the list of phrases of each document, the dictionary has each distinct phrase once with the first document that
 holds it. A phrase that stands in an earlier document goes as a whole. What is left are first occurrences whose trigger has
 other phrases too: their suffixes of ``length`` bytes are put in order across the dictionary by hash, which brings equal ones
-together, and those that an earlier document has go as well. Order beyond equal or not is never needed, so no full suffix
+together, and those that an earlier document has go as well. (Only strings are tried whose bytes on one side of the trigger two documents share.) Order beyond equal or not is never needed, so no full suffix
 array is kept.
 
-Triggers that a single document has are left out of the parse by a bitmap of fixed size; a bit set by chance costs time only.
+Whole copies of an earlier text are set apart first. Triggers that a single document has are left out of the parse by a bitmap of fixed size; a bit set by chance costs time only.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .common import map_batches, whole_text
 
 LENGTH = 50
@@ -73,7 +73,8 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[bytes, list[tuple
 
 
 def phrases(texts: list[bytes], length: int = LENGTH, shared: np.ndarray | None = None) -> Iterator[tuple]:
-    """``(data, row, start, count, offset in data, trigger hash)`` as arrays: each phrase covers ``count`` strings from ``start``.
+    """``(data, row, start, count, offset in data, trigger hash, trigger offset in data)`` as arrays: each phrase covers ``count``
+    strings from ``start``.
 
     With a bitmap ``shared``, only phrases whose trigger is set in it.
     """
@@ -87,12 +88,13 @@ def phrases(texts: list[bytes], length: int = LENGTH, shared: np.ndarray | None
         counts = np.diff(np.append(turns, len(trigger)))
         real = trigger[turns] >= 0
         at, counts = turns[real], counts[real]
-        key = hashes[trigger[at]]
+        mark = trigger[at]
+        key = hashes[mark]
         if shared is not None:
             slot = key >> np.uint64(64 - BITMAP_BITS)
             kept = (shared[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
-            at, counts, key = at[kept], counts[kept], key[kept]
-        yield data, row[part[at]], offset[part[at]] + at - (ends - size)[part[at]], counts, at, key.view(np.int64)
+            at, counts, key, mark = at[kept], counts[kept], key[kept], mark[kept]
+        yield data, row[part[at]], offset[part[at]] + at - (ends - size)[part[at]], counts, at, key.view(np.int64), mark
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -127,67 +129,128 @@ def _has(bitmap, column: Column) -> Column:
 
 
 def _table(schema: str, columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    names = [field.split()[0] for field in schema.split(", ")]
-    return pa.record_batch([pa.array(np.concatenate([np.zeros(0, np.int64), *c])) for c in columns], names=names)
+    names, kinds = zip(*(field.split() for field in schema.split(", ")))
+    types = [np.int32 if kind == "int" else np.int64 for kind in kinds]
+    return pa.record_batch([pa.array(np.concatenate([np.zeros(0, t), *c])) for t, c in zip(types, columns)], names=list(names))
 
 
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``own_id, text_hash, start, size``: stretches to remove; together they cover exactly the repeated strings. They overlap."""
     spark = docs.sparkSession
-    texts = _texts(docs)
     broadcast = spark.sparkContext.broadcast
+    texts = _texts(docs)
+    named = F.xxhash64(*_ORDER)
+
+    # a text that an earlier document has goes as a whole; only the others are parsed
+    sized = texts.select(*_ORDER, F.xxhash64(F.lit(3), "text").alias("more"), F.octet_length("text").cast("long").alias("size"))
+    firsts = sized.groupBy("text_hash", "more").agg(F.min("own_id").alias("first"))
+    copies = materialize(sized.join(firsts, ["text_hash", "more"]).where("own_id > first").select(*_ORDER, "size").distinct(), "copies")
+    maybe = _has(broadcast(_bitmap(copies.select(named.alias("key")), "key")), named)
+    flagged = texts.withColumn("maybe", maybe)
+    texts = flagged.where(~F.col("maybe")).unionByName(flagged.where("maybe").join(copies, _ORDER, "left_anti")).drop("maybe")
 
     def triggers(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner = np.asarray(batch.column("own_id"))
-        found = [(key, owner[row]) for _, row, _, _, _, key in phrases(_bytes(batch), length)]
+        found = [(key >> 24 << 24, owner[row]) for _, row, _, _, _, key, _ in phrases(_bytes(batch), length)]
         return _table("key long, own_id long", [[x[i] for x in found] for i in range(2)])
 
+    # only leading bits of a key go into the bitmap, so only these are counted
     pairs = map_batches(texts.select("own_id", "text"), triggers, "key long, own_id long")
-    in_two = pairs.groupBy("key").agg(F.min("own_id").alias("low"), F.max("own_id").alias("high")).where("low < high")
-    shared = broadcast(_bitmap(in_two, "key"))
+    shared = broadcast(_bitmap(_in_two(pairs), "key"))
+    discard()
 
-    parse_schema = "key long, phrase long, own_id long, text_hash long, start long, count long"
+    parse_schema = "key int, phrase long, own_id long, text_hash long, start long, count int, mark int"
 
     def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, hashes, columns = np.asarray(batch.column("own_id")), np.asarray(batch.column("text_hash")), [[] for _ in range(6)]
+        owner, hashes, columns = np.asarray(batch.column("own_id")), np.asarray(batch.column("text_hash")), [[] for _ in range(7)]
         digest = xxhash.xxh3_64_intdigest
-        for data, row, start, count, at, key in phrases(_bytes(batch), length, shared.value):
+        for data, row, start, count, at, key, mark in phrases(_bytes(batch), length, shared.value):
             last = at + count + length - 1
             phrase = np.fromiter((digest(data[a:b]) for a, b in zip(at.tolist(), last.tolist())), np.uint64, len(at)).view(np.int64)
-            for column, values in zip(columns, (key, phrase, owner[row], hashes[row], start, count)):
+            for column, values in zip(columns, ((key >> 32).astype(np.int32), phrase, owner[row], hashes[row], start, count.astype(np.int32), (mark - at).astype(np.int32))):
                 column.append(values)
         return _table(parse_schema, columns)
 
     parsed = materialize(map_batches(texts.select("own_id", "text_hash", "text"), parse, parse_schema), "parse")
+    # a phrase's trigger is in it, so half of the trigger's hash is enough beside the phrase's
     dictionary = materialize(parsed.groupBy("key", "phrase").agg(F.min("own_id").alias("first")), "dictionary")
-    known = parsed.join(dictionary, ["key", "phrase"])
-    whole = known.where("own_id > first").select(*_ORDER, "start", (F.col("count") + (length - 1)).alias("size"))
-
-    # first occurrences whose trigger has other phrases: string by string
-    several = dictionary.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    open_phrases = materialize(
-        known.where("own_id = first").join(several, "key").groupBy(*_ORDER).agg(F.collect_list(F.struct("start", "count")).alias("open")), "open"
+    discard()
+    several = dictionary.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("several"))
+    known = parsed.join(dictionary.join(several, "key", "left"), ["key", "phrase"]).withColumn("whole", F.col("own_id") > F.col("first"))
+    marked = materialize(
+        known.where("whole OR several").groupBy(*_ORDER).agg(F.collect_list(F.struct("start", "count", "mark", "whole")).alias("marks")), "marks"
     )
-    string_schema = "h1 long, h2 long, own_id long, text_hash long, start long"
+    whole = marked.select(*_ORDER, F.explode(F.filter("marks", lambda x: x["whole"])).alias("x")).select(
+        *_ORDER, "x.start", (F.col("x.count") + (length - 1)).cast("long").alias("size")
+    )
+
+    # first occurrences whose trigger has other phrases: string by string, with what stands before or after the trigger
+    discard(parsed, dictionary)
+    opened = marked.select(*_ORDER, F.filter("marks", lambda x: ~x["whole"]).alias("open")).where(F.size("open") > 0)
+    concerned = broadcast(_bitmap(opened.select(named.alias("key")), "key"))
+    some = texts.where(_has(concerned, named)).select(*_ORDER, "text").dropDuplicates(_ORDER)
+    joined = materialize(some.join(opened, _ORDER).select(*_ORDER, "text", "open"), "opened")
+    side_schema = "key long, own_id long"
+
+    def sides(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, columns = np.asarray(batch.column("own_id")), [[], []]
+        for row, (text, phrases_of) in enumerate(zip(_bytes(batch), batch.column("open").to_pylist())):
+            keys = [key >> 24 << 24 for x in phrases_of for key in _sides(text, x, length) if key is not None]
+            columns[0].append(np.array(keys, np.int64))
+            columns[1].append(np.full(len(keys), owner[row]))
+        return _table(side_schema, columns)
+
+    discard()
+    two_sided = broadcast(_bitmap(_in_two(map_batches(joined.select("own_id", "text", "open"), sides, side_schema)), "key"))
+    string_schema = "h1 long, h2 int, own_id long, text_hash long, start long"
 
     def strings(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, hashes, columns = np.asarray(batch.column("own_id")), np.asarray(batch.column("text_hash")), [[] for _ in range(5)]
-        digest = xxhash.xxh3_128_digest
-        for row, (text, opened) in enumerate(zip(_bytes(batch), batch.column("open").to_pylist())):
-            starts = [p for x in opened for p in range(x["start"], x["start"] + x["count"])]
+        digest, bits = xxhash.xxh3_128_digest, two_sided.value
+        for row, (text, phrases_of) in enumerate(zip(_bytes(batch), batch.column("open").to_pylist())):
+            starts = []
+            for x in phrases_of:
+                left, right = (key is not None and _is_set(bits, key) for key in _sides(text, x, length))
+                turn = x["start"] + x["mark"] - _LEFT  # strings from here on have too little before the trigger
+                low, high = x["start"], x["start"] + x["count"]
+                starts += range(low if left else max(low, turn + 1), high if right else min(high, turn + 1))
             both = np.frombuffer(b"".join([digest(text[p : p + length]) for p in starts]), "<i8").reshape(-1, 2)
-            for column, values in zip(columns, (both[:, 0], both[:, 1], np.full(len(starts), owner[row]), np.full(len(starts), hashes[row]), starts)):
-                column.append(np.asarray(values, np.int64))
+            values = (both[:, 0], (both[:, 1] >> 32).astype(np.int32), np.full(len(starts), owner[row]), np.full(len(starts), hashes[row]), np.array(starts, np.int64))
+            for column, value in zip(columns, values):
+                column.append(value)
         return _table(string_schema, columns)
 
-    named = F.xxhash64(*_ORDER)
-    concerned = broadcast(_bitmap(open_phrases.select(named.alias("key")), "key"))
-    some = texts.where(_has(concerned, named)).select(*_ORDER, "text").dropDuplicates(_ORDER)
-    suffixes = map_batches(some.join(open_phrases, _ORDER).select(*_ORDER, "text", "open"), strings, string_schema)
-    suffixes = materialize(suffixes, "suffixes")
+    suffixes = materialize(map_batches(joined, strings, string_schema), "suffixes")
+    discard(joined)
     earlier = suffixes.groupBy("h1", "h2").agg(F.min("own_id").alias("first"), F.max("own_id").alias("high")).where("first < high")
-    single = suffixes.join(earlier, ["h1", "h2"]).where("own_id > first").select(*_ORDER, "start", F.lit(length).cast("long").alias("size"))
-    return whole.unionByName(single)
+    single = suffixes.join(earlier.select("h1", "h2", "first"), ["h1", "h2"]).where("own_id > first")
+    all_of = copies.where(F.col("size") >= length).select(*_ORDER, F.lit(0).cast("long").alias("start"), "size")
+    return all_of.unionByName(whole).unionByName(single.select(*_ORDER, "start", F.lit(length).cast("long").alias("size")))
+
+
+#: of a string's bytes outside its trigger, either so many stand before it or enough after it
+_LEFT = GRAM + 1
+
+
+def _sides(text: bytes, phrase: dict, length: int) -> tuple[int | None, int | None]:
+    """Hashes of the trigger with the ``_LEFT`` bytes before it, and with the bytes after it that a string with fewer before it
+    must have; None where no string of the phrase has them. Equal strings have equal sides."""
+    low, high = phrase["start"], phrase["start"] + phrase["count"] - 1
+    at = low + phrase["mark"]
+    digest = xxhash.xxh3_64_intdigest
+    left = digest(text[at - _LEFT : at + GRAM], 1) if at - low >= _LEFT else None
+    right = digest(text[at : at + length - _LEFT + 1], 2) if at - high < _LEFT else None
+    return tuple(None if x is None else x - (1 << 64) if x >> 63 else x for x in (left, right))
+
+
+def _is_set(bits: np.ndarray, key: int) -> bool:
+    slot = (key & (1 << 64) - 1) >> (64 - BITMAP_BITS)
+    return bool(int(bits[slot >> 6]) >> (slot & 63) & 1)
+
+
+def _in_two(pairs: DataFrame) -> DataFrame:
+    """The keys that documents of two ids have."""
+    return pairs.groupBy("key").agg(F.min("own_id").alias("low"), F.max("own_id").alias("high")).where("low < high")
 
 
 def cut(text: bytes, found: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
