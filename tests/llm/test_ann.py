@@ -64,3 +64,24 @@ def test_odd_rows(spark):
     found = sorted(map(tuple, ann.search(frame, ann.F.expr("vec_id % 20 = 0")).collect()))
     assert found == [(100, 1, 1, 0.5), (100, 2, 2, 0.5)]
     assert ann.search(frame.limit(0), ann.F.expr("vec_id % 20 = 0")).count() == 0
+
+
+def test_thin_regions_get_all_their_neighbours(spark):
+    random = np.random.default_rng(1)
+    rows = []
+    for size, many in ((200, 20), (5, 60)):  # tight clusters, the small ones beside the large ones
+        for centre in random.normal(size=(many, 2)):
+            rows += [v / np.linalg.norm(v) for v in centre + 0.02 * random.normal(size=(size, 2))]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = ann.search(frame, ann.F.expr("vec_id % 5 = 0")).collect()
+    counts = np.bincount([r.query_id for r in found], minlength=len(rows))[::5]
+    assert set(counts.tolist()) == {20}
+
+
+@pytest.mark.parametrize("n", [15, 20, 21])
+def test_few_vectors_come_back_whole(spark, n):
+    random = np.random.default_rng(n)
+    rows = [(i, random.normal(size=4).tolist()) for i in range(n)]
+    found = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), ann.F.expr("vec_id % 5 = 0")).collect()
+    counts = np.bincount([r.query_id for r in found], minlength=n)[::5]
+    assert set(counts.tolist()) == {min(n - 1, 20)}

@@ -4,6 +4,7 @@ Vectors get one more component, ``sqrt(M^2 - |x|^2)`` with M the largest norm of
 smallest distance. The tree is fitted to a bounded sample; every vector then goes down to its leaf. A query walks the tree
 with a priority queue of nodes by distance and visits leaves in that order; how many is calibrated: for a sample of queries the
 exact neighbours are found among all vectors, and the visits are widened until the leaves hold ``TARGET_RECALL`` of them.
+A query whose leaves hold too few vectors for an answer goes on to further ones, to all of them if need be.
 
 Leaves are cut into blocks of bounded size, queries of a leaf likewise, and each pair of blocks is one matrix product. Equal
 vectors stand in for each other: of one vector only the smallest ids can be among the nearest, and equal queries are searched
@@ -60,14 +61,15 @@ class Tree:
                 open_nodes += [(child, rows[nearest == i]) for i, child in enumerate(node.children)]
         return out
 
-    def order(self, query: np.ndarray, visits: int) -> list[int]:
-        """The first ``visits`` leaves, best bin first."""
+    def order(self, query: np.ndarray, visits: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``visits`` leaves, best bin first; more if they hold less than ``least`` vectors by the ``sizes`` of leaves."""
         point = np.append(query, 0.0)[None, :]
-        heap, found, ticket = [(0.0, 0, self.root)], [], 0
-        while heap and len(found) < visits:
+        heap, found, ticket, held = [(0.0, 0, self.root)], [], 0, 0
+        while heap and (len(found) < visits or held < least):
             _, _, node = heapq.heappop(heap)
             if not node.children:
                 found.append(node.leaf)
+                held += 0 if sizes is None else int(sizes[node.leaf])
                 continue
             gaps = _distances(point, np.stack([c.centre for c in node.children]))[0]
             for child, gap in zip(node.children, gaps.tolist()):
@@ -184,11 +186,16 @@ def _points(frame: DataFrame, most: int) -> list[tuple[int, np.ndarray]]:
     return [(r.vec_id, np.array(r.v)) for r in rows]
 
 
-def _leaf_blocks(frame: DataFrame, name: str, salt: int) -> DataFrame:
+def _leaf_sizes(frame: DataFrame) -> DataFrame:
+    """``leaf, n``: the rows of each leaf; no more leaves than the sample has vectors."""
+    return frame.groupBy("leaf").agg(F.count("*").alias("n"))
+
+
+def _leaf_blocks(frame: DataFrame, sizes: DataFrame, name: str, salt: int) -> DataFrame:
     """``leaf, ids, vs``: the rows of each leaf in blocks of about ``BLOCK``."""
-    sizes = frame.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))  # at most MOST_LEAVES rows
+    blocks = sizes.select("leaf", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     return (
-        frame.join(F.broadcast(sizes), "leaf")
+        frame.join(F.broadcast(blocks), "leaf")
         .groupBy("leaf", F.expr(f"pmod(xxhash64({salt}, vec_id), blocks)").alias("block"))
         .agg(F.collect_list(F.struct("vec_id", "v")).alias("rows"))
         .select("leaf", F.col("rows.vec_id").alias(f"{name}_ids"), F.flatten("rows.v").alias(f"{name}_v"))
@@ -220,7 +227,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, target: float = TARGET_REC
         return pa.record_batch([*batch.columns, pa.array(leaf, pa.int32())], names=["vec_id", "v", "leaf"])
 
     def to_leaves(batch: pa.RecordBatch) -> pa.RecordBatch:
-        leaves = [tree.order(v, visits) for v in _matrix(batch.column("v"))] if batch.num_rows else []
+        leaves = [tree.order(v, visits, held, k + 1) for v in _matrix(batch.column("v"))] if batch.num_rows else []
         return pa.record_batch([*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], names=["vec_id", "v", "leaves"])
 
     def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -232,9 +239,14 @@ def search(vectors: DataFrame, is_query, k: int = 20, target: float = TARGET_REC
         return _found(pieces)
 
     placed = map_batches(kept.select("vec_id", "v"), to_leaf, "vec_id long, v array<double>, leaf int", 4096)
+    sizes = materialize(_leaf_sizes(placed), "leaf_sizes")
+    held = np.zeros(tree.leaves, np.int64)
+    for row in sizes.collect():
+        held[row.leaf] = row.n
     routed = map_batches(asks.select("vec_id", "v"), to_leaves, "vec_id long, v array<double>, leaves array<int>", 4096)
     routed = routed.select("vec_id", "v", F.explode("leaves").alias("leaf"))
-    pairs = _leaf_blocks(routed, "q", 1).join(_leaf_blocks(placed, "c", 2), "leaf").select("q_ids", "q_v", "c_ids", "c_v")
+    asking = _leaf_blocks(routed, _leaf_sizes(routed), "q", 1)
+    pairs = asking.join(_leaf_blocks(placed, sizes, "c", 2), "leaf").select("q_ids", "q_v", "c_ids", "c_v")
     nearest = _ranked(map_batches(pairs, compare, _FOUND, 8), k + 1).select("query", "vec_id", "score")
 
     # back from distinct query vectors to all queries
