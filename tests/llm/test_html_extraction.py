@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from trailmark.llm import html_extraction as h
+from trailmark.llm import labelled_pages as composed
 from trailmark.llm.labelled_pages import labelled_pages
 from trailmark.llm.queries import QUERIES
 
@@ -65,6 +66,46 @@ def test_odd_rows(spark):
     assert h.extract(pages.limit(0)).count() == 0
 
 
+FIRST = "The first part of the old page tells of the harbour, its boats, and of the people who work there all year."
+SECOND = "The second part goes on about the market, where fish, bread and tools are sold, and about the long winter."
+
+
+def test_loose_text_is_judged():
+    model = h.default_model()
+    page = f"<html><body><a href=x>Home</a> | <a href=y>News</a><hr>{FIRST}<br><br>{SECOND}<hr>&copy; 1998 Site</body></html>"
+    assert model.extract([page]) == [f"{FIRST}\n\n{SECOND}"]
+    assert model.extract([f"{FIRST}<p>{SECOND}"]) == [f"{FIRST}\n\n{SECOND}"]
+    assert model.extract([FIRST]) == [FIRST]
+    pages = [h.parse(page) for page in composed.loose_pages(150, seed=78)]
+    forest = h.Forest(pages)
+    content = h.marginals(forest, model.weights, model.ties)[0] >= 0.5
+    pairs = [(page.label[e], content[at + e]) for page, at in zip(pages, forest.offset) for e, _, _ in page.blocks]
+    right = sum(a and b for a, b in pairs)
+    assert right >= 0.95 * sum(a for a, _ in pairs) and right >= 0.95 * sum(b for _, b in pairs)
+
+
+@pytest.mark.parametrize(
+    "unseen",
+    [
+        "<datalist id=d><option value=a><option value=b></datalist>", "<datalist><option value=a>Label<option>Other</datalist>", "<select><option>a<option>b</select>",
+        "<noscript><div><p>Please enable it</noscript>", "<noscript><div><p>Please</p></div></noscript>", "<div><svg><g><text>s</text></div>", "<span><svg><path></span>",
+        "<div><object><div>o</div></div>", "<a href=x><template><p>t</a>", "<div><select><option>a</div>", "<svg><title>t</title><path/><foreignObject><p>f</p></foreignObject></svg>", "<svg><path>", "<br/><svg/>",
+        "<select><option>a<input>", "<template><li>x<li>y<template>z</template>w</template>", "<object><param name=a><p>o</object>",
+    ],
+)
+def test_unseen_elements_end(unseen):
+    page = h.parse(f"<body><article><p>{FIRST}</p>{unseen}<p>{SECOND}</p></article>")
+    assert [text for _, text, _ in page.blocks] == [FIRST, SECOND]
+    assert [page.tag[element] for element, _, _ in page.blocks] == ["p", "p"]
+    assert page.tag[page.parent[page.blocks[1][0]]] == "article"
+
+
+def test_labels_of_pages_are_not_read():
+    model = h.default_model()
+    page = "<body><div class='ad' data-content={}>Buy now</div><article data-content={}><p>" + FIRST + "</p></article>"
+    assert model.extract([page.format("x", "y"), page.format(1, 0), page.format("'[]'", "3.5")]) == [FIRST] * 3
+
+
 def plain(page):
     article = re.search(r"<article>(.*?)</article>", page, re.S)[1]
     blocks = re.sub(r"<[^>]*>", " ", re.sub(r"</?(h1|p)>", "\0", article)).split("\0")

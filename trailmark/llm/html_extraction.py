@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -19,18 +20,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches
-from .labelled_pages import labelled_pages
+from .labelled_pages import labelled_pages, loose_pages
 
 _GROUPS = (
     ("p",), ("h1",), ("h2", "h3", "h4", "h5", "h6"), ("li", "dd", "dt"), ("ul", "ol", "dl", "menu"), ("nav",), ("header", "hgroup"), ("footer", "address"),
     ("aside",), ("form", "fieldset", "legend", "label", "button"), ("article",), ("main",), ("section",), ("div", "center"),
     ("table", "tbody", "thead", "tfoot", "tr", "caption"), ("td", "th"), ("blockquote", "pre"), ("figure", "figcaption", "details", "summary"),
-    ("html", "body"), ("ins", "iframe", "dialog"),
+    ("html", "body"), ("ins", "iframe", "dialog"), ("#text",),
 )
 _GROUP = {tag: i for i, tags in enumerate(_GROUPS) for tag in tags}
 #: elements whose text is never shown as text of the page
-_UNSEEN = frozenset("script style noscript template title textarea select option svg math object canvas audio video".split())
+_UNSEEN = frozenset("script style noscript template title textarea select datalist svg math object canvas audio video".split())
+#: tags that end a drawing or formula left open, and the elements in which they don't
+_ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span "
+    "strong strike sub sup table tt u ul var".split()
+)
+_HOSTS = frozenset("foreignobject desc title annotation-xml".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_OPTIONAL = frozenset("p li dt dd option optgroup tr td th tbody thead tfoot rt rp".split())
 _CLOSES = {tag: frozenset(tags.split()) for tag, tags in {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th"}.items()}
 
 #: words of class, id and role by what they hint at
@@ -53,7 +61,10 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 @dataclass
 class Page:
-    """Block elements in document order, and the text blocks with the element each belongs to."""
+    """Block elements in document order, and the text blocks with the element each belongs to.
+
+    A run of text that stands in ``body`` or the root itself is an element ``#text`` of its own.
+    """
 
     parent: list[int] = field(default_factory=list)
     tag: list[str] = field(default_factory=list)
@@ -63,11 +74,15 @@ class Page:
 
 
 class _Builder(HTMLParser):
-    def __init__(self) -> None:
+    def __init__(self, labelled: bool) -> None:
         super().__init__(convert_charrefs=True)
         self.page = Page()
+        self.labelled = labelled
         self.open: list[int] = []
-        self.unseen: list[str] = []
+        self.unseen: list[str] = []  # the unseen element and what is open in it
+        self.inside, self.inline = Counter(), Counter()  # open tags: in the unseen element, and outside it those that are no blocks
+        self.mark: str | None = None  # the label of loose text, from a span in it
+        self.breaks = 0  # since the last text
         self.text: list[str] = []
         self.links, self.linked = 0, 0
         self._add("html", [])
@@ -82,24 +97,64 @@ class _Builder(HTMLParser):
         page.parent.append(above)
         page.tag.append(tag)
         page.hints.append(own)
-        page.label.append(int(values.get("data-content") or inherited))
+        page.label.append(int(values.get("data-content") or inherited) if self.labelled else 0)
         self.open.append(len(page.parent) - 1)
 
     def _flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
+            loose = self._loose()
+            if loose:
+                self._add("#text", [("data-content", self.mark)] if self.mark else [])
             self.page.blocks.append((self.open[-1], text, self.linked))
-        self.text, self.linked = [], 0
+            if loose:
+                self.open.pop()
+        self.text, self.linked, self.breaks, self.mark = [], 0, 0, None
+
+    def _loose(self) -> bool:
+        return self.page.tag[self.open[-1]] in ("html", "body")
 
     def _close(self, depth: int) -> None:
         self._flush()
         del self.open[depth:]
 
+    def _leave(self, depth: int) -> None:
+        self.inside.subtract(self.unseen[depth:])
+        del self.unseen[depth:]
+
+    def _start_unseen(self, tag: str, empty: bool) -> bool:
+        """Whether the tag stays within an unseen element."""
+        if tag in _ENDS_FOREIGN and not any(self.inside[name] > 0 for name in _HOSTS):
+            for name in ("svg", "math"):
+                if self.inside[name] > 0:
+                    self._leave(self.unseen.index(name))
+        elif self.inside["select"] > 0 and tag in ("input", "textarea", "select"):
+            self._leave(len(self.unseen) - 1 - self.unseen[::-1].index("select"))
+            if tag == "select":  # stands for the end tag
+                return True
+        if not self.unseen:
+            return False
+        if tag not in _VOID and not empty and not (tag in _OPTIONAL and self.unseen[-1] == tag):
+            self.unseen.append(tag)
+            self.inside[tag] += 1
+        return True
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.unseen and self._start_unseen(tag, False):
+            return
         if tag in _UNSEEN:
             self.unseen.append(tag)
-        elif tag == "br" or tag == "hr":
+            self.inside[tag] += 1
+            return
+        if tag not in _GROUP and tag not in _VOID:
+            self.inline[tag] += 1
+            if tag == "span" and self.labelled:
+                self.mark = dict(attrs).get("data-content") or self.mark
+        if tag == "br" or tag == "hr":
             self.text.append(" ")
+            self.breaks += 1
+            if self._loose() and (tag == "hr" or self.breaks > 1):
+                self._flush()
         elif tag == "a":
             self.links += 1
         elif tag in ("html", "body") and len(self.open) == 1 and tag not in self.page.tag[1:]:
@@ -117,9 +172,14 @@ class _Builder(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if self.unseen:
-            if tag in self.unseen:
-                del self.unseen[self.unseen.index(tag) :]
-        elif tag == "a":
+            if self.inside[tag] > 0:
+                self._leave(len(self.unseen) - 1 - self.unseen[::-1].index(tag))
+                return
+            if tag not in ("html", "body") and self.inline[tag] == 0 and all(self.page.tag[i] != tag for i in self.open[1:]):
+                return
+            self._leave(0)  # left open in an element that ends here
+        self.inline[tag] = max(self.inline[tag] - 1, 0)
+        if tag == "a":
             self.links = max(self.links - 1, 0)
         elif tag in _GROUP and tag not in ("html", "body"):
             for depth in range(len(self.open) - 1, 0, -1):
@@ -129,27 +189,32 @@ class _Builder(HTMLParser):
                     break
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        if tag not in _UNSEEN:
+        if tag not in _UNSEEN and not (self.unseen and self._start_unseen(tag, True)):
             self.handle_starttag(tag, attrs)
             if tag not in _VOID:
                 self.handle_endtag(tag)
+        elif self.unseen and tag in _UNSEEN:
+            self._start_unseen(tag, True)
 
     def handle_data(self, data: str) -> None:
         if not self.unseen:
             self.text.append(data)
+            if not data.isspace():
+                self.breaks = 0
             if self.links:
                 self.linked += len(data.split())
 
 
-def parse(html: str) -> Page:
-    builder = _Builder()
+def parse(html: str, labelled: bool = True) -> Page:
+    """``data-content`` is read on labelled pages only; elsewhere it is an attribute like any other."""
+    builder = _Builder(labelled)
     builder.feed(html)
     builder.close()
     builder._flush()
     return builder.page
 
 
-N_FEATURES = len(_GROUPS) + len(_HINTS) + 11
+N_FEATURES = len(_GROUPS) + len(_HINTS) + 14
 
 
 class Forest:
@@ -185,10 +250,13 @@ class Forest:
                     x[at + i, len(_GROUPS) + hint] = 1
         rest = len(_GROUPS) + len(_HINTS)
         many = np.maximum(below[:, 0], 1)
+        # the state of what stands in the body says nothing about the body's, so its look counts differently
+        top = np.where(self.parent >= 0, x[self.parent, _GROUP["body"]], 0) if size else np.zeros(0)
         x[:, rest:] = np.column_stack(
             [
                 np.log1p(own[:, 0]), np.log1p(below[:, 0]), own[:, 0] > 12, below[:, 1] / many, below[:, 1] / many > 0.5, np.minimum(below[:, 2] / many, 0.5),
-                below[:, 3] > 0, below[:, 0] / np.maximum(total, 1), below[:, 0] == 0, np.minimum(depth, 12) / 4, np.ones(size),
+                below[:, 3] > 0, below[:, 0] / np.maximum(total, 1), below[:, 0] == 0, np.minimum(depth, 12) / 4,
+                top, top * np.log1p(own[:, 0]), top * x[:, _GROUP["p"]], np.ones(size),
             ]
         )
         self.x = x
@@ -229,7 +297,7 @@ class Model:
     ties: np.ndarray  # parent state, child state
 
     def extract(self, htmls: list[str]) -> list[str]:
-        pages = [parse(html) for html in htmls]
+        pages = [parse(html, labelled=False) for html in htmls]
         forest = Forest(pages)
         content = marginals(forest, self.weights, self.ties)[0] >= 0.5 if len(forest.parent) else []
         return ["\n\n".join(text for element, text, _ in page.blocks if content[at + element]) for page, at in zip(pages, forest.offset)]
@@ -254,7 +322,7 @@ def fit(htmls: list[str], rounds: int = 160, penalty: float = 2e-4) -> Model:
 
 @functools.cache
 def default_model() -> Model:
-    return fit(labelled_pages())
+    return fit(labelled_pages() + loose_pages())
 
 
 SCHEMA = "page_id long, url string, text string"

@@ -1,6 +1,7 @@
 """Labelled pages to train the extractor on, composed by a rule: regions of known kind, in the mark-up that sites use for them.
 
 Labels are carried by an attribute ``data-content`` (1 or 0), which a region's elements inherit and the extractor never sees.
+Text that stands in ``body`` itself has it on a span.
 """
 
 from __future__ import annotations
@@ -98,6 +99,42 @@ class _Writer:
         middle = draw.choice([article + side, f"<div class='wrapper'>{article}{side}</div>", f"<div id='page'><div>{article}</div>{side}</div>"])
         return f"<html><head><title>x</title></head><body data-content=0>{''.join(before)}{middle}{''.join(after)}{foot}</body></html>"
 
+    def run(self, label: int, text: str) -> str:
+        return f"<span data-content={label}>{text}</span>"
+
+    def anchors(self) -> str:
+        return " | ".join(f"<a href='/x'>{self.words(1, 3)}</a>" for _ in range(self.random.randint(2, 7)))
+
+    def loose_article(self) -> str:
+        """Paragraphs that stand in the body, parted by breaks, rules or paragraph tags left open."""
+        draw = self.random
+        title = draw.choice(["", f"<h1 data-content=1>{self.words(2, 8)}</h1>", self.run(1, f"<b>{self.words(2, 8)}</b>") + "<br><br>"])
+        parts = [self.run(1, self.words(8, 90) + draw.choice(["", "", f"<br>{self.words(3, 20)}"]))]
+        for _ in range(draw.randint(0, 8)):
+            if draw.random() < 0.3:
+                parts.append(f"<p data-content=1>{self.words(5, 90)}" + draw.choice(["</p>", "<hr>"]))
+            else:
+                link = f"<a href='/y'>{self.words(1, 3)}</a> " if draw.random() < 0.15 else ""
+                parts.append(draw.choice(["<br><br>", "<br><br>", "<hr>"]) + self.run(1, link + self.words(3, 90)))
+        return title + "".join(parts)
+
+    def loose_page(self) -> str:
+        draw, rule = self.random, "<hr>"
+        if draw.random() < 0.4:  # an article in mark-up, and stray text beside it
+            stray = self.run(0, draw.choice([self.words(1, 6), self.anchors(), f"&copy; {self.words(1, 5)}"]))
+            whole, place = self.page(), draw.choice(["<body data-content=0>", "</body>"])
+            return whole.replace(place, place + stray if place.startswith("<body") else stray + place)
+        before = draw.choice(["", self.run(0, self.anchors()) + rule, self.pick(_MENUS, 0, f"<ul>{self.links(2, 9)}</ul>"), self.pick(_HEADERS, 0, f"<p>{self.words(1, 5)}</p>")])
+        last = draw.choice([f"&copy; {self.words(1, 6)}", f"Copyright {self.words(1, 6)}", self.anchors()])
+        after = draw.choice(["", rule + self.run(0, last), rule + self.run(0, last), self.pick(_FOOTERS, 0, f"&copy; {self.words(1, 4)}")])
+        inside = f"{before}{self.loose_article()}{after}"
+        return inside if draw.random() < 0.25 else f"<html><head><title>x</title></head><body data-content=0>{inside}</body></html>"
+
+
+def loose_pages(count: int = 120, seed: int = 12) -> list[str]:
+    """Pages with text that stands in ``body`` itself."""
+    return [_Writer(seed * 100_000 + i).loose_page() for i in range(count)]
+
 
 def labelled_pages(count: int = 300, seed: int = 11) -> list[str]:
     return [_Writer(seed * 100_000 + i).page() for i in range(count)]
