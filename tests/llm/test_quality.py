@@ -68,3 +68,32 @@ def test_odd_rows(spark):
     assert len(by) == 5 and len({by[k] for k in by if k[0] in (1, 2)}) == 1
     assert quality.train(docs, labels.limit(0)) is None
     assert quality.score(docs.limit(0), None).count() == 0
+
+
+def fitted_to(spark, monkeypatch, docs, labels, **bounds):
+    """What ``train`` hands to ``fit``: the features and the label of each document."""
+    monkeypatch.setattr(quality, "fit", lambda sequences, labels: list(zip(sequences, labels)))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    return quality.train(*frames, **bounds)
+
+
+def test_whole_documents_are_learnt_once_each(spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:4]
+    long = "\n".join(["Clean words stand here."] * 50 + ["| junk | !!"] * 50)
+    docs = [(ids[0], long)] * 30 + [(ids[1], "One text."), (ids[1], "Another text,\nof two lines.")] + [(ids[2], "A.\nB.\nC."), (ids[3], "D.")]
+    found = fitted_to(spark, monkeypatch, docs, [(i, i % 2) for i in ids])
+    assert [y for _, y in found] == [i % 2 for i in ids]
+    assert found[0][0] == pytest.approx(quality.features(long.split("\n")), abs=1e-5)
+    assert len(found[1][0]) == len(fitted_to(spark, monkeypatch, docs[::-1], [(i, 0) for i in ids])[1][0])
+    assert sorted(len(x) for x, _ in fitted_to(spark, monkeypatch, docs, [(i, 0) for i in ids], max_lines=6)) in ([1, 1, 3], [1, 2, 3])
+    assert len(fitted_to(spark, monkeypatch, [(ids[0], long)], [(ids[0], 1)], max_lines=6)[0][0]) == 100
+
+
+def test_long_sequences(monkeypatch):
+    model, random = toy_model(), np.random.default_rng(6)
+    lines = [random.choice(["a b c", "D!!", "x | y", "end."]) for _ in range(300)]
+    odds = (quality.features(lines) @ model.weights)[None]
+    assert quality._expectations(odds, model.ties, np.ones((1, 300), bool))[0][0] == pytest.approx(model.line_marginals(lines))
+    good, bad = quality.features(["Some words of a text."] * 40), quality.features(["| !! |"] * 700)
+    fitted = quality.fit([good, bad], [1, 0])
+    assert fitted.score("Some words of a text.\n" * 5) > 0.5 > fitted.score("| !! |\n" * 5)

@@ -13,14 +13,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import map_batches, whole_text
 
-#: bounds of the fit: labelled documents (those of smallest hash), and lines of each that it learns from
+#: bounds of the fit: labelled documents (those of smallest hash), and lines of all of them together
 FIT_DOCUMENTS = 2000
-FIT_LINES = 32
+FIT_LINES = 100_000
 
 THRESHOLD = 0.3
 
@@ -133,66 +134,79 @@ class Model:
 
 
 def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 80, penalty: float = 1e-3) -> Model:
-    """Maximum likelihood by Adam on the exact gradient; all sequences go through the recursions side by side."""
-    longest = max(len(x) for x in sequences)
+    """Maximum likelihood by Adam on the exact gradient; sequences of like length go through the recursions side by side."""
     stacked = np.concatenate(sequences)
     centre, scale = stacked.mean(axis=0), stacked.std(axis=0) + 1e-6
     centre[-1], scale[-1] = 0.0, 1.0
-    x = np.zeros((len(sequences), longest, N_FEATURES), np.float32)
-    live = np.zeros((len(sequences), longest), bool)
+    groups: dict[int, list[int]] = {}
     for i, sequence in enumerate(sequences):
-        x[i, : len(sequence)] = (sequence - centre) / scale
-        live[i, : len(sequence)] = True
-    y = np.array(labels, float)
-    weight = 1.0 / live.sum(axis=1)  # a document counts once, however long
+        groups.setdefault(max(len(sequence) - 1, 31).bit_length(), []).append(i)
+    parts = []
+    for _, members in sorted(groups.items()):
+        sizes = np.array([len(sequences[i]) for i in members])
+        live = np.arange(sizes.max()) < sizes[:, None]
+        flat = ((np.concatenate([sequences[i] for i in members]) - centre) / scale).astype(np.float32)
+        parts.append((live, flat, np.array([labels[i] for i in members]), 1.0 / sizes))  # a document counts once, however long
     theta, m, v = np.zeros(N_FEATURES + 4), np.zeros(N_FEATURES + 4), np.zeros(N_FEATURES + 4)
-    flat, inside = x[live], live
-    same = live[:, 1:] & live[:, :-1]
     for step in range(1, rounds + 1):
         weights, ties = theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2)
-        odds = np.zeros(live.shape)
-        odds[inside] = np.clip(flat @ weights.astype(np.float32), -30, 30)
-        node, pair = _expectations(odds, ties, live)
-        slip = np.where(live, y[:, None] - node, 0) * weight[:, None]
-        gradient = np.concatenate([flat.T @ slip[inside].astype(np.float32), np.zeros(4)])
-        real = np.zeros((len(y), 2, 2))
-        real[np.arange(len(y)), y.astype(int), y.astype(int)] = 1
-        tied = ((real[:, None] - pair) * same[:, :, None, None] * weight[:, None, None, None]).sum(axis=(0, 1))
-        gradient[N_FEATURES:] = tied.ravel()
-        gradient = gradient / len(y) - penalty * theta
+        gradient = np.zeros(N_FEATURES + 4)
+        for live, flat, y, weight in parts:
+            odds = np.zeros(live.shape)
+            odds[live] = np.clip(flat @ weights.astype(np.float32), -30, 30)
+            node, pair = _expectations(odds, ties, live)
+            slip = np.where(live, y[:, None] - node, 0) * weight[:, None]
+            gradient[:N_FEATURES] += flat.T @ slip[live].astype(np.float32)
+            real = np.zeros((len(y), 2, 2))
+            real[np.arange(len(y)), y, y] = 1
+            same = live[:, 1:] & live[:, :-1]
+            tied = ((real[:, None] - pair) * same[:, :, None, None] * weight[:, None, None, None]).sum(axis=(0, 1))
+            gradient[N_FEATURES:] += tied.ravel()
+        gradient = gradient / len(sequences) - penalty * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta = theta + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return Model(theta[:N_FEATURES].copy(), theta[N_FEATURES:].reshape(2, 2).copy(), centre, scale)
 
 
+def _products(steps: np.ndarray) -> np.ndarray:
+    """Of each sequence of 2 x 2 matrices the products of its first 1, 2, 3, ... ones, up to scale, by doubling."""
+    out, size = steps / steps.max(axis=(2, 3), keepdims=True), 1
+    while size < out.shape[1]:
+        left, right = out[:, :-size], out[:, size:]
+        joined = left[..., :, :1] * right[..., :1, :] + left[..., :, 1:] * right[..., 1:, :]
+        out = np.concatenate([out[:, :size], joined / joined.max(axis=(2, 3), keepdims=True)], axis=1)
+        size *= 2
+    return out
+
+
 def _expectations(odds: np.ndarray, ties: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of the good state and of pairs of states, for all sequences at once; steps past an end change nothing."""
     count, longest = odds.shape
     potential = np.stack([np.ones_like(odds), np.exp(odds)], axis=2)
     tie = np.exp(ties)
     ahead, back = np.zeros((count, longest, 2)), np.full((count, longest, 2), 0.5)
-    message = potential[:, 0] / potential[:, 0].sum(axis=1, keepdims=True)
-    ahead[:, 0] = message
-    for t in range(1, longest):
-        step = (message @ tie) * potential[:, t]
-        step /= step.sum(axis=1, keepdims=True)
-        message = np.where(live[:, t, None], step, message)
-        ahead[:, t] = message
-    for t in range(longest - 2, -1, -1):
-        step = (back[:, t + 1] * potential[:, t + 1]) @ tie.T
-        step /= step.sum(axis=1, keepdims=True)
-        back[:, t] = np.where(live[:, t + 1, None], step, 0.5)
+    ahead[:, 0] = potential[:, 0] / potential[:, 0].sum(axis=1, keepdims=True)
+    if longest > 1:
+        steps = np.where(live[:, 1:, None, None], tie * potential[:, 1:, None, :], np.eye(2))
+        upto = _products(steps)
+        ahead[:, 1:] = (ahead[:, :1, :, None] * upto).sum(axis=2)
+        # from the end the products grow to the left: those of the transposed matrices, in reverse
+        onward = np.swapaxes(_products(np.swapaxes(steps[:, ::-1], 2, 3)), 2, 3)[:, ::-1]
+        back[:, :-1] = onward.sum(axis=3)
+        ahead /= ahead.sum(axis=2, keepdims=True)
+        back /= back.sum(axis=2, keepdims=True)
     both = ahead * back
     node = both[:, :, 1] / both.sum(axis=2)
     pair = ahead[:, :-1, :, None] * tie * (potential * back)[:, 1:, None, :]
     return node, pair / pair.sum(axis=(2, 3), keepdims=True)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_documents: int = FIT_DOCUMENTS) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, max_documents: int = FIT_DOCUMENTS, max_lines: int = FIT_LINES) -> Model | None:
     """A model from the labelled documents whose ``crc32(doc_id) mod 5`` is not 0; None if there are none.
 
-    Takes the ``max_documents`` of smallest hash, and the first ``FIT_LINES`` lines of each; their features are computed
-    where the documents are. Repeated labels of a document count once, null ones not at all.
+    Takes the ``max_documents`` of smallest hash, whole, and of these fewer if they have more than ``max_lines`` lines together
+    (one that does not fit is passed over; if none fits, the shortest is taken); their features are computed where the documents
+    are. Repeated labels of a document count once, null ones not at all; of unlike texts of one id the one of smallest hash counts.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -205,15 +219,25 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = FIT_DOCUMENTS
     )
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [features(lines_of(text)[:FIT_LINES]).astype(np.float32).tobytes() for text in batch.column("text").to_pylist()]
+        found = [features(lines_of(text)).astype(np.float32).tobytes() for text in batch.column("text").to_pylist()]
         return pa.record_batch({"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "x": pa.array(found, pa.binary())})
 
     # at most max_documents ids of eight bytes are broadcast
-    texts = whole_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
-    rows = {r.doc_id: r for r in map_batches(texts, run, "doc_id long, quality int, x binary").collect()}
-    if not rows:
+    alike = Window.partitionBy("doc_id").orderBy("text_hash", "text")
+    texts = whole_text(docs).join(F.broadcast(chosen), "doc_id").withColumn("text_hash", F.xxhash64("text"))
+    texts = texts.withColumn("copy", F.row_number().over(alike)).where("copy = 1").select("doc_id", "text", "quality")
+    texts = materialize(texts, "labelled")
+    sizes = texts.select("doc_id", F.size(F.split("text", "\n", -1)).alias("lines"), F.xxhash64("doc_id").alias("hash")).collect()
+    if not sizes:
         return None
-    ordered = [rows[key] for key in sorted(rows)]
+    taken, total = [], 0
+    for row in sorted(sizes, key=lambda r: (r.hash, r.doc_id)):
+        if total + row.lines <= max_lines:
+            taken.append(row.doc_id)
+            total += row.lines
+    taken = taken or [min(sizes, key=lambda r: (r.lines, r.hash)).doc_id]
+    some = texts.where(F.col("doc_id").isin(taken))
+    ordered = sorted(map_batches(some, run, "doc_id long, quality int, x binary").collect(), key=lambda r: r.doc_id)
     sequences = [np.frombuffer(bytes(r.x), np.float32).reshape(-1, N_FEATURES).astype(float) for r in ordered]
     return fit(sequences, [int(r.quality) for r in ordered])
 
