@@ -64,3 +64,26 @@ def test_rules_have_their_keyword():
 def test_query_equals_sql(spark, sf):
     folder = f"/root/testdata/{sf}"
     assert differences(QUERIES["op1_licenses"](spark, folder), connect(folder), ORACLES["op1_licenses"]) is None
+
+
+def alternatives(pattern):
+    """The patterns without their first group of alternatives, for one choice each; optional parts are left out."""
+    pattern = re.sub(r"\(\?:[^()]*\)\?", "", pattern)
+    group = re.search(r"\(\?:([^()]*)\)", pattern)
+    if not group:
+        return [pattern]
+    return [x for choice in group[1].split("|") for x in alternatives(pattern[: group.start()] + choice + pattern[group.end() :])]
+
+
+def test_every_alternative_holds_the_keyword():
+    for rule in license_rules.rules():
+        for words in alternatives(rule.pattern):
+            assert re.search(rf"(?<!\w){rule.keyword}(?![\w?\[])", words), (rule, words)
+
+
+def test_freebsd(spark):
+    texts = ["FreeBSD License", "SPDX-License-Identifier: FreeBSD", "Released under the FreeBSD licence.", "Simplified BSD License"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rules = license_rules.rules()
+    assert sorted(map(tuple, licenses.scan(docs).collect())) == [(i, *plain(t, rules)) for i, t in enumerate(texts)]
+    assert all("bsd-2-clause" in plain(t, rules)[5].split(",") for t in texts)

@@ -25,7 +25,8 @@ apache-1.0 | apache | apache(?: software)? license (?:version |v )?1 0
 apache-1.1 | apache | apache(?: software)? license (?:version |v )?1 1
 apache-2.0 | apache | apache(?: software)?(?: license| licence)?(?: version| v)? 2 0(?: license)?
 apache-2.0 | asl | asl 2 0
-bsd-2-clause | bsd | (?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)(?: license| licence)?
+bsd-2-clause | bsd | (?:simplified bsd|bsd 2 clause|2 clause bsd)(?: license| licence)?
+bsd-2-clause | freebsd | freebsd(?: license| licence)?
 bsd-3-clause | bsd | (?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)(?: license| licence)?
 bsd-4-clause | bsd | (?:original bsd|bsd 4 clause|4 clause bsd)(?: license| licence)?
 0bsd | 0bsd | 0bsd(?: license)?
