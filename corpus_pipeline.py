@@ -1,4 +1,4 @@
-"""From raw documents to token ids: quality, line dedup, near dedup, decontamination, encoding.
+"""From raw documents to token ids: quality, line dedup, near dedup, decontamination, encoding and decoding.
 
 Every stage takes all documents that the stage before kept, and all but the last return the columns of ``documents``. Between
 stages the documents are a Parquet table in the shared folder, so a lost executor costs part of one stage at most.
@@ -42,7 +42,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, token_ids`` of every document."""
+    """``doc_id, n_tokens, token_ids`` of every document, whose ids were decoded again and gave its text."""
     return bpe.encode_to_arrays(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 

@@ -75,3 +75,11 @@ def test_query(spark, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_arrays_are_decoded(spark, encoder):
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    assert bpe.encode_to_arrays(docs, PATH, public.PATTERN).count() == 2
+    assert encoder[0].round_trip("déjà vu 中") == encoder[0].encode("déjà vu 中")
+    with pytest.raises(Exception, match="do not decode"):  # a pattern that passes over blanks
+        bpe.encode_to_arrays(docs, PATH, "[a-z]+").collect()

@@ -214,17 +214,28 @@ class Encoder:
             out.append(ids)
         return b"".join(out)
 
+    def round_trip(self, text: str) -> bytes:
+        """The ids of a text, after they were decoded again and gave the text."""
+        ids = self.encode(text)
+        if _decode(self.transducer.token, ids, 4096) != text:
+            raise ValueError("the token ids of a text do not decode to it")
+        return ids
+
 
 class Decoder:
     def __init__(self, vocabulary: bytes):
         self.token = {rank: token for token, rank in _ranks(vocabulary).items()}
 
     def decode(self, ids: bytes, chunk: int = 4096) -> str:
-        token, stream, out = self.token, Utf8Stream(), []
-        numbers = memoryview(ids).cast("I")
-        for start in range(0, len(numbers), chunk):
-            out.append(stream.feed(b"".join([token[i] for i in numbers[start : start + chunk]])))
-        return "".join(out) + stream.end()
+        return _decode(self.token, ids, chunk)
+
+
+def _decode(token: dict[int, bytes], ids: bytes, chunk: int) -> str:
+    stream, out = Utf8Stream(), []
+    numbers = memoryview(ids).cast("I")
+    for start in range(0, len(numbers), chunk):
+        out.append(stream.feed(b"".join([token[i] for i in numbers[start : start + chunk]])))
+    return "".join(out) + stream.end()
 
 
 def _ranks(vocabulary: bytes) -> dict[bytes, int]:
@@ -275,13 +286,15 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def encode_to_arrays(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, token_ids`` of every row, the ids as an array of int; otherwise as ``encode``."""
+    """``doc_id, n_tokens, token_ids`` of every row, the ids as an array of int; otherwise as ``encode``.
 
+    The ids of every text are decoded too, by the incremental decoder; ids that do not give the text end the job.
+    """
     spread = _vocabulary(docs.sparkSession, path)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = _encoder(spread.value, pattern)
-        ids = [encoder.encode(text) for text in batch.column("text").to_pylist()]
+        ids = [encoder.round_trip(text) for text in batch.column("text").to_pylist()]
         sizes = [len(x) // 4 for x in ids]
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
         return pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), lists], names=["doc_id", "n_tokens", "token_ids"])
