@@ -58,3 +58,13 @@ def test_odd_rows(spark):
 def test_query_equals_sql(spark, sf):
     folder = f"/root/testdata/{sf}"
     assert differences(QUERIES["op9_line_dedup"](spark, folder), connect(folder), ORACLES["op9_line_dedup"]) is None
+
+
+def test_repeated_rows_are_parsed_once(spark):
+    text = "one line of the text\nanother line of the text"
+    docs = spark.createDataFrame([(7, text)] * 50 + [(None, text)] * 50, "doc_id long, text string")
+    ranked = line_dedup.repeated_lines(docs)
+    assert ranked.groupBy("doc_id").count().orderBy("doc_id").collect() == [(None, 2), (7, 2)]
+    assert line_dedup.repeated_lines(docs.where("doc_id = 7")).count() == 0
+    got = line_dedup.dedup_lines(docs, 2).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0)] * 50 + [(7, 2)] * 50

@@ -64,3 +64,14 @@ def test_odd_rows(spark):
     frame = spark.createDataFrame([(d, t, "k") for d, t in docs], "doc_id long, text string, start string")
     assert rows(sub.remove_repeats(frame)) == sorted(plain(docs), key=str)
     assert sub.remove_repeats(frame.limit(0)).count() == 0
+
+
+def test_repeated_rows_are_parsed_once(spark):
+    random.seed(9)
+    word = lambda: "".join(random.choice("abcdefgh ") for _ in range(9))
+    passage, other = " ".join(word() for _ in range(12)), " ".join(word() for _ in range(12))
+    docs = [(1, passage)] + [(5, "x" + passage + other)] * 40 + [(None, other + "y")] * 40 + [(6, other + passage)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = sub.spans(frame).groupBy("own_id", "text_hash", "start", "size").count()
+    assert found.where("count > 1").count() == 0 and found.count() > 0
+    assert rows(sub.remove_repeats(frame)) == sorted(plain(docs), key=str)

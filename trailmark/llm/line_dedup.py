@@ -45,12 +45,15 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """Every line, blank ones aside, that occurs at more than one place: ``doc_id, text_hash, seq, at, words, place, first, rank``.
 
     ``seq`` counts a document's lines without blank ones; ``at`` is the suffix so far, an array of ``(seq, line)`` with lines
-    from 1. Lines are compared without the white space around them, by 128 bits of hash.
+    from 1. Lines are compared without the white space around them, by 128 bits of hash. Rows alike in ``doc_id`` and text are
+    taken once: their lines have one place.
     """
     bare = F.transform(_split(F.col("text")), lambda x, i: F.struct((i + 1).alias("line"), _bare(x).alias("bare")))
     lines = (
         whole_text(docs)
-        .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.filter(bare, lambda x: x["bare"] != "")).alias("seq", "x"))
+        .withColumn("text_hash", F.xxhash64("text"))
+        .dropDuplicates(_KEY)
+        .select(*_KEY, F.posexplode(F.filter(bare, lambda x: x["bare"] != "")).alias("seq", "x"))
         .select(
             *_KEY,
             "seq",

@@ -134,6 +134,14 @@ def _table(schema: str, columns: list[list[np.ndarray]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(np.concatenate([np.zeros(0, t), *c])) for t, c in zip(types, columns)], names=list(names))
 
 
+def _once(texts: DataFrame, broadcast) -> DataFrame:
+    """One row of each ``own_id`` and text. Only rows whose key may occur again are shuffled."""
+    named = F.xxhash64(*_ORDER)
+    again = texts.select(*_ORDER).groupBy(*_ORDER).agg(F.count("*").alias("n")).where("n > 1")
+    flagged = texts.withColumn("again", _has(broadcast(_bitmap(again.select(named.alias("key")), "key")), named))
+    return flagged.where(~F.col("again")).unionByName(flagged.where("again").dropDuplicates(_ORDER)).drop("again")
+
+
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``own_id, text_hash, start, size``: stretches to remove; together they cover exactly the repeated strings. They overlap."""
     spark = docs.sparkSession
@@ -148,6 +156,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     maybe = _has(broadcast(_bitmap(copies.select(named.alias("key")), "key")), named)
     flagged = texts.withColumn("maybe", maybe)
     texts = flagged.where(~F.col("maybe")).unionByName(flagged.where("maybe").join(copies, _ORDER, "left_anti")).drop("maybe")
+    texts = _once(texts, broadcast)
 
     def triggers(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner = np.asarray(batch.column("own_id"))
@@ -188,7 +197,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     discard(parsed, dictionary)
     opened = marked.select(*_ORDER, F.filter("marks", lambda x: ~x["whole"]).alias("open")).where(F.size("open") > 0)
     concerned = broadcast(_bitmap(opened.select(named.alias("key")), "key"))
-    some = texts.where(_has(concerned, named)).select(*_ORDER, "text").dropDuplicates(_ORDER)
+    some = texts.where(_has(concerned, named)).select(*_ORDER, "text")
     joined = materialize(some.join(opened, _ORDER).select(*_ORDER, "text", "open"), "opened")
     side_schema = "key long, own_id long"
 
