@@ -68,3 +68,12 @@ def test_repeated_rows_are_parsed_once(spark):
     assert line_dedup.repeated_lines(docs.where("doc_id = 7")).count() == 0
     got = line_dedup.dedup_lines(docs, 2).collect()
     assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0)] * 50 + [(7, 2)] * 50
+
+
+@pytest.mark.parametrize("run_lines", [3, 5, 7])
+def test_runs_of_any_length(spark, run_lines):
+    random.seed(run_lines)
+    words = ["a", "b", "c d", " x ", ""]
+    docs = [(i, "\n".join(random.choice(words) for _ in range(random.randint(0, 14)))) for i in range(150)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), run_lines).collect()
+    assert [(r.text, r.n_removed) for r in sorted(got, key=lambda r: r.doc_id)] == plain(docs, run_lines)

@@ -7,7 +7,8 @@ longest common prefix is at least that long; suffixes alone in their interval le
 before they are sorted, so a line that makes up a third of all rows is one row there.
 
 What goes: in an interval of long enough runs, all occurrences but the first in corpus order. Overlapping runs join, so
-maximal repeated runs disappear as a whole.
+maximal repeated runs disappear as a whole. Runs whose length is no power of two are two overlapping windows of the largest
+power of two below it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import whole_text
 
-RUN_LINES = 4  # a power of two
+RUN_LINES = 4
 LINE_WORDS = 6
 
 _KEY = ["doc_id", "text_hash"]
@@ -81,15 +82,15 @@ def _ranked(suffixes: DataFrame, by: list[str], name: str) -> DataFrame:
     return materialize(suffixes.join(ranks, by).drop(*by), name)
 
 
-def _doubled(suffixes: DataFrame, length: int) -> DataFrame:
-    """Suffixes ranked by ``length`` lines, ranked by twice as many; no rank there means no repeated run that long."""
-    ahead = Window.partitionBy(*_KEY).orderBy("seq").rangeBetween(length, length)
+def _widened(suffixes: DataFrame, length: int, by: int) -> DataFrame:
+    """Suffixes ranked by ``length`` lines, ranked by up to ``length`` more; no rank there means no repeated run that long."""
+    ahead = Window.partitionBy(*_KEY).orderBy("seq").rangeBetween(by, by)
     pairs = (
         suffixes.withColumn("beyond", F.max("rank").over(ahead))
         .withColumn("at", F.concat("at", F.max("at").over(ahead)))
         .where("beyond IS NOT NULL")
     )
-    return _ranked(pairs.drop("first").withColumnRenamed("rank", "here"), ["here", "beyond"], f"runs_{2 * length}")
+    return _ranked(pairs.drop("first").withColumnRenamed("rank", "here"), ["here", "beyond"], f"runs_{length + by}")
 
 
 def removed_lines(docs: DataFrame, run_lines: int = RUN_LINES, line_words: int = LINE_WORDS) -> DataFrame:
@@ -99,7 +100,8 @@ def removed_lines(docs: DataFrame, run_lines: int = RUN_LINES, line_words: int =
     gone = ranked.where(later & (F.col("words") >= line_words)).select(*_KEY, F.explode("at").alias("lost"))
     length = 1
     while length < run_lines:
-        ranked, length = _doubled(ranked, length), 2 * length
+        by = min(length, run_lines - length)
+        ranked, length = _widened(ranked, length, by), length + by
     runs = ranked.where(later).select(*_KEY, F.explode("at").alias("lost"))
     return gone.unionByName(runs).groupBy(*_KEY).agg(F.sort_array(F.collect_set("lost")).alias("lost"))
 
@@ -113,7 +115,6 @@ def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, line_words: int = L
     by hash; a null ``doc_id`` comes first. Null texts stay null, blank lines and white space are never deleted, and a text
     that loses all its lines becomes empty (or blank).
     """
-    run_lines = 1 << (run_lines - 1).bit_length()
     gone = removed_lines(docs, run_lines, line_words).select(
         F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), F.col("lost")
     )
