@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontamination, html_extraction, licenses, line_dedup, oracles, pii, quality, simhash, substring_dedup
+from . import alignment, ann, bpe, decontamination, html_extraction, licenses, line_dedup, oracles, pii, quality, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -97,3 +97,10 @@ def op10_substring_dedup(spark, sf_dir):
 def op4_html(spark, sf_dir):
     """Main text of every page."""
     return html_extraction.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    """Groups and links of the tokens of two tokenizers over every document."""
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *files)
