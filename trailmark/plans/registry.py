@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import payload, urls
+from ..functions.numbers import round_half_away
 from ..functions.text import repaired_event_name
 from ..functions.times import micros, parse_utc
-from ..operators import attribution, cleaning, drift, marts, monitoring, quality, sessions
+from ..operators import attribution, cleaning, drift, marts, monitoring, multi_touch, quality, sessions
 from ..session import configure, materialize, staged
 from ..sources import csv_drop, tables
 from ..sources.web_events import web_events, write_daily_files
@@ -342,6 +343,37 @@ def channel_revenue_first_click(spark, sf_dir):
     return marts.channel_revenue(attributed(spark, sf_dir), "first")
 
 
+_HALF_LIVES = {"linear": None, "time_decay": multi_touch.HALF_LIFE_DAYS}
+
+
+def _credit_query(model: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return multi_touch.credits(cleaned(spark, sf_dir), _HALF_LIVES[model]).select(
+            "row_seq",
+            "client_id",
+            "channel",
+            "touches",
+            round_half_away(F.col("share"), 6).alias("share"),
+            round_half_away(F.col("revenue"), 4).alias("revenue"),
+        )
+
+    return run
+
+
+def _channel_credit_query(model: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return multi_touch.channel_credit(multi_touch.credits(cleaned(spark, sf_dir), _HALF_LIVES[model], "price_first"))
+
+    return run
+
+
+for _model in _HALF_LIVES:
+    for _key, _make in (("attribution", _credit_query), ("channel_revenue", _channel_credit_query)):
+        _run = _make(_model)
+        _run.__name__ = f"{_key}_{_model}"
+        query(_run)
+
+
 @query
 def top10_channels(spark, sf_dir):
     return marts.top_channels(attributed(spark, sf_dir), "last", 10)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import attribution, cleaning, marts, monitoring, quality, sessions
+from ..operators import attribution, cleaning, marts, monitoring, multi_touch, quality, sessions
 from ..session import discard, materialize
 from ..sources import csv_drop, tables
 
@@ -83,6 +83,10 @@ def analyse(spark: SparkSession, out: Layout) -> dict[str, DataFrame]:
         "daily_revenue": marts.daily_revenue(purchases),
         "channel_revenue_last_click": marts.channel_revenue(purchases, "last"),
         "channel_revenue_first_click": marts.channel_revenue(purchases, "first"),
+        "channel_revenue_linear": multi_touch.channel_credit(multi_touch.credits(events, None, "price_first")),
+        "channel_revenue_time_decay": multi_touch.channel_credit(
+            multi_touch.credits(events, multi_touch.HALF_LIFE_DAYS, "price_first")
+        ),
         "conversion_rate_by_channel": marts.conversion_by_channel(events),
         "revenue_by_device": marts.revenue_by_device(events),
         "assisted_vs_direct": marts.assisted_vs_direct(purchases),
