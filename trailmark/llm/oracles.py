@@ -86,8 +86,42 @@ kept AS (
 )"""
 
 
+def collocated(docs: str, least: int = 100, longest: int = 5, top: int = 2000) -> str:
+    """Collocations of a relation: every phrase of every piece is written out and counted."""
+    return f"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS body FROM {docs}
+),
+split AS (SELECT lang, list_filter(string_split_regex(body, '[ \\t]+'), lambda w: w <> '') AS ws FROM piece),
+size AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM split GROUP BY lang),
+spot AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM split),
+span AS (SELECT lang, ws, i, unnest(range(1, {longest} + 1)) AS m FROM spot),
+f AS (
+    SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, m, count(*) AS a FROM span WHERE i + m - 1 <= len(ws)
+    GROUP BY ALL HAVING count(*) >= {least}
+),
+candidate AS (SELECT * FROM f WHERE m >= 2),
+held AS (
+    SELECT c.lang, c.phrase FROM candidate c JOIN candidate d ON d.lang = c.lang AND d.m > c.m
+        AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.a >= 100 * c.a
+),
+cut AS (SELECT c.*, string_split(c.phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM candidate c ANTI JOIN held h ON h.lang = c.lang AND h.phrase = c.phrase),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, s.n, 1000::HUGEINT * c.a * s.n // (l.a::HUGEINT * r.a) AS score
+    FROM cut c JOIN size s ON s.lang = c.lang
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[1:k], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[k + 1:], ' ')
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {top}
+"""
+
+
 SQL: dict[str, str] = {
     "op1_licenses": _licenses(),
     "op9_line_dedup": f"WITH {deduplicated('documents')} SELECT doc_id, coalesce(n_lines, 0) AS n_lines, "
     "coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs, sha256(kept.text) AS kept_sha256 FROM documents LEFT JOIN kept USING (doc_id)",
+    "op13_collocations": collocated("documents"),
 }

@@ -8,7 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, bpe, decontamination, html_extraction, licenses, line_dedup, oracles, pii, quality, simhash, substring_dedup
+from ..session import stage_path
+from . import (
+    alignment,
+    ann,
+    bpe,
+    collocations,
+    decontamination,
+    html_extraction,
+    licenses,
+    line_dedup,
+    oracles,
+    pii,
+    quality,
+    simhash,
+    substring_dedup,
+    token_files,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -104,3 +120,17 @@ def op12_alignment(spark, sf_dir):
     """Groups and links of the tokens of two tokenizers over every document."""
     files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.align(table(spark, sf_dir, "documents"), *files)
+
+
+@query
+def op11_token_files(spark, sf_dir):
+    """Ids of all documents written to binary files and read back from them."""
+    path = stage_path(spark, "token_files")
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    """The first 2,000 collocations of each language."""
+    return collocations.mine(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
