@@ -150,3 +150,61 @@ def test_reports_list_every_issue(spark):
     counts = spark.createDataFrame([("f", f"name_{i:03d}", 1) for i in range(150)], "source_file string, event_name string, rows long")
     row = quality.check_taxonomy(counts).head()
     assert row["metric"] == 150 and row["details"].count("name_") == 150
+
+
+def large(spark, folder, split, **options):
+    """Events of a folder, with files beyond ``split`` bytes read by many tasks."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        found = csv_drop.read_events(spark, folder, **options)
+        columns = sorted(c for c in found.columns if c != "row_seq")
+        return found.select("row_seq", *columns).collect(), found.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("split", [300, 5000])
+def test_records_across_splits(spark, tmp_path, end, split):
+    import random
+
+    pick = random.Random(split)
+    head = ["client_id", "page_url", "timestamp", "event_name", "user_agent"]
+    for name in ("a", "b"):
+        rows = [head]
+        for i in range(150):
+            text = pick.choice(["", "x", 'say ""hi""', "two\nlines", 'a ""b""\n\nc', "long\n" * pick.randint(1, 60), "com,ma"])
+            quoted = f'"{text}"' if any(c in text for c in '\n",') else text
+            rows.append([f"{name}{i}", f"http://h/{i}", "2025-03-01 10:00:00", "page_viewed", quoted])
+        # blank lines between records, and no line end behind the last one
+        (tmp_path / f"{name}.csv").write_bytes(end.join(",".join(row) + (end if pick.random() < 0.1 else "") for row in rows).encode())
+    got, tasks = large(spark, str(tmp_path), split)
+    want, _ = large(spark, str(tmp_path), split, multiline=True)
+    assert len(got) == 300 and tasks > 4
+    assert sorted(tuple(r)[1:] for r in got) == sorted(tuple(r)[1:] for r in want)
+    for name in ("a", "b"):  # in the order of the file
+        own = sorted((r for r in got if r.source_file == f"{name}.csv"), key=lambda r: r.row_seq)
+        assert [r.client_id for r in own] == [f"{name}{i}" for i in range(150)]
+    assert len({r.row_seq for r in got}) == 300
+
+
+def test_large_files_with_unlike_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("client_id,place,event_name\n" + "".join(f'a{i},"x\ny",n\n' for i in range(300)))
+    (tmp_path / "b.csv").write_text('"client\nid",event_name,_extra\n' + "".join(f'b{i},"open\n' + "z" * 400 + '",e\n' for i in range(40)))
+    (tmp_path / "c.csv").write_text('client_id,event_name\nc0,"never closed\nat all')
+    got, _ = large(spark, str(tmp_path), 100)
+    want, _ = large(spark, str(tmp_path), 100, multiline=True)
+    assert sorted(map(str, (tuple(r)[1:] for r in got if r.source_file != "c.csv"))) == sorted(map(str, (tuple(r)[1:] for r in want if r.source_file != "c.csv")))
+    assert len({r.row_seq for r in got}) == len(got) == 341
+    assert {r.place for r in got if r.source_file == "a.csv"} == {"x\ny"}
+
+
+def test_split_size(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for text, size in (("7000", 7000), ("128m", 128 << 20), ("134217728b", 128 << 20), ("1g", 1 << 30), ("2GB", 2 << 30), ("16kb", 16 << 10)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", text)
+            assert csv_drop.split_csv.split_size(spark) == size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import CANONICAL, blank_to_null, squeeze
+from . import split_csv
 
 _HEADER_CHUNK = 1 << 16
+_LISTED = "path string, length long, modified timestamp"
 _BASE_NAME = r"([^/]+)$"
 _FOLDER_NAME = r"(?:[^/=]+=)?([^/]+)/[^/]+$"
 # file systems that the executors can open without Spark, by URI scheme
@@ -74,17 +76,18 @@ def _peek(files: DataFrame) -> DataFrame:
                 headers.append(next(csv.reader(io.StringIO(head)), []))
             yield batch.assign(header=headers)
 
-    return files.mapInPandas(first_records, "path string, header array<string>")
+    return files.mapInPandas(first_records, f"{_LISTED}, header array<string>")
 
 
-def _scan(files: DataFrame, pattern: str) -> DataFrame:
+def _scan(files: DataFrame, pattern: str | list[str]) -> DataFrame:
     """First line of each file by a text scan, for file systems that only Spark can open."""
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import csv
 
         for batch in batches:
-            yield batch[["path"]].assign(header=[next(csv.reader([(line or "").lstrip("\ufeff")]), []) for line in batch["line"]])
+            headers = [next(csv.reader([(line or "").lstrip("\ufeff")]), []) for line in batch["line"]]
+            yield batch.drop(columns="line").assign(header=headers)
 
     lines = files.sparkSession.read.option("recursiveFileLookup", True).text(pattern)
     first = (
@@ -96,24 +99,36 @@ def _scan(files: DataFrame, pattern: str) -> DataFrame:
         .groupBy("path")
         .agg(F.min_by("value", "place").alias("line"))
     )
-    return files.join(first, "path", "left").mapInPandas(split, "path string, header array<string>")
+    return files.join(first, "path", "left").mapInPandas(split, f"{_LISTED}, header array<string>")
+
+
+def listing(spark: SparkSession, pattern: str) -> DataFrame:
+    """``path, length, modified`` of every file that the pattern matches; no file is opened. No match at all raises."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 def header_catalog(spark: SparkSession, pattern: str, lineage: str = "file", direct: bool | None = None) -> DataFrame:
-    """One row per file: path, source_file, header (as written) and columns (trimmed, lower case).
+    """One row per file: path, length, modified, source_file, header (as written) and columns (trimmed, lower case).
 
     ``lineage`` names the source after the file or, where a day is a folder of part files, after the folder.
     Every file that the pattern matches counts as CSV, compressed or not as its ending says. Only the listing and the first
     record of each file are read, unless the file system needs a scan by Spark (``direct`` overrides the choice). An empty
     listing raises.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern).select("path")
+    return headers_of(listing(spark, pattern), pattern, lineage, direct)
+
+
+def headers_of(files: DataFrame, pattern: str | list[str], lineage: str = "file", direct: bool | None = None) -> DataFrame:
+    """``header_catalog`` of listed files; ``pattern`` is what a scan by Spark reads to see their first lines."""
     if direct is None:
         any_path = files.head()
         direct = any_path is None or any_path["path"].split(":", 1)[0] in _DIRECT
     headers = _peek(files) if direct else _scan(files, pattern)
     return headers.select(
         "path",
+        "length",
+        "modified",
         _lineage(F.col("path"), lineage).alias("source_file"),
         "header",
         F.transform("header", lambda name: F.lower(F.trim(name))).alias("columns"),
@@ -156,12 +171,29 @@ def read_header_group(
         .option("multiLine", multiline)
         .csv(paths)
     )
+    placed = rows.select(_plain_path(F.col("_metadata.file_path")), "*").toDF("path", *places)
+    return _named(placed, header, lineage)
+
+
+def read_large_group(spark: SparkSession, paths: list[str], header: list[str], lineage: str = "file", first: int = 0) -> DataFrame:
+    """As ``read_header_group``, for files that are much larger than a split: each is read by many tasks, line breaks or not.
+
+    ``_place`` numbers the rows in the order of the files, from number ``first`` on, and of their rows.
+    """
+    schema = ", ".join(f"c{position} string" for position in range(len(header)))
+    found = split_csv.records(spark, paths, _plain_path(F.col("_metadata.file_path")), first)
+    rows = found.select("path", F.col("place").alias("_place"), F.from_csv("text", schema, {"escape": '"'}).alias("row"))
+    return _named(rows.select("path", "row.*", "_place"), header, lineage, "_place")
+
+
+def _named(rows: DataFrame, header: list[str], lineage: str, *others: str) -> DataFrame:
+    """Columns ``c0, c1, ...`` under their canonical names, with the lineage of ``path``."""
     seen = [name.strip().lower() for name in header]
-    placed = rows.select(F.col("_metadata.file_path"), "*").toDF("path", *places)
-    return placed.select(
-        _lineage(_plain_path(F.col("path")), lineage).alias("source_file"),
+    return rows.select(
+        _lineage(F.col("path"), lineage).alias("source_file"),
         *[column.alias(name) for name, column in _canonical_columns(header).items()],
         F.lit("referrer" not in seen).alias("source_file_referrer_missing"),
+        *others,
     )
 
 
@@ -174,7 +206,10 @@ def union_by_header(groups: list[DataFrame]) -> DataFrame:
         union = union.unionByName(group, allowMissingColumns=True)
     absent = {name: F.lit(None).cast("string") for name in CANONICAL.values() if name not in union.columns}
     # numbered after the union, so that numbers are unique; rows of a file keep their order
-    return union.withColumns({**absent, "row_seq": F.monotonically_increasing_id()})
+    number = F.monotonically_increasing_id()
+    if "_place" in union.columns:  # such rows are below all others
+        number = F.coalesce(F.col("_place") - F.lit(1 << 62), number)
+    return union.withColumns({**absent, "row_seq": number}).drop("_place")
 
 
 def files_with_broken_records(spark: SparkSession, paths: list[str]) -> set[str]:
@@ -197,22 +232,23 @@ def read_events(
 ) -> DataFrame:
     """Raw events of all files, whatever their headers.
 
-    Files are split, but for those with quoted line breaks, which Spark reads in one task each; these are looked for first,
-    unless ``multiline`` says that all files may have them, or none. ``row_seq`` follows the order within each file.
+    Files of up to one split are read as a whole by one task, line breaks in quoted texts included, several small ones by the
+    same task. Larger ones are read by many tasks (see ``split_csv``), unless they are compressed. ``multiline`` says that all
+    files are to be read as a whole, or that no quoted text holds a line break. ``row_seq`` follows the order within each file.
     ``catalog`` is a stored ``header_catalog`` of the same pattern.
     """
     catalog = header_catalog(spark, pattern, lineage) if catalog is None else catalog
-    # as many rows as distinct headers
-    by_header = catalog.where(F.size("header") > 0).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    groups = sorted(((row["header"], row["paths"]) for row in by_header.collect()), key=lambda group: group[0])
-    every = [path for _, paths in groups for path in paths]
+    large = F.lit(False)
     if multiline is None:
-        broken = files_with_broken_records(spark, every) if every else set()
-    else:
-        broken = set(every) if multiline else set()
-    parts = []
-    for header, paths in groups:
-        for some, whole in (([p for p in paths if p not in broken], False), ([p for p in paths if p in broken], True)):
-            if some:
-                parts.append(read_header_group(spark, some, header, lineage, whole))
+        packed = F.lower("path").rlike(r"\.(" + "|".join(ending[1:] for ending in split_csv.COMPRESSED) + ")$")
+        large = (F.col("length") > split_csv.split_size(spark)) & ~packed
+    # as many rows as distinct headers, twice
+    by_header = catalog.where(F.size("header") > 0).groupBy("header", large.alias("large")).agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    parts, n_large = [], 0
+    for row in sorted(by_header.collect(), key=lambda row: (row["header"], row["large"])):
+        if row["large"]:
+            parts.append(read_large_group(spark, row["paths"], row["header"], lineage, n_large))
+            n_large += len(row["paths"])
+        else:
+            parts.append(read_header_group(spark, row["paths"], row["header"], lineage, multiline is not False))
     return union_by_header(parts)
