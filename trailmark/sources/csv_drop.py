@@ -25,7 +25,8 @@ _FOLDER_NAME = r"(?:[^/=]+=)?([^/]+)/[^/]+$"
 _DIRECT = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
 
 
-def _lineage(path: Column, lineage: str) -> Column:
+def source_of(path: Column, lineage: str) -> Column:
+    """The source that a file belongs to: its own name, or with lineage ``folder`` that of its folder."""
     pattern = {"file": _BASE_NAME, "folder": _FOLDER_NAME}[lineage]
     return F.regexp_extract(path, pattern, 1)
 
@@ -129,7 +130,7 @@ def headers_of(files: DataFrame, pattern: str | list[str], lineage: str = "file"
         "path",
         "length",
         "modified",
-        _lineage(F.col("path"), lineage).alias("source_file"),
+        source_of(F.col("path"), lineage).alias("source_file"),
         "header",
         F.transform("header", lambda name: F.lower(F.trim(name))).alias("columns"),
     )
@@ -190,7 +191,7 @@ def _named(rows: DataFrame, header: list[str], lineage: str, *others: str) -> Da
     """Columns ``c0, c1, ...`` under their canonical names, with the lineage of ``path``."""
     seen = [name.strip().lower() for name in header]
     return rows.select(
-        _lineage(F.col("path"), lineage).alias("source_file"),
+        source_of(F.col("path"), lineage).alias("source_file"),
         *[column.alias(name) for name, column in _canonical_columns(header).items()],
         F.lit("referrer" not in seen).alias("source_file_referrer_missing"),
         *others,
