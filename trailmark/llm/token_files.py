@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from .common import map_batches, whole_text
+from .common import whole_text
 
 BLOCK = 1024
 PERCENTILE = 0.9
@@ -37,7 +37,7 @@ MAGIC = b"PFORBLK1"
 MANIFEST = "manifest.json"
 SPLIT_IDS = 4 << 20
 BATCH_IDS = 1 << 20
-MAX_WORDS = 400_000
+MAX_WORDS = 300_000
 READ_SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 
 _HEADER = struct.Struct("<IBHH")  # minimum, width, ids, exceptions
@@ -216,21 +216,25 @@ class Slice(InputPartition):
 
 
 class BlockWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
+    """Writes rows with ``ids``, or with ``text`` that is encoded by a vocabulary, both in their order."""
+
+    def __init__(self, path: str, vocabulary: bytes = b"", end_id: int = 0):
+        self.path, self.vocabulary, self.end_id = path.rstrip("/"), vocabulary, end_id
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         part = TaskContext.get().partitionId()
+        encoder = _encoder(self.vocabulary, self.end_id) if self.vocabulary else None
         name, out, stream = f"{part:06d}-{uuid.uuid4().hex}.pfor", None, None
         for batch in iterator:
-            if not batch.num_rows:
-                continue
-            if out is None:
-                system, folder = _place(self.path)
-                system.create_dir(folder, recursive=True)
-                stream = system.open_output_stream(f"{folder}/{name}")
-                out = FileWriter(stream)
-            out.add(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist())
+            for start in range(0, batch.num_rows, 256):
+                rows = batch.slice(start, 256)
+                if out is None:
+                    system, folder = _place(self.path)
+                    system.create_dir(folder, recursive=True)
+                    stream = system.open_output_stream(f"{folder}/{name}")
+                    out = FileWriter(stream)
+                ids = encoder.encode(rows.column("text").to_pylist()) if encoder else rows.column("ids").to_pylist()
+                out.add(rows.column("doc_id").to_pylist(), ids)
         if out is None:
             return Written(part, "", 0, 0)
         out.close()
@@ -276,7 +280,10 @@ class BlockReader(DataSourceReader):
 
 
 class TokenBlocks(DataSource):
-    """``spark.read.format("token_blocks").load(folder)``; rows are written with ``doc_id`` and ``ids``, in their order."""
+    """``spark.read.format("token_blocks").load(folder)``; rows are written with ``doc_id`` and ``ids``, in their order.
+
+    With the options ``vocabulary`` (a file that the driver can open) and ``end_id``, rows have ``text`` instead of ``ids``.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -289,7 +296,10 @@ class TokenBlocks(DataSource):
         return BlockReader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> BlockWriter:
-        return BlockWriter(self.options["path"])
+        if "vocabulary" not in self.options:
+            return BlockWriter(self.options["path"])
+        with open(self.options["vocabulary"], "rb") as file:
+            return BlockWriter(self.options["path"], file.read(), int(self.options["end_id"]))
 
 
 # -- encoding -----------------------------------------------------------------------------------------------------
@@ -319,26 +329,15 @@ class WordEncoder:
         return [b"".join(map(get, some)) + end for some in words]
 
 
-_made: dict[int, WordEncoder] = {}
-
-
-def encode(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """``doc_id, ids`` of every row of ``docs`` in its order: the ids of the whole text (null: empty), then ``end_id``.
-
-    ``vocabulary`` is a tokenizer file whose tokenizer drops white space between words. Strings of special tokens in a text become
-    these tokens, as the library has it.
-    """
-    with open(vocabulary, "rb") as file:
-        spread = docs.sparkSession.sparkContext.broadcast((file.read(), end_id))  # a vocabulary, whatever the corpus is
+_made: dict[tuple[int, int], WordEncoder] = {}
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key = hash(spread.value)
-        if key not in _made:
-            _made[key] = WordEncoder(*spread.value)
-        ids = _made[key].encode(batch.column("text").to_pylist())
-        return pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
-    return map_batches(whole_text(docs), run, "doc_id long, ids binary", 512)
+def _encoder(vocabulary: bytes, end_id: int) -> WordEncoder:
+    """The encoder of this Python process, with the words that it has met in earlier tasks."""
+    key = (hash(vocabulary), end_id)
+    if key not in _made:
+        _made[key] = WordEncoder(vocabulary, end_id)
+    return _made[key]
 
 
 def in_order(docs: DataFrame) -> DataFrame:
@@ -354,11 +353,12 @@ def in_order(docs: DataFrame) -> DataFrame:
 def write(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
     """Encode ``docs`` and write the ids to the folder ``path``, documents in ascending order of ``doc_id``.
 
-    Every row is a document, repeated rows too. Null and empty texts have the end id only; null ids stay null and come first;
+    ``vocabulary`` is a tokenizer file whose tokenizer drops white space between words; each text gets ``end_id`` behind its ids.
+    Strings of special tokens in a text become these tokens, as the library has it. Every row is a document, repeated rows too. Null and empty texts have the end id only; null ids stay null and come first;
     other columns don't matter; no rows give a folder without files.
     """
     docs.sparkSession.dataSource.register(TokenBlocks)
-    encode(in_order(docs), vocabulary, end_id).write.format("token_blocks").mode("append").save(path)
+    in_order(docs).write.format("token_blocks").options(vocabulary=vocabulary, end_id=end_id).mode("append").save(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
