@@ -7,8 +7,9 @@ multikey three-way quicksort parts the pointers word by word: the pointers equal
 count, and a part with fewer occurrences than asked for is abandoned together with all that it would have been parted into.
 
 Two passes before leave out what cannot matter: a suffix is only taken where its leading pair, and goes only as far as all its
-pairs, are frequent. Which words and pairs are frequent reaches the tasks as a bitmap of hashes of at most 32 MB; a bit that is
-set by chance costs work, and never changes a result.
+pairs, can be frequent. Pairs are counted by a hash for that, and which words and pairs can be frequent reaches the tasks as a
+bitmap of hashes of at most 32 MB. A hash or a bit that two share costs work, and never changes a result: all phrases are counted by
+their words in the end.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ LONGEST = 5
 TOP = 2000
 CHUNK_BYTES = 12 << 20
 SORT_ROWS = 1 << 18
-LEAST_WIDE = 4096
+LEAST_WIDE = 64
 MAX_BITS = 28
 
 _FROM = ASCII_UPPER + ".,;:!?\x0b\x0c\r\t"
@@ -103,39 +104,43 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]
     yield from held.items()
 
 
-def _rows(lang: str, phrases: pa.Array, n: np.ndarray, own: np.ndarray | None = None, step: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+def _rows(lang: str, phrases: pa.Array, n: np.ndarray, step: int = 1 << 16) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(phrases), step):
         part = phrases.slice(i, step)
-        columns = {"lang": pa.array([lang] * len(part), pa.string()), "phrase": part.cast(pa.string())}
-        if own is not None:
-            columns["hash"] = pa.array(own[i : i + step].view(np.int64))
-        yield pa.record_batch({**columns, "n": pa.array(n[i : i + step].astype(np.int64))})
+        yield pa.record_batch({"lang": pa.array([lang] * len(part), pa.string()), "phrase": part, "n": pa.array(n[i : i + step].astype(np.int64))})
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, texts in _texts(batches):
         words = Words(lang, texts)
-        yield from _rows(lang, words.names, np.bincount(words.ids, minlength=len(words.names)), words.hashes)
+        yield from _rows(lang, words.names, np.bincount(words.ids, minlength=len(words.names)))
+
+
+def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        langs = batch.column("lang").dictionary_encode()
+        own = np.zeros(batch.num_rows, np.uint64)
+        for code, lang in enumerate(langs.dictionary.to_pylist()):
+            here = langs.indices.to_numpy() == code
+            own[here] = hashes(lang, batch.column("phrase").filter(pa.array(here)))
+        yield pa.record_batch({"hash": pa.array(own.view(np.int64))})
 
 
 def _pair_rows(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBatch]:
     for lang, texts in _texts(batches):
         words = Words(lang, texts)
-        at, _ = words.pairs(allowed(frequent.value, words.hashes))
-        width = max(len(words.names), 1)
-        codes, n = np.unique(words.ids[at] * width + words.ids[at + 1], return_counts=True)
-        pairs = np.stack(np.divmod(codes, width), axis=1)
-        own = pair_hashes(words.hashes[pairs[:, 0]], words.hashes[pairs[:, 1]])
-        for i in range(0, len(pairs), 1 << 16):
+        _, own = words.pairs(allowed(frequent.value, words.hashes))
+        distinct, n = np.unique(own, return_counts=True)
+        for i in range(0, len(distinct), 1 << 16):
             j = i + (1 << 16)
-            yield from _rows(lang, words.phrases(pairs[i:j]), n[i:j], own[i:j])
+            yield pa.record_batch({"hash": pa.array(distinct[i:j].view(np.int64)), "n": pa.array(n[i:j].astype(np.int64))})
 
 
 def suffixes(words: Words, begins: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct suffixes of at least three words and how often each occurs; ``begins`` are the positions of frequent pairs."""
+    """Distinct suffixes of at least two words and how often each occurs; ``begins`` are the positions of frequent pairs."""
     runs = np.zeros(len(words.ids) + longest, bool)
     runs[begins] = True
-    at = begins[runs[begins + 1]]
+    at = begins
     rows = np.full((len(at), longest), -1, np.int64)
     rows[:, 0] = words.ids[at]
     goes_on = np.ones(len(at), bool)
@@ -253,10 +258,10 @@ def _size(phrase: str = "phrase") -> Column:
 
 
 def _long_phrases(found: DataFrame, least: int, longest: int, least_wide: int = LEAST_WIDE) -> DataFrame:
-    """Frequent phrases of three words and more, from distinct suffixes of chunks (``lang, phrase, n``, stored).
+    """Frequent phrases of two words and more, from distinct suffixes of chunks (``lang, phrase, n``, stored).
 
-    The suffixes of one leading pair go to one place, unless they are very many: more than 4,096, more than a 2,000th of
-    all, and at the most 262,144. These are told by a count before, and so are the counts of the leading words themselves.
+    The suffixes of one leading pair go to one place, unless they are very many: a 2,000th of all, or 262,144. These are told by
+    a count before, which gives the counts of their leading words too.
     """
     limit = max(least_wide, min(SORT_ROWS, found.count() // 2000))
     routed, known = found.withColumn("depth", F.lit(2)), []
@@ -266,7 +271,7 @@ def _long_phrases(found: DataFrame, least: int, longest: int, least_wide: int =
         wide = materialize(groups.where(F.col("rows") > limit).select("lang", "route", "n"), "wide")
         if wide.isEmpty():
             break
-        known.append(wide.where(F.lit(k >= 3) & (F.col("n") >= least)).select("lang", F.col("route").alias("phrase"), "n"))
+        known.append(wide.where(F.col("n") >= least).select("lang", F.col("route").alias("phrase"), "n"))
         marks = wide.select("lang", "route", F.lit(k).alias("at"))
         deeper = F.when((F.col("depth") == k) & F.col("at").isNotNull(), k + 1).otherwise(F.col("depth")).alias("depth")
         routed = routed.withColumn("route", _first_words(k)).join(marks, ["lang", "route"], "left").select("lang", "phrase", "n", deeper)
@@ -280,27 +285,23 @@ def _long_phrases(found: DataFrame, least: int, longest: int, least_wide: int =
     counted = by_route.mapInArrow(lambda batches: _sorted_parts(batches, least, longest), "lang string, phrase string, n long")
     for some in known:
         counted = counted.unionByName(some)
-    return counted.where(_size() >= 3)
+    return counted.where(_size() >= 2)
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """Two stored tables: ``lang, phrase, n`` of all phrases of up to ``longest`` words that occur ``least`` times or more
     (one word: all), and ``lang, n``, the words of a language."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    shape = "lang string, phrase string, hash long, n long"
-    totals = F.sum("n").alias("n"), F.min("hash").alias("hash")
-    words = materialize(texts.mapInArrow(_word_rows, shape).groupBy("lang", "phrase").agg(*totals), "words")
-    sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    shape = "lang string, phrase string, n long"
+    total = F.sum("n").alias("n")
+    words = materialize(texts.mapInArrow(_word_rows, shape).groupBy("lang", "phrase").agg(total), "words")
+    sizes = words.groupBy("lang").agg(total)
     words = words.where(F.col("n") >= least)
-    word_bits = _bitmap(words)
-    pairs = texts.mapInArrow(lambda b: _pair_rows(b, word_bits), shape).groupBy("lang", "phrase").agg(*totals)
-    pairs = materialize(pairs.where(F.col("n") >= least), "pairs")
-    pair_bits = _bitmap(pairs)
-    found = texts.mapInArrow(lambda b: _suffix_rows(b, word_bits, pair_bits, longest), "lang string, phrase string, n long")
-    found = materialize(found, "suffixes")
-    columns = ["lang", "phrase", "n"]
-    every = words.select(columns).unionByName(pairs.select(columns)).unionByName(_long_phrases(found, least, longest))
-    every = materialize(every, "phrases")
+    word_bits = _bitmap(words.mapInArrow(_word_hashes, "hash long"))
+    pairs = texts.mapInArrow(lambda b: _pair_rows(b, word_bits), "hash long, n long").groupBy("hash").agg(total)
+    pair_bits = _bitmap(materialize(pairs.where(F.col("n") >= least).select("hash"), "pairs"))
+    found = materialize(texts.mapInArrow(lambda b: _suffix_rows(b, word_bits, pair_bits, longest), shape), "suffixes")
+    every = materialize(words.unionByName(_long_phrases(found, least, longest)), "phrases")
     for spread in (word_bits, pair_bits):
         spread.destroy()
     return every, sizes
