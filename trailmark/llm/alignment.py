@@ -31,8 +31,8 @@ from ..session import materialize
 from .common import whole_text
 
 RANGE_BYTES = 1 << 16
-CHUNK_BYTES = 8 << 20
-MAX_PIECES = 400_000
+CHUNK_BYTES = 4 << 20
+MAX_PIECES = 300_000
 FAN_IN = 8
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -91,11 +91,6 @@ def shown(groups: list[Tokens]) -> bytes:
     return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups).encode()
 
 
-def links_of(groups: list[Tokens]) -> bytes:
-    """Linked pairs as 64-bit integers: the id of A above that of B."""
-    return np.array([a[-1] << 32 | b[-1] for a, b in groups], "<i8").tobytes()
-
-
 def cuts(full: str) -> list[str]:
     """A text (with its leading blank) in pieces, cut before blanks and line breaks between visible characters."""
     if _UNEVEN.search(full) or full[-1].isspace():
@@ -140,9 +135,18 @@ class Tokenizers:
             if piece[0] != " ":  # the model adds a blank to every text, which this piece does not have
                 own = of_b[place]
                 of_b[place] = own[1:] if own[:1] == [self.blank] else [0]
-        data = [p.encode() for p in pieces]
+        if self.give_back(pieces, of_a, self.a_bytes, self.a_sizes) and self.give_back(pieces, of_b, self.b_bytes, self.b_sizes):
+            return of_a, of_b, [True] * len(pieces)
         a, b = ([b"".join(map(table.__getitem__, ids)) for ids in found] for table, found in ((self.a_bytes, of_a), (self.b_bytes, of_b)))
-        return of_a, of_b, [True] * len(data) if a == data == b else [x == y == z for x, y, z in zip(a, data, b, strict=True)]
+        return of_a, of_b, [x == p.encode() == y for x, p, y in zip(a, pieces, b, strict=True)]
+
+    def give_back(self, pieces: list[str], found: list[list[int]], table, sizes: np.ndarray) -> bool:
+        """Whether the bytes of all tokens are those of their pieces, by one look at all of them."""
+        flat = list(chain.from_iterable(found))
+        if b"".join(map(table.__getitem__, flat)) != "".join(pieces).encode():
+            return False
+        ends = np.concatenate([[0], np.cumsum(sizes[flat])])[np.cumsum([len(ids) for ids in found])]
+        return np.array_equal(ends, np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces]))
 
     def stream(self, pieces: list[str]) -> tuple[list[int], np.ndarray, list[int], np.ndarray] | None:
         """Ids and ends of A and of B over neighbouring pieces; None if some bytes are not those of the text."""
@@ -179,21 +183,32 @@ class Chunk:
 
     def __init__(self, tokenizers: Tokenizers, number: str):
         self.tokenizers, self.number = tokenizers, number
-        self.known: dict[str, int] = {}
+        self.forget()
+        self.clear()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}  # entry of each piece; -1: its tokens do not give it back
+        self.pairs: dict[int, int] = {}
+        # of each entry: groups as shown, places of its linked pairs, tokens of A and of B
         self.text: list[bytes] = []
         self.links: list[bytes] = []
-        self.sizes: list[tuple[int, int, int]] = []
-        self.clear()
+        self.sizes: list[tuple[int, int]] = []
 
     def clear(self) -> None:
         self.doc_ids, self.figures, self.sha, self.docs, self.bytes = [], [], [], [], 0
 
     def entry(self, groups: list[Tokens]) -> int:
         self.text.append(shown(groups))
-        self.links.append(links_of(groups))
-        self.sizes.append((sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups)))
+        self.links.append(self.places(np.array([a[-1] << 32 | b[-1] for a, b in groups], np.int64)))
+        self.sizes.append((sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups)))
         return len(self.text) - 1
 
+    def places(self, links: np.ndarray) -> bytes:
+        """Linked pairs (the id of A above that of B) by their places among the pairs known."""
+        distinct, which = np.unique(links, return_inverse=True)
+        own = np.array([self.pairs.setdefault(pair, len(self.pairs)) for pair in distinct.tolist()], np.int32)
+        return own[which].tobytes()
+
     def learn(self, new: list[str]) -> None:
         """Align pieces that were not seen before, all in one stream: every piece ends at a common end."""
         tokens = self.tokenizers
@@ -207,7 +222,7 @@ class Chunk:
         n_a, n_b = (np.array([len(ids) for ids in found], np.int64) for found in (of_a, of_b))
         a_ends, b_ends = tokens.ends(a, b)
         closes_a, closes_b = np.isin(a_ends, b_ends, assume_unique=True), np.isin(b_ends, a_ends, assume_unique=True)
-        links = (a[closes_a] << 32 | b[closes_b]).astype("<i8").tobytes()
+        links = self.places(a[closes_a] << 32 | b[closes_b])
         # the tokens of A of a group, then those of B, each with the mark that follows it
         signs = np.concatenate([a + closes_a * len(tokens.a_sizes), b + (2 * len(tokens.a_sizes)) + closes_b * len(tokens.b_sizes)])
         group = np.concatenate([np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b])
@@ -220,12 +235,12 @@ class Chunk:
         known = len(self.text)
         self.known.update(zip(new, range(known, known + len(new)), strict=True))
         self.text += [text[i : j - 1] for i, j in zip(at, at[1:], strict=False)]
-        self.links += [links[8 * i : 8 * j] for i, j in zip(groups, groups[1:], strict=False)]
-        self.sizes += zip(n_a.tolist(), n_b.tolist(), np.diff(groups).tolist(), strict=True)
+        self.links += [links[4 * i : 4 * j] for i, j in zip(groups, groups[1:], strict=False)]
+        self.sizes += zip(n_a.tolist(), n_b.tolist(), strict=True)
 
     def add(self, batch: list[tuple[int | None, str]]) -> None:
         if len(self.known) > MAX_PIECES and not self.doc_ids:
-            self.known, self.text, self.links, self.sizes = {}, [], [], []
+            self.forget()
         cut = [self.tokenizers.pieces(" " + text) if text else [] for _, text in batch]
         new = set(chain.from_iterable(cut)).difference(self.known)
         if new:
@@ -248,14 +263,16 @@ class Chunk:
         """The chunk as one row: figures per document, the pairs linked in it, and how often each document links which."""
         entries = np.concatenate([*self.docs, np.zeros(0, np.int64)])
         doc = np.repeat(np.arange(len(self.docs)), [len(d) for d in self.docs])
-        sizes = np.array(self.sizes, np.int64).reshape(-1, 3)
-        per_doc = np.zeros((len(self.docs), 3), np.int64)
-        for k in range(3):
-            per_doc[:, k] = np.bincount(doc, sizes[entries, k], len(self.docs))
-        links = np.frombuffer(b"".join([self.links[i] for i in entries.tolist()]), "<i8")
-        pairs, which = np.unique(links, return_inverse=True)
-        held, n = np.unique(np.repeat(np.arange(len(self.docs)), per_doc[:, 2]) * max(len(pairs), 1) + which, return_counts=True)
-        holder, which = np.divmod(held, max(len(pairs), 1))
+        sizes = np.array(self.sizes, np.int64).reshape(-1, 2)[entries]
+        links = [self.links[i] for i in entries.tolist()]
+        sizes = np.column_stack([sizes, np.array([len(x) // 4 for x in links], np.int64)])
+        per_doc = np.stack([np.bincount(doc, sizes[:, k], len(self.docs)).astype(np.int64) for k in range(3)], axis=1)
+        every, width = np.fromiter(self.pairs, np.int64, len(self.pairs)), max(len(self.pairs), 1)
+        held = np.frombuffer(b"".join(links), np.int32) + np.repeat(np.arange(len(self.docs)), per_doc[:, 2]) * width
+        held, n = np.unique(held, return_counts=True)
+        holder, which = np.divmod(held, width)
+        used, which = np.unique(which, return_inverse=True)
+        pairs = every[used]
         total = np.bincount(which, n, len(pairs)).astype(np.int64)
         columns = [pa.array([self.number]), _list(self.doc_ids), *[_list(per_doc[:, k]) for k in range(3)], _list(self.sha, pa.string())]
         lengths = np.bincount(holder, minlength=len(self.docs))
