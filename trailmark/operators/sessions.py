@@ -35,6 +35,9 @@ _FIGURES = {
 }
 
 
+SESSION_FIGURES = ("start", "end", "last_touch", "bought")
+
+
 def session_id() -> Column:
     return F.concat(F.col("client_id"), F.lit("_session_"), F.col("session_seq").cast("string"))
 
@@ -59,24 +62,37 @@ def seconds(events: DataFrame, gap: int, *figures: str) -> DataFrame:
     return grid.withColumn("opened", opened).withColumn("run", F.sum("opened").over(in_day)).drop("opened")
 
 
-def runs(grid: DataFrame, gap: int, *figures: str) -> DataFrame:
-    """One row per run of seconds within a day, with the number of its session.
+def day_runs(grid: DataFrame, *figures: str) -> DataFrame:
+    """One row per run of seconds within a day: client_id, day, run, first_sec, last_sec, n_events and the figures.
 
-    Columns: client_id, day, run, n_events, first_seq, session_seq and the figures. The run of the undated events (NULL day)
-    takes the sessions first_seq .. session_seq, of which ``shared`` says whether the first one is a dated session too.
+    It depends on the events of that day alone. The run of the undated events has a NULL day.
     """
-    found = grid.groupBy("client_id", "day", "run").agg(
+    return grid.groupBy("client_id", "day", "run").agg(
         F.min("sec").alias("first_sec"),
         F.max("sec").alias("last_sec"),
         F.sum("n_events").alias("n_events"),
         *[_FIGURES[name][1](name).alias(name) for name in figures],
     )
+
+
+def opens_session(previous: Column, gap: int) -> Column:
+    """Whether a run opens a session, by the last second of the run before it."""
+    return previous.isNull() | (F.col("first_sec") - previous > gap)
+
+
+def runs(grid: DataFrame, gap: int, *figures: str) -> DataFrame:
+    """One row per run of seconds within a day, with the number of its session.
+
+    Columns: client_id, day, run, n_events, first_seq, session_seq and the figures. The run of the undated events (NULL day)
+    takes the sessions first_seq .. session_seq, of which ``shared`` says whether the first one is a dated session too.
+    """
+    found = day_runs(grid, *figures)
     by_time = Window.partitionBy("client_id").orderBy(F.asc_nulls_last("first_sec"))
     previous = F.lag("last_sec").over(by_time)
     undated = F.col("first_sec").isNull()
     opened = (
         F.when(undated, F.col("n_events") - F.col("shared").cast("int"))
-        .when(previous.isNull() | (F.col("first_sec") - previous > gap), 1)
+        .when(opens_session(previous, gap), 1)
         .otherwise(0)
     )
     numbered = (
@@ -93,8 +109,11 @@ def sessions(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
 
     Also carries ``purchases``, the dated purchases of the session. One pass over the events.
     """
-    figures = ("start", "end", "last_touch", "bought")
-    placed = runs(seconds(events, gap, *figures), gap, *figures)
+    return sessions_of(runs(seconds(events, gap, *SESSION_FIGURES), gap, *SESSION_FIGURES))
+
+
+def sessions_of(placed: DataFrame) -> DataFrame:
+    """The sessions of numbered runs with the session figures."""
     # undated events open one session each; very many are written out in slices of numbers that spread over tasks
     low = F.col("first_seq") + F.col("shared").cast("int")
     slices = F.when(low <= F.col("session_seq"), F.sequence(low, F.col("session_seq"), F.lit(_SLICE).cast("bigint")))
