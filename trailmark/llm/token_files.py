@@ -15,6 +15,7 @@ has written is never read.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -37,7 +38,7 @@ MAGIC = b"PFORBLK1"
 MANIFEST = "manifest.json"
 SPLIT_IDS = 4 << 20
 BATCH_IDS = 1 << 20
-MAX_WORDS = 300_000
+MAX_WORDS = 600_000
 READ_SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 
 _HEADER = struct.Struct("<IBHH")  # minimum, width, ids, exceptions
@@ -305,6 +306,26 @@ class TokenBlocks(DataSource):
 # -- encoding -----------------------------------------------------------------------------------------------------
 
 
+_MARKS = ",.;:!?"
+_BESIDE = re.compile(r"[^A-Za-z0-9 \n\t\r][,.;:!?]|[,.;:!?][^A-Za-z0-9 \n\t\r]")
+_ALONE = re.compile(r"(?<=[A-Za-z0-9 \n\t\r])([,.;:!?])(?=[A-Za-z0-9 \n\t\r])")
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text, A-Z in lower case, and apart from them the marks that stand beside letters, digits and blanks only.
+
+    The tokenizer parts such marks from words, and lower-cases, itself; strings of special tokens stay as they are.
+    """
+    if "<|" not in text:
+        text = text.encode().lower().decode()
+    if _BESIDE.search(text):
+        text = _ALONE.sub(r" \1 ", text)
+    else:
+        for mark in _MARKS:
+            text = text.replace(mark, f" {mark} ")
+    return text.replace("\n", " ").replace("\t", " ").split(" ")
+
+
 class WordEncoder:
     """A tokenizer that drops white space between words: words are encoded apart, and remembered up to a bound."""
 
@@ -315,16 +336,19 @@ class WordEncoder:
         self.end = end_id.to_bytes(4, "little")
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, the end id last, as little-endian unsigned 32-bit integers."""
-        if len(self.known) > MAX_WORDS:
-            self.known = {}
-        words = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-        new = list(set(chain.from_iterable(words)).difference(self.known))
+    def learn(self, new: list[str]) -> None:
+        """Encode words that were not met before."""
         found = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
         ends = np.cumsum([0, *[4 * len(ids) for ids in found]]).tolist()
         self.known.update((w, flat[i:j]) for w, i, j in zip(new, ends, ends[1:], strict=False))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, the end id last, as little-endian unsigned 32-bit integers."""
+        if len(self.known) > MAX_WORDS:
+            self.known = {}
+        words = [words_of(text) for text in texts]
+        self.learn(list(set(chain.from_iterable(words)).difference(self.known)))
         get, end = self.known.__getitem__, self.end
         return [b"".join(map(get, some)) + end for some in words]
 
