@@ -29,7 +29,7 @@ from .common import ASCII_UPPER
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 SORT_ROWS = 1 << 18
 LEAST_WIDE = 64
 MAX_BITS = 28
@@ -55,7 +55,7 @@ class Words:
         shown = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[in_word].tobytes())])
         coded = shown.dictionary_encode()
         self.names, self.ids = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
-        self.piece = np.cumsum(ends_piece)[starts]
+        self.piece = np.searchsorted(np.flatnonzero(ends_piece), starts)
         self.hashes = hashes(lang, self.names)
 
     def pairs(self, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
