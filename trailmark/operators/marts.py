@@ -56,8 +56,8 @@ def top_products(purchases: DataFrame, n: int = 50) -> DataFrame:
     return purchases.groupBy(product).agg(_purchases(), _revenue()).orderBy(F.desc("revenue"), "product_id").limit(n)
 
 
-def assisted_vs_direct(purchases: DataFrame, literal_direct: bool = True) -> DataFrame:
-    """Purchases by conversion type; ``literal_direct`` takes a source named 'direct' for no source."""
+def conversion_type(literal_direct: bool = True) -> Column:
+    """Which way a purchase came; ``literal_direct`` takes a source named 'direct' for no source."""
 
     def direct(column: str) -> Column:
         missing = F.col(column).isNull()
@@ -66,13 +66,17 @@ def assisted_vs_direct(purchases: DataFrame, literal_direct: bool = True) -> Dat
     pure = direct("first_utm_source")
     if literal_direct:
         pure = pure & direct("last_utm_source")
-    kind = (
+    return (
         F.when(pure, "Pure Direct")
         .when(F.col("first_utm_source") == F.col("last_utm_source"), "Single Channel")
         .otherwise("Assisted Conversion")
     )
+
+
+def assisted_vs_direct(purchases: DataFrame, literal_direct: bool = True) -> DataFrame:
+    """Purchases by conversion type."""
     return (
-        purchases.groupBy(kind.alias("conversion_type"))
+        purchases.groupBy(conversion_type(literal_direct).alias("conversion_type"))
         .agg(_purchases(), _revenue())
         .orderBy(F.desc("purchases"), "conversion_type")
     )
@@ -103,17 +107,24 @@ def conversion_by_channel(events: DataFrame, gap: int = SESSION_GAP_SECONDS, n:
     A session counts its own purchases while it is built, so purchases and sessions need no join. Purchases without
     a session (no client or no timestamp) count as direct; channels without sessions are left out.
     """
-    channel = F.coalesce("session_last_utm", F.lit(DIRECT)).alias("channel")
-    by_session = (
-        sessions(events, gap)
-        .groupBy(channel)
-        .agg(F.coalesce(F.sum("purchases"), F.lit(0)).alias("purchases"), F.count("*").alias("sessions"))
-    )
-    outside = events.where(
+    outside = outside_sessions(events).agg(F.count("*").alias("purchases"))
+    return conversion_of(sessions(events, gap), outside, n)
+
+
+def outside_sessions(events: DataFrame) -> DataFrame:
+    """Purchases that no session can hold."""
+    return events.where(
         (F.col("event_name") == PURCHASE) & (F.col("client_id").isNull() | F.col("timestamp_utc").isNull())
-    ).agg(
-        F.lit(DIRECT).alias("channel"), F.count("*").alias("purchases"), F.lit(0).cast("bigint").alias("sessions")
     )
+
+
+def conversion_of(found: DataFrame, outside: DataFrame, n: int = 200) -> DataFrame:
+    """``conversion_by_channel`` from sessions and one row with the number of ``purchases`` outside of them."""
+    channel = F.coalesce("session_last_utm", F.lit(DIRECT)).alias("channel")
+    by_session = found.groupBy(channel).agg(
+        F.coalesce(F.sum("purchases"), F.lit(0)).alias("purchases"), F.count("*").alias("sessions")
+    )
+    outside = outside.select(F.lit(DIRECT).alias("channel"), "purchases", F.lit(0).cast("bigint").alias("sessions"))
     rate = round_half_away(ratio(F.col("purchases"), F.col("sessions")), 6)
     return (
         by_session.unionByName(outside)
@@ -166,10 +177,8 @@ def revenue_per_session_client_join(events: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_device(
-    events: DataFrame, revenue_policy: str = "price_first", dedup_join: bool = False
-) -> DataFrame:
-    """Revenue by device of the purchase, per distinct client and day.
+def device_days(events: DataFrame, revenue_policy: str = "price_first", dedup_join: bool = False) -> DataFrame:
+    """Revenue by device of the purchase, client and day.
 
     By default a purchase counts once per event of its client at the same instant, as a join of purchases back to
     events on (client, time) does; ``dedup_join`` counts it once, without looking at other events. Purchases are combined
@@ -185,11 +194,18 @@ def revenue_by_device(
         instants = bought.where("client_id IS NOT NULL AND timestamp_utc IS NOT NULL").select(*instant).distinct()
         here = events.select(*instant).join(instants, instant, "left_semi").groupBy(*instant).agg(F.count("*").alias("events_here"))
         bought = bought.join(here, instant, "left").withColumn("revenue", F.col("revenue") * F.coalesce("events_here", F.lit(1)))
+    return bought.groupBy("device_type", "client_id", F.to_date("timestamp_utc").alias("dt")).agg(exact_sum(F.col("revenue")).alias("revenue"))
+
+
+def revenue_by_device(events: DataFrame, revenue_policy: str = "price_first", dedup_join: bool = False) -> DataFrame:
+    """Revenue by device, per distinct client and day; ``dedup_join`` as for ``device_days``."""
+    days = device_days(events, revenue_policy, dedup_join)
+    return per_device(days.groupBy("device_type").agg(F.count("client_id").alias("sessions"), exact_sum(F.col("revenue")).alias("revenue")))
+
+
+def per_device(sums: DataFrame) -> DataFrame:
     return (
-        bought.groupBy("device_type", "client_id", F.to_date("timestamp_utc").alias("dt"))
-        .agg(exact_sum(F.col("revenue")).alias("revenue"))
-        .groupBy("device_type")
-        .agg(F.count("client_id").alias("sessions"), exact_sum(F.col("revenue")).cast("double").alias("revenue"))
+        sums.withColumn("revenue", F.col("revenue").cast("double"))
         .withColumn("revenue_per_session", round_half_away(ratio(F.col("revenue"), F.col("sessions")), 2))
         .orderBy(F.desc("revenue"), "device_type")
     )

@@ -84,18 +84,30 @@ def _scalar_monitors(limits: Limits) -> dict[str, list[Column]]:
 
 def scalar_monitors(events: DataFrame, *names: str, limits: Limits = Limits()) -> DataFrame:
     """The named monitors out of one pass; by default all of events, purchases, null_client_rate, json_error_rate."""
+    return scalar_monitors_of(totals(events), *names, limits=limits)
+
+
+def scalar_monitors_of(row: DataFrame, *names: str, limits: Limits = Limits()) -> DataFrame:
+    """The named monitors from the one row of ``totals``."""
     monitors_by_name = _scalar_monitors(limits)
     rows = [F.struct(*monitors_by_name[name]) for name in names or monitors_by_name]
-    return totals(events).select(F.inline(F.array(*rows)))
+    return row.select(F.inline(F.array(*rows)))
+
+
+def duplicate_groups(events: DataFrame, *by: str) -> DataFrame:
+    """``groups`` of equal keys, and how many of them have ``several`` events, in all or by some columns."""
+    groups = events.groupBy(*by, *DUPLICATE_KEY).agg(F.count("*").alias("n"))
+    return groups.groupBy(*by).agg(F.count("*").alias("groups"), F.count_if(F.col("n") > 1).alias("several"))
 
 
 def duplicates(events: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Share of key groups that have more than one event."""
-    groups = events.groupBy(*DUPLICATE_KEY).agg(F.count("*").alias("n"))
-    rate = F.avg((F.col("n") > 1).cast("int"))
-    return groups.agg(rate.alias("rate")).select(
-        *_rate_monitor("dup_rate", F.col("rate"), limits.dup_rate, "Duplicate rate high")
-    )
+    return duplicates_of(duplicate_groups(events), limits)
+
+
+def duplicates_of(row: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    rate = ratio(F.col("several"), F.col("groups"))
+    return row.select(*_rate_monitor("dup_rate", rate, limits.dup_rate, "Duplicate rate high"))
 
 
 def daily_totals(events: DataFrame) -> DataFrame:
@@ -108,10 +120,15 @@ def daily_totals(events: DataFrame) -> DataFrame:
 
 def revenue_drop(events: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Revenue of the latest day with purchases against the mean of the days with purchases before it."""
+    return revenue_drop_of(daily_totals(events), limits)
+
+
+def revenue_drop_of(daily: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The same from ``daily_totals``."""
     window = limits.baseline_days + 1
     newest_first = F.desc_nulls_last("day")
     # at most eight rows are left, so the window without partitions is small
-    recent = daily_totals(events).orderBy(newest_first).limit(window)
+    recent = daily.orderBy(newest_first).limit(window)
     placed = recent.withColumn("nth", F.row_number().over(Window.partitionBy().orderBy(newest_first)))
     latest, baseline, drop = F.col("latest"), F.col("baseline"), F.col("drop")
     text = F.format_string("Revenue drop detected: %.0f vs baseline %.0f", F.rint(latest), F.rint(baseline))
@@ -133,18 +150,31 @@ def revenue_drop(events: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def direct_share(purchases: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Share of revenue whose last touch is direct; NULL without any direct purchase or without revenue."""
+    return direct_share_of(direct_revenue(purchases), limits)
+
+
+def direct_revenue(purchases: DataFrame, *by: Column) -> DataFrame:
+    """Revenue of purchases whose last touch is direct (``direct``, NULL without any) and of all, in all or by some columns."""
     is_direct = F.coalesce("last_utm_source", F.lit("direct")) == "direct"
-    return purchases.agg(
-        ratio(exact_sum(F.when(is_direct, F.col("revenue"))), exact_sum(F.col("revenue"))).alias("share")
-    ).select(
-        *_rate_monitor("direct_share", F.col("share"), limits.direct_share, "Direct traffic unusually high")
+    return purchases.groupBy(*by).agg(
+        exact_sum(F.when(is_direct, F.col("revenue"))).alias("direct"), exact_sum(F.col("revenue")).alias("all")
     )
 
 
+def direct_share_of(row: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    share = ratio(F.col("direct"), F.col("all"))
+    return row.select(*_rate_monitor("direct_share", share, limits.direct_share, "Direct traffic unusually high"))
+
+
 def monitors(events: DataFrame, purchases: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """All monitors in report order; ``purchases`` is ``purchase_attribution(events)``."""
-    rows = scalar_monitors(events, limits=limits)
-    for frame in (duplicates(events, limits), revenue_drop(events, limits), direct_share(purchases, limits)):
+    return monitors_of(totals(events), duplicate_groups(events), daily_totals(events), direct_revenue(purchases), limits)
+
+
+def monitors_of(counted: DataFrame, copies: DataFrame, daily: DataFrame, direct: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """All monitors from ``totals``, ``duplicate_groups``, ``daily_totals`` and ``direct_revenue``."""
+    rows = scalar_monitors_of(counted, limits=limits)
+    for frame in (duplicates_of(copies, limits), revenue_drop_of(daily, limits), direct_share_of(direct, limits)):
         rows = rows.unionByName(frame)
     order = F.array(*[F.lit(name) for name in REPORT_ORDER])
     return rows.withColumn("position", F.array_position(order, F.col("monitor")))
