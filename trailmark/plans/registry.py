@@ -19,7 +19,11 @@ from ..functions.times import micros, parse_utc
 from ..operators import attribution, cleaning, drift, marts, monitoring, multi_touch, quality, sessions
 from ..session import configure, materialize, staged
 from ..sources import csv_drop, tables
+from ..sources.versioned import VersionedTable, day_of
 from ..sources.web_events import web_events, write_daily_files
+from ..streaming.arrivals import Drop
+from ..streaming.mart_days import MartDays
+from ..streaming.session_days import SessionDays
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -573,6 +577,81 @@ def platforms(spark, sf_dir):
     return drift.platforms(cleaned(spark, sf_dir))
 
 
+# -- days as they arrive ------------------------------------------------------------------------------------------
+
+
+def day_stores(spark: SparkSession, sf_dir: str) -> tuple[SessionDays, MartDays]:
+    """Sessions and marts that took in all cleaned events in batches: early days, later ones with late rows, and some days twice."""
+
+    def stores(path: str) -> tuple[VersionedTable, SessionDays, MartDays]:
+        table, found = VersionedTable(spark, f"{path}/events", day_of()), SessionDays(spark, f"{path}/sessions")
+        return table, found, MartDays(spark, f"{path}/marts", table, found)
+
+    def build(path: str) -> None:
+        table, found, days = stores(path)
+        events = cleaned(spark, sf_dir).drop("dt").withColumn("day", day_of())
+        dates = sorted(row["day"] for row in events.select("day").distinct().collect())
+        middle = dates[len(dates) // 2]
+        early = events.where((F.col("day") < middle) & (F.pmod("row_seq", F.lit(11)) > 0))
+        for rows, touched in ((early, [d for d in dates if d < middle]), (events, dates[len(dates) // 3 :]), (events, dates[: len(dates) // 3 + 1])):
+            table.replace(rows.where(F.col("day").isin(touched)).drop("day"), touched)
+            found.update(table, touched)
+            days.update(touched)
+
+    return stores(staged(spark, f"days:{sf_dir}", build))[1:]
+
+
+@query
+def incremental_sessions(spark, sf_dir):
+    return day_stores(spark, sf_dir)[0].sessions().select(*_SESSION_COLUMNS, *_bounds(), "session_last_utm")
+
+
+@query
+def incremental_monitor_report(spark, sf_dir):
+    alert = F.transform("alerts", lambda a: F.concat_ws(": ", a["severity"], a["message"]))
+    return day_stores(spark, sf_dir)[1].report().select("date", F.array_join(alert, "; ").alias("alerts"), "status")
+
+
+#: marts that are kept by daily sums
+DAILY_MARTS = (
+    "daily_revenue",
+    "channel_revenue_last_click",
+    "channel_revenue_first_click",
+    "channel_revenue_linear",
+    "channel_revenue_time_decay",
+    "conversion_rate_by_channel",
+    "revenue_by_device",
+    "assisted_vs_direct",
+    "top_products",
+)
+
+
+def _daily_mart(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return day_stores(spark, sf_dir)[1].marts()[name]
+
+    run.__name__ = f"incremental_{name}"
+    return run
+
+
+for _name in DAILY_MARTS:
+    query(_daily_mart(_name))
+
+
+@query
+def arriving_files(spark, sf_dir):
+    """Cleaned events of the daily files, which arrive in two drops."""
+
+    def build(path: str) -> None:
+        drop = Drop(spark, path, "folder")
+        drop.arrive(f"{daily_files(spark, sf_dir)}/source_file=*0[1-9].csv")
+        drop.arrive(daily_files(spark, sf_dir))
+
+    events = Drop(spark, staged(spark, f"drop:{sf_dir}", build), "folder").events.read()
+    columns = ("source_file", "client_id", "page_url", "referrer", "event_name", "event_data", "user_agent", "utm_source", "price", "total")
+    return events.select(*columns, "source_file_referrer_missing", _us("timestamp_utc", "timestamp_us"))
+
+
 # -- drifting files -----------------------------------------------------------------------------------------------
 
 

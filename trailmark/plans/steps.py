@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import attribution, cleaning, marts, monitoring, multi_touch, quality, sessions
 from ..session import discard, materialize
 from ..sources import csv_drop, tables
+from ..streaming.arrivals import Batch, Drop
+from ..streaming.mart_days import MartDays
+from ..streaming.session_days import SessionDays
 
 
 @dataclass(frozen=True)
@@ -117,6 +120,28 @@ def run_all(spark: SparkSession, pattern: str, root: str, lineage: str = "file",
     monitor(spark, out)
 
 
+def update_all(spark: SparkSession, pattern: str, root: str, lineage: str = "file") -> Batch:
+    """The daily run by what has arrived: files new, replaced or gone since the last call, and only the days that they touch.
+
+    Leaves the events, sessions and daily sums below ``root``, and the marts and the report as ``run_all`` does. It may be called
+    again after a failure; without news it leaves everything as it is.
+    """
+    drop = Drop(spark, f"{root}/incremental", lineage)
+    found = SessionDays(spark, f"{root}/incremental/sessions")
+    days = MartDays(spark, f"{root}/incremental/marts", drop.events, found)
+    log = f"{root}/incremental/published"
+    batch = drop.arrive(pattern, log)
+    if batch.days:
+        found.update(drop.events, batch.days)
+        days.update(batch.days)
+        out = Layout(root)
+        for name, mart in days.marts().items():
+            tables.write_csv(mart, out.path(f"{name}.csv"))
+        tables.write_json(days.report(), out.path("monitoring_report.json"))
+        drop.taken_in(log)
+    return batch
+
+
 def write_sessions(spark: SparkSession, out: Layout) -> None:
     """Sessions, users and session events as tables."""
     events = tables.read_table(spark, out.cleaned)

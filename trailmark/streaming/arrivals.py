@@ -12,7 +12,7 @@ is thereby noticed and done again by the next one.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,8 +76,29 @@ class Drop:
         paths = [row["path"] for row in files.select("path").collect()]  # what has arrived since the last batch
         return materialize(csv_drop.headers_of(files, paths, self.lineage), "headers")
 
-    def arrive(self, pattern: str) -> Batch:
-        """Take in what has arrived, changed or gone since the last batch. Nothing new costs one listing."""
+    def arrive(self, pattern: str, log: str | None = None) -> Batch:
+        """Take in what has arrived, changed or gone since the last batch. Nothing new costs one listing.
+
+        With ``log``, the path of a log of a step that follows, the days of earlier batches which that step has not marked by
+        ``taken_in`` are among the days returned.
+        """
+        batch = self._arrive(pattern)
+        return batch if log is None else replace(batch, days=tuple(sorted({*batch.days, *self._waiting(log)})))
+
+    def _waiting(self, log: str) -> set[str]:
+        written = read_log(self.spark, self.ledger, _FILES)
+        if written is None:
+            return set()
+        taken = read_log(self.spark, log, "seq long")
+        upto = -1 if taken is None else taken.agg(F.max("seq")).first()[0]
+        return {row[0] for row in written.where(F.col("seq") > upto).select(F.explode("days")).distinct().collect()}
+
+    def taken_in(self, log: str) -> None:
+        """Mark that a step that follows has taken in all days of the ledger so far."""
+        seq = read_log(self.spark, self.ledger, _FILES).agg(F.max("seq")).first()[0]
+        append_log(self.spark.createDataFrame([(seq,)], "seq long"), log)
+
+    def _arrive(self, pattern: str) -> Batch:
         pending = materialize(self.pending(pattern), "pending")
         rows = pending.select("path", "kind").collect()  # what has arrived since the last batch
         if not rows:
