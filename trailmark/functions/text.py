@@ -79,3 +79,9 @@ def repaired_event_name(col: Column, renames: dict[str, str] | None = None) -> C
     for wrong, right in (EVENT_RENAMES if renames is None else renames).items():
         repaired = F.when(name == wrong, F.lit(right)).otherwise(repaired)
     return repaired
+
+
+def digest_of(*names: str) -> list[Column]:
+    """128 bits that stand for the values of some columns, NULL apart from any text: keys that are cheap to shuffle."""
+    values = [part for name in names for part in (F.col(name).isNull(), F.col(name))]
+    return [F.xxhash64(*values).alias("_key_1"), F.xxhash64(F.lit("second"), *values).alias("_key_2")]

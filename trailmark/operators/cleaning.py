@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.payload import with_payload, with_payload_fields
-from ..functions.text import CANONICAL, blank_to_null, repaired_event_name
+from ..functions.text import CANONICAL, blank_to_null, digest_of, repaired_event_name
 from ..functions.times import parse_utc
 from ..functions.urls import domain, with_utm
 
@@ -70,7 +70,7 @@ def keep_first(events: DataFrame, key: tuple[str, ...] = COPY_KEY, order: str =
 
 def count_copies(events: DataFrame, key: tuple[str, ...] = COPY_KEY) -> DataFrame:
     """One row: rows, rows after keeping the first of each group, rows dropped."""
-    groups = events.groupBy(*key).agg(F.count("*").alias("n"))
+    groups = events.groupBy(*digest_of(*key)).agg(F.count("*").alias("n"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"), F.count("*").alias("rows_after")
     ).withColumn("dropped", F.col("rows_before") - F.col("rows_after"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_sum, percent_text, ratio
-from ..functions.text import PURCHASE
+from ..functions.text import PURCHASE, digest_of
 
 CRITICAL, WARN = "CRITICAL", "WARN"
 
@@ -96,7 +96,7 @@ def scalar_monitors_of(row: DataFrame, *names: str, limits: Limits = Limits()) -
 
 def duplicate_groups(events: DataFrame, *by: str) -> DataFrame:
     """``groups`` of equal keys, and how many of them have ``several`` events, in all or by some columns."""
-    groups = events.groupBy(*by, *DUPLICATE_KEY).agg(F.count("*").alias("n"))
+    groups = events.groupBy(*by, *digest_of(*DUPLICATE_KEY)).agg(F.count("*").alias("n"))
     return groups.groupBy(*by).agg(F.count("*").alias("groups"), F.count_if(F.col("n") > 1).alias("several"))
 
 

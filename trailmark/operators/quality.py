@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
 from ..functions.payload import fields_of, price_of, with_payload
-from ..functions.text import CANONICAL, KNOWN_EVENTS, PURCHASE
+from ..functions.text import CANONICAL, KNOWN_EVENTS, PURCHASE, digest_of
 from ..functions.times import parse_utc
 from ..functions.urls import authority, has_utm, looks_anonymized
 
@@ -197,7 +197,7 @@ def check_taxonomy(counts: DataFrame, known: tuple[str, ...] = KNOWN_EVENTS) ->
 
 def check_duplicates(raw: DataFrame, key: tuple[str, ...] = DUPLICATE_KEY) -> DataFrame:
     """Rows that repeat an earlier row's key; NULL equals NULL."""
-    groups = raw.groupBy(*key).agg(F.count("*").alias("n"))
+    groups = raw.groupBy(*digest_of(*key)).agg(F.count("*").alias("n"))
     extra = F.col("extra")
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra")).select(
         *_check("duplicates", _any(extra), extra, extra.cast("string"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import PURCHASE
-from ..functions.times import whole_seconds
+from ..functions.times import micros, whole_seconds
 
 SESSION_GAP_SECONDS = 1800
 _DAY = 86_400
@@ -185,11 +185,11 @@ def session_events(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFra
     )
 
 
-def session_sequence(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
+def session_sequence(events: DataFrame, gap: int = SESSION_GAP_SECONDS, crowd: int = _SLICE) -> DataFrame:
     """Every event of a client with its session and its ``position`` there, from 1, by time and row order.
 
     The events before a second are counted over the seconds of a day and over the runs of a session, those within a second by
-    its rows; so no array grows with a session.
+    its rows, in parts where they are more than ``crowd``; so no array grows with a session, and no task with a second.
     """
     narrow = events.select(*[c for c in events.columns if c in ("client_id", "timestamp_utc", "row_seq", "event_name", "page_url", "dt")])
     grid = seconds(narrow, gap)
@@ -201,16 +201,24 @@ def session_sequence(events: DataFrame, gap: int = SESSION_GAP_SECONDS) -> DataF
     by_second = (
         counted.where("sec IS NOT NULL")
         .join(placed.where("day IS NOT NULL").select("client_id", "day", "run", "session_seq", "earlier"), ["client_id", "day", "run"])
-        .select("client_id", "sec", "session_seq", (F.col("earlier") + F.col("within")).alias("earlier"))
+        .select("client_id", "sec", "session_seq", "n_events", (F.col("earlier") + F.col("within")).alias("earlier"))
     )
-    in_second = Window.partitionBy("client_id", "sec").orderBy("timestamp_utc", "row_seq")
+    # a second of very many events is numbered in parts: by microsecond, and there by slices of the row order
+    crowded = F.col("n_events") > crowd
+    part = {"part_us": F.when(crowded, micros(F.col("timestamp_utc"))), "part_seq": F.when(crowded, F.shiftright("row_seq", _SLICE_BITS))}
+    of_part = ["client_id", "sec", "part_us", "part_seq"]
+    timed = narrow.where(_DATED).withColumn("sec", whole_seconds(F.col("timestamp_utc")))
+    hot = timed.select("client_id", "sec", "timestamp_utc", "row_seq").join(grid.where(crowded).select("client_id", "sec", "n_events"), ["client_id", "sec"])
+    sizes = hot.withColumns(part).groupBy(*of_part).agg(F.count("*").alias("rows"))
+    ahead = F.sum("rows").over(Window.partitionBy("client_id", "sec").orderBy("part_us", "part_seq")) - F.col("rows")
+    in_part = Window.partitionBy(*of_part).orderBy("timestamp_utc", "row_seq")
     dated = (
-        narrow.where(_DATED)
-        .withColumn("sec", whole_seconds(F.col("timestamp_utc")))
-        .withColumn("nth", F.row_number().over(in_second))
-        .join(by_second, ["client_id", "sec"])
-        .withColumn("position", F.col("earlier") + F.col("nth"))
-        .drop("sec", "nth", "earlier")
+        timed.join(by_second, ["client_id", "sec"])
+        .withColumns(part)
+        .withColumn("nth", F.row_number().over(in_part))
+        .join(sizes.withColumn("ahead", ahead).drop("rows"), of_part, "left")
+        .withColumn("position", F.col("earlier") + F.coalesce("ahead", F.lit(0)) + F.col("nth"))
+        .drop("sec", "nth", "earlier", "ahead", "n_events", "part_us", "part_seq")
     )
     undated = _on_runs(narrow, placed, grid, ["earlier"]).where("timestamp_utc IS NULL")
     undated = undated.withColumn("position", F.coalesce("earlier", F.lit(0)) + 1).drop("earlier")

@@ -16,7 +16,7 @@ from ..functions import payload, urls
 from ..functions.numbers import round_half_away
 from ..functions.text import repaired_event_name
 from ..functions.times import micros, parse_utc
-from ..operators import attribution, cleaning, drift, marts, monitoring, multi_touch, quality, sessions
+from ..operators import attribution, audience, cleaning, device_mix, drift, marts, monitoring, multi_touch, quality, sessions
 from ..session import configure, materialize, staged
 from ..sources import csv_drop, tables
 from ..sources.versioned import VersionedTable, day_of
@@ -567,6 +567,32 @@ def monitor_integrity_rates(spark, sf_dir):
     return drift.integrity_rates(cleaned(spark, sf_dir))
 
 
+@query
+def device_revenue_mix(spark, sf_dir):
+    mix = device_mix.device_mix(attributed(spark, sf_dir, "total"))
+    return mix.withColumn("share", round_half_away(F.col("share"), 6))
+
+
+@query
+def monitor_device_mix(spark, sf_dir):
+    return device_mix.mix_drift(device_mix.device_mix(attributed(spark, sf_dir, "total")))
+
+
+@query
+def rolling_users(spark, sf_dir):
+    return audience.rolling_users(cleaned(spark, sf_dir))
+
+
+@query
+def rolling_users_sketched(spark, sf_dir):
+    """The exact counts, and whether those from daily sketches lie within four standard errors of them."""
+    events = cleaned(spark, sf_dir)
+    exact = audience.rolling_users(events)
+    found = audience.rolling_users_approx(audience.daily_sketches(events)).withColumnRenamed("users", "estimate")
+    close = F.abs(F.col("estimate") - F.col("users")) <= 4 * audience.STANDARD_ERROR * F.col("users") + 0.5
+    return exact.join(found, ["day", "days", "device_type"], "full").select("day", "days", "device_type", "users", close.alias("within"))
+
+
 @query
 def engagement(spark, sf_dir):
     return drift.engagement(cleaned(spark, sf_dir))

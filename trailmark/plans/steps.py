@@ -8,8 +8,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import attribution, cleaning, marts, monitoring, multi_touch, quality, sessions
+from ..operators import attribution, cleaning, device_mix, drift, marts, monitoring, multi_touch, quality, sessions
 from ..session import discard, materialize
 from ..sources import csv_drop, tables
 from ..streaming.arrivals import Batch, Drop
@@ -101,10 +102,14 @@ def analyse(spark: SparkSession, out: Layout) -> dict[str, DataFrame]:
 
 
 def monitor(spark: SparkSession, out: Layout, limits: monitoring.Limits = monitoring.Limits()) -> DataFrame:
-    """The monitoring report as JSON."""
+    """The monitoring report as JSON; all monitors, freshness, rates, drift and the mix of devices by day as tables."""
     events = tables.read_table(spark, out.cleaned)
     purchases = tables.read_table(spark, out.attribution)
-    rows = monitoring.monitors(events, purchases, limits)
+    tables.write_table(drift.extended_monitors(events, purchases, limits), out.path("monitors.parquet"))
+    mix = device_mix.device_mix(purchases)
+    tables.write_table(mix, out.path("device_mix.parquet"))
+    tables.write_table(device_mix.mix_drift(mix), out.path("device_mix_drift.parquet"))
+    rows = tables.read_table(spark, out.path("monitors.parquet")).where(F.col("monitor").isin(*monitoring.REPORT_ORDER))
     tables.write_json(monitoring.report(rows, monitoring.anchor_date(events)), out.path("monitoring_report.json"))
     return rows
 

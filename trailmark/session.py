@@ -74,15 +74,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Remove what ``materialize`` wrote for frames that nothing reads any more, and let go of finished shuffles.
-
-    Spark deletes a shuffle's files once the driver has collected the objects that stand for it; between the steps of a long
-    job that should not wait for the next full collection.
-    """
-    spark = SparkSession.getActiveSession()
+    """Remove what ``materialize`` wrote for frames that nothing reads any more."""
     for frame in frames:
+        spark = frame.sparkSession
         place = spark._jvm.org.apache.hadoop.fs.Path(frame.staged_path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def let_go() -> None:
+    """Have Spark delete the files of finished shuffles now.
+
+    It does so once the driver has collected the objects that stand for them, which between the steps of a job that lives off
+    its disk should not wait for the next full collection.
+    """
+    spark = SparkSession.getActiveSession()
     for _ in range(2):  # what Python lets go reaches the JVM with a delay
         gc.collect()
         spark._jvm.System.gc()
