@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import discard, materialize
+from ..session import discard, let_go, materialize
 from .common import map_batches, whole_text
 
 LENGTH = 50
@@ -166,7 +166,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # only leading bits of a key go into the bitmap, so only these are counted
     pairs = map_batches(texts.select("own_id", "text"), triggers, "key long, own_id long")
     shared = broadcast(_bitmap(_in_two(pairs), "key"))
-    discard()
+    let_go()
 
     parse_schema = "key int, phrase long, own_id long, text_hash long, start long, count int, mark int"
 
@@ -183,7 +183,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parsed = materialize(map_batches(texts.select("own_id", "text_hash", "text"), parse, parse_schema), "parse")
     # a phrase's trigger is in it, so half of the trigger's hash is enough beside the phrase's
     dictionary = materialize(parsed.groupBy("key", "phrase").agg(F.min("own_id").alias("first")), "dictionary")
-    discard()
+    let_go()
     several = dictionary.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("several"))
     known = parsed.join(dictionary.join(several, "key", "left"), ["key", "phrase"]).withColumn("whole", F.col("own_id") > F.col("first"))
     marked = materialize(
@@ -195,6 +195,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # first occurrences whose trigger has other phrases: string by string, with what stands before or after the trigger
     discard(parsed, dictionary)
+    let_go()
     opened = marked.select(*_ORDER, F.filter("marks", lambda x: ~x["whole"]).alias("open")).where(F.size("open") > 0)
     concerned = broadcast(_bitmap(opened.select(named.alias("key")), "key"))
     some = texts.where(_has(concerned, named)).select(*_ORDER, "text")
@@ -209,7 +210,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             columns[1].append(np.full(len(keys), owner[row]))
         return _table(side_schema, columns)
 
-    discard()
+    let_go()
     two_sided = broadcast(_bitmap(_in_two(map_batches(joined.select("own_id", "text", "open"), sides, side_schema)), "key"))
     string_schema = "h1 long, h2 int, own_id long, text_hash long, start long"
 
@@ -231,6 +232,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     suffixes = materialize(map_batches(joined, strings, string_schema), "suffixes")
     discard(joined)
+    let_go()
     earlier = suffixes.groupBy("h1", "h2").agg(F.min("own_id").alias("first"), F.max("own_id").alias("high")).where("first < high")
     single = suffixes.join(earlier.select("h1", "h2", "first"), ["h1", "h2"]).where("own_id > first")
     all_of = copies.where(F.col("size") >= length).select(*_ORDER, F.lit(0).cast("long").alias("start"), "size")
