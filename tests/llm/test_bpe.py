@@ -83,3 +83,25 @@ def test_arrays_are_decoded(spark, encoder):
     assert encoder[0].round_trip("déjà vu 中") == encoder[0].encode("déjà vu 中")
     with pytest.raises(Exception, match="do not decode"):  # a pattern that passes over blanks
         bpe.encode_to_arrays(docs, PATH, "[a-z]+").collect()
+
+
+def test_tables_are_bounded_within_a_piece(library):
+    import random
+
+    with open(PATH, "rb") as file:
+        encoder = bpe.Encoder(file.read(), public.PATTERN)
+    encoder.transducer.max_states = 500
+    text = "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyz", k=20_000))
+    ids = encoder.encode(text)
+    assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == library.encode_ordinary(text)
+    assert len(encoder.transducer.readings) <= 502
+
+
+def test_digests(spark, library):
+    docs = spark.createDataFrame([(1, None, "x"), (2, "déjà vu", "x"), (2, "déjà vu", "x"), (None, "z" * 3000, None)], "doc_id long, text string, ids_sha256 string")
+    rows = bpe.digests(docs, PATH, public.PATTERN).collect()
+    for text, row in zip(("", "déjà vu", "déjà vu", "z" * 3000), rows, strict=True):
+        ids = library.encode_ordinary(text)
+        assert (row.n_tokens, row.ids_sha256) == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
+        assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert bpe.digests(docs.limit(0), PATH, public.PATTERN).count() == 0

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import gc
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ _made: dict[tuple[int, str], "Encoder | Decoder"] = {}  # one per Python worker
 class Transducer:
     """Encodes single pieces; ``ranks`` maps token bytes to ids, lower ids merge first."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 80_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000):
         self.ranks, self.max_states = ranks, max_states
         self.token = {rank: token for token, rank in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
@@ -144,12 +145,14 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is a token stays whole, whether or not merges lead to it
             return [whole]
-        if len(self.readings) > self.max_states:
-            self._clear()
         state, out, known = 0, [], self.steps.get
         for byte in piece:
             step = known(state << 8 | byte)
             if step is None:
+                if len(self.readings) > self.max_states:  # in the middle of a piece too; a state is its live readings
+                    live = self.readings[state]
+                    self._clear()
+                    state, known = self._state(live), self.steps.get
                 step = self._step(state, byte)
             state, emitted = step
             if emitted:
@@ -188,7 +191,7 @@ class Utf8Stream:
 class Encoder:
     """Splits texts by the pattern and encodes each match; short pieces seen lately are looked up (two bounded generations)."""
 
-    def __init__(self, vocabulary: bytes, pattern: str, max_pieces: int = 200_000):
+    def __init__(self, vocabulary: bytes, pattern: str, max_pieces: int = 400_000):
         import regex
 
         self.transducer = Transducer(_ranks(vocabulary))
@@ -285,6 +288,25 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return map_batches(whole_text(docs), run, "doc_id long, n_tokens long, ids binary")
 
 
+def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row: of its ids, as ``encode`` has them, and of the text that the
+    incremental decoder makes of these, in one pass that ships neither."""
+    spread = _vocabulary(docs.sparkSession, path)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        encoder = _encoder(spread.value, pattern)
+        token, sizes, shown, decoded = encoder.transducer.token, [], [], []
+        for text in batch.column("text").to_pylist():
+            ids = encoder.encode(text)
+            sizes.append(len(ids) // 4)
+            shown.append(hashlib.sha256(ids).hexdigest())
+            decoded.append(hashlib.sha256(_decode(token, ids, 4096).encode()).hexdigest())
+        columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(shown, pa.string()), pa.array(decoded, pa.string())]
+        return pa.record_batch(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return map_batches(whole_text(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def encode_to_arrays(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, token_ids`` of every row, the ids as an array of int; otherwise as ``encode``.
 

@@ -42,11 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op8_bpe(spark, sf_dir):
     """Digests of the ids of every document and of the text decoded from them."""
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(ids, path).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")
-    )
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 @query
