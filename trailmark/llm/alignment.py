@@ -16,6 +16,7 @@ sums per chunk of documents; each chunk gets the sums of its own pairs back by a
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -105,6 +106,7 @@ class Tokenizers:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = Tokenizer.from_str(byte_level.decode())
         self.a.encode_special_tokens = True
         entries = self.a.get_vocab(with_added_tokens=False)

@@ -15,12 +15,12 @@ has written is never read.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -307,12 +307,13 @@ class TokenBlocks(DataSource):
 
 
 _MARKS = ",.;:!?"
-_BESIDE = re.compile(r"[^A-Za-z0-9 \n\t\r][,.;:!?]|[,.;:!?][^A-Za-z0-9 \n\t\r]")
-_ALONE = re.compile(r"(?<=[A-Za-z0-9 \n\t\r])([,.;:!?])(?=[A-Za-z0-9 \n\t\r])")
+_BESIDE = re.compile(r"[,.;:!?](?:(?<=[^A-Za-z0-9À-ÖØ-öø-ÿ \n\t\r][,.;:!?])|[^A-Za-z0-9À-ÖØ-öø-ÿ \n\t\r])")
+_ALONE = re.compile(r"(?<=[A-Za-z0-9À-ÖØ-öø-ÿ \n\t\r])([,.;:!?])(?=[A-Za-z0-9À-ÖØ-öø-ÿ \n\t\r])")
+_LETTERS = re.compile(r"[a-zß-öø-ÿ]+").fullmatch
 
 
 def words_of(text: str) -> list[str]:
-    """The words of a text, A-Z in lower case, and apart from them the marks that stand beside letters, digits and blanks only.
+    """The words of a text, A-Z in lower case, and apart from them the marks that stand beside Latin letters, digits and blanks only.
 
     The tokenizer parts such marks from words, and lower-cases, itself; strings of special tokens stay as they are.
     """
@@ -330,25 +331,37 @@ class WordEncoder:
     """A tokenizer that drops white space between words: words are encoded apart, and remembered up to a bound."""
 
     def __init__(self, vocabulary: bytes, end_id: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
+        # words of small letters alone need neither the normalizer nor the pattern, and may come many in a text
+        self.plain = Tokenizer.from_str(vocabulary.decode())
+        self.plain.normalizer = normalizers.Sequence([])
+        to_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), to_letters])
         self.end = end_id.to_bytes(4, "little")
         self.known: dict[str, bytes] = {}
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, new: set[str]) -> None:
         """Encode words that were not met before."""
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-        ends = np.cumsum([0, *[4 * len(ids) for ids in found]]).tolist()
-        self.known.update((w, flat[i:j]) for w, i, j in zip(new, ends, ends[1:], strict=False))
+        plain = list(filter(_LETTERS, new))
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        found = self.plain.encode_batch([" ".join(some) for some in groups], add_special_tokens=False)
+        for some, encoded in zip(groups, found, strict=True):
+            ends = (4 * np.searchsorted(encoded.word_ids, np.arange(len(some) + 1))).tolist()
+            ids = np.array(encoded.ids, "<u4").tobytes()
+            self.known.update((w, ids[i:j]) for w, i, j in zip(some, ends, ends[1:], strict=False))
+        other = list(new.difference(plain))
+        for word, encoded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(encoded.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, the end id last, as little-endian unsigned 32-bit integers."""
         if len(self.known) > MAX_WORDS:
             self.known = {}
         words = [words_of(text) for text in texts]
-        self.learn(list(set(chain.from_iterable(words)).difference(self.known)))
+        self.learn(set().union(*words).difference(self.known))
         get, end = self.known.__getitem__, self.end
         return [b"".join(map(get, some)) + end for some in words]
 
