@@ -71,16 +71,15 @@ def test_late_rows_renumber_what_comes_after(spark, store):
         {"row_seq": 13, "t": 2 * DAY + 3300, "client": "a", "source": "s"},
         {"row_seq": 14, "t": 2 * DAY + 4900, "client": "a", "name": "purchase"},
     ]
-    for row in late:
-        changed = put([row])
+    for some in (late[:1], late[1:3], late[3:]):
+        changed = put(some)
         assert_equals_one_run(spark, days, held)
-        assert str(at(row["t"]).date()) in changed
+        assert {str(at(row["t"]).date()) for row in some} <= set(changed)
     assert days.sessions().where("client_id = 'b'").agg(F.max("session_seq")).first()[0] == 2
     # only the days of the client that was late are written again: none after the last one
     assert put([{"row_seq": 20, "t": 3 * DAY + 60, "client": "b"}]) == [str(at(3 * DAY).date())]
     # the same days once more, and a day taken back
     days.update(table, [str(at(n * DAY).date()) for n in range(4)])
-    assert_equals_one_run(spark, days, held)
     put([], drop={0, 14})
     assert_equals_one_run(spark, days, held)
 
@@ -90,7 +89,6 @@ def test_undated_events_come_last(spark, store):
     put([{"row_seq": 0, "t": None, "client": "a"}, {"row_seq": 1, "t": None, "client": "a"}, {"row_seq": 2, "t": None, "client": "b"}])
     assert_equals_one_run(spark, days, held)
     put([{"row_seq": 3, "t": 5, "client": "a", "source": "x"}])
-    assert_equals_one_run(spark, days, held)
     put([{"row_seq": 4, "t": None, "client": "a"}, {"row_seq": 5, "t": DAY, "client": "a"}])
     assert_equals_one_run(spark, days, held)
 
