@@ -159,3 +159,12 @@ def test_rounding(spark):
     df = spark.createDataFrame(list(enumerate(values)), "i int, x double")
     got = [row[0] for row in df.orderBy("i").select(numbers.round_half_away(F.col("x"), 2)).collect()]
     assert got == [math.copysign(math.floor(abs(x) * 100 + 0.5) / 100, x) for x in values]
+
+
+def test_blanks_and_controls_before_a_url(spark):
+    from urllib.parse import urlparse
+
+    texts = [" http://Shop.example/x", "\x00\x1f\t //h.example", "http://sp\tl\nit.example/y", "ht tp://h/", " ", "\xa0http://h/"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, u string")
+    got = [row[0] for row in df.orderBy("i").select(urls.authority(F.col("u"))).collect()]
+    assert got == [urlparse(text).netloc.lower() for text in texts]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # host part up to the path, query or fragment; brackets only as one pair
 _PLAIN = r"[^/?#\[\]]*"
-_AUTHORITY = rf"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//({_PLAIN}(?:\[{_PLAIN}\]{_PLAIN})?)(?:[/?#]|$)"
+_AUTHORITY = rf"^[\x00-\x20]*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//({_PLAIN}(?:\[{_PLAIN}\]{_PLAIN})?)(?:[/?#]|$)"
 
 _QUERY = r"^[^?#]*\?([^#]*)"
 
@@ -15,8 +15,11 @@ UTM_KEYS = ("utm_source", "utm_medium", "utm_campaign")
 
 
 def authority(url: Column) -> Column:
-    """Lower-case ``user@host:port`` part, ``''`` if there is none, NULL for NULL."""
-    return F.lower(F.regexp_extract(url, _AUTHORITY, 1))
+    """Lower-case ``user@host:port`` part, ``''`` if there is none, NULL for NULL.
+
+    Leading blanks and control characters don't count, nor do tabs and line breaks anywhere.
+    """
+    return F.lower(F.regexp_extract(F.translate(url, "\t\r\n", ""), _AUTHORITY, 1))
 
 
 def domain(url: Column) -> Column:
