@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     assert entry.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
-    assert {f"op{n}_" for n in range(1, 11)} == {name[: name.index("_") + 1] for name in entry.queries() if name[:2] == "op" and name[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {name[: name.index("_") + 1] for name in entry.queries() if name[:2] == "op" and name[2].isdigit()}
 
 
 def test_stages_equal_brute_force(spark):
@@ -59,3 +59,11 @@ def test_odd_rows_and_empty_tables(spark):
     for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
         for name, stage in corpus_pipeline.STAGES:
             docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema if name != "byte-level bpe" else "doc_id long, n_tokens long, token_ids array<int>")
+
+
+def test_own_columns_named_like_counts_are_kept(spark):
+    rows = [(1, "one line of six words here\nother", "a", True), (2, "one line of six words here\nmore", "b", None), (3, None, None, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_runs string, n_removed boolean")
+    found = corpus_pipeline.without_repeated_lines(spark, docs, SF)
+    assert found.columns == docs.columns and found.dtypes == docs.dtypes
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([rows[0], (2, "more", "b", None), rows[2]], key=str)
