@@ -24,11 +24,16 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs deleted; documents of which nothing is left go. ``n_chars`` follows the text."""
-    cut = line_dedup.dedup_lines(docs).where("n_removed = 0 OR trim(text) <> ''")
-    changed = F.col("n_removed") > 0
-    size = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.select(*[size.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    """Later copies of repeated line runs deleted; documents of which nothing is left go. ``n_chars`` follows the text.
+
+    Columns of the documents that are named like the counts of the operator are kept as they are.
+    """
+    counts = ("n_lines", "n_removed", "n_runs")
+    apart = "_" * (1 + max(map(len, docs.columns)))  # a prefix that no column has
+    own = {c: apart + c for c in docs.columns if c in counts}
+    cut = line_dedup.dedup_lines(docs.withColumnsRenamed(own)).where("n_removed = 0 OR trim(text) <> ''")
+    size = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
+    return cut.select(*[size.alias(c) if c == "n_chars" else F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
