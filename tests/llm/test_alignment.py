@@ -129,3 +129,21 @@ def test_query(spark, made, libraries):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows = QUERIES["op12_alignment"](spark, SF).collect()
     assert sorted(map(tuple, rows), key=str) == brute(libraries, made, docs)
+
+
+def test_ranges_that_begin_at_a_line_break(spark, made, libraries):
+    """Words and single line breaks only, so that ranges of many sizes begin in a piece that begins with a line break."""
+    texts = ["word\nline of text\n" * 60 + "end", "\n".join(f"l{i} it's" for i in range(300)), "a\nb", "x\n" + "yy " * 200 + "z"]
+    rows = [*enumerate(texts), (9, None), (10, "")]
+    want = brute(libraries, made, rows)
+    for size in (5, 33, 100):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6, "doc_id")
+        got = alignment.align(docs, BYTE_LEVEL, PIECES, range_bytes=size).collect()
+        assert sorted(map(tuple, got), key=str) == want
+
+
+def test_partitions_of_empty_texts(spark, made, libraries):
+    rows = [(n, None if n % 2 else "") for n in range(8)] + [(None, "some words")]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    got = alignment.align(docs, BYTE_LEVEL, PIECES).collect()
+    assert sorted(map(tuple, got), key=str) == brute(libraries, made, rows)

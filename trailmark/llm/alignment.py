@@ -93,8 +93,8 @@ def shown(groups: list[Tokens]) -> bytes:
 
 
 def cuts(full: str) -> list[str]:
-    """A text (with its leading blank) in pieces, cut before blanks and line breaks between visible characters."""
-    if _UNEVEN.search(full) or full[-1].isspace():
+    """A text (with its leading blank), or a range of it, in pieces, cut before blanks and line breaks between visible characters."""
+    if full[0] != " " or full[-1].isspace() or _UNEVEN.search(full):
         return _CUT.split(full)
     return [part if part[0] == "\n" else " " + part for part in full[1:].replace("\n", " \n").split(" ")]
 
@@ -429,7 +429,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("pairs").to_pylist(), strict=True):
             pairs, n = _unpacked(data)
             yield pa.record_batch(
-                [pa.array([chunk] * len(pairs)), pa.array(np.arange(len(pairs), dtype=np.int32)), pa.array(pairs), pa.array(n)],
+                [pa.array([chunk] * len(pairs), pa.string()), pa.array(np.arange(len(pairs), dtype=np.int32)), pa.array(pairs), pa.array(n)],
                 names=["chunk", "place", "pair", "n"],
             )
 
