@@ -75,3 +75,15 @@ def test_repeated_rows_are_parsed_once(spark):
     found = sub.spans(frame).groupBy("own_id", "text_hash", "start", "size").count()
     assert found.where("count > 1").count() == 0 and found.count() > 0
     assert rows(sub.remove_repeats(frame)) == sorted(plain(docs), key=str)
+
+
+def test_few_keys_make_a_small_bitmap(spark):
+    random.seed(3)
+    keys = [random.randint(-(2**63), 2**63 - 1) for _ in range(1000)]
+    frame = spark.createDataFrame([(k,) for k in keys], "key long")
+    bitmap = sub._bitmap(frame, "key")
+    assert bitmap.nbytes <= 1 << 16
+    assert all(sub._is_set(bitmap, key) for key in keys)
+    assert frame.where(sub._has(spark.sparkContext.broadcast(bitmap), frame["key"])).count() == len(keys)
+    assert sum(sub._is_set(bitmap, random.randint(0, 2**64 - 1)) for _ in range(2000)) < 60
+    assert not any(sub._is_set(sub._bitmap(frame.limit(0), "key"), key) for key in keys)

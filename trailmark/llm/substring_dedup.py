@@ -11,7 +11,7 @@ other phrases too: their suffixes of ``length`` bytes are put in order across th
 together, and those that an earlier document has go as well. (Only strings are tried whose bytes on one side of the trigger two documents share.) Order beyond equal or not is never needed, so no full suffix
 array is kept.
 
-Whole copies of an earlier text are set apart first. Triggers that a single document has are left out of the parse by a bitmap of fixed size; a bit set by chance costs time only.
+Whole copies of an earlier text are set apart first. Triggers that a single document has are left out of the parse by a bitmap of bounded size; a bit set by chance costs time only.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ from .common import map_batches, whole_text
 
 LENGTH = 50
 GRAM = 16
-BITMAP_BITS = 27  # 16 MB, whatever the corpus is
+BITMAP_BITS = 27  # 16 MB at most, whatever the corpus is
+_SPARSE = 8  # a bitmap is as small as leaves one bit in 2 ** 8 set
 _PIECE = 1 << 20  # bytes parsed at a time
 _PLACE = np.uint64(_PIECE - 1)
 
@@ -91,8 +92,7 @@ def phrases(texts: list[bytes], length: int = LENGTH, shared: np.ndarray | None
         mark = trigger[at]
         key = hashes[mark]
         if shared is not None:
-            slot = key >> np.uint64(64 - BITMAP_BITS)
-            kept = (shared[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+            kept = _are_set(shared, key)
             at, counts, key, mark = at[kept], counts[kept], key[kept], mark[kept]
         yield data, row[part[at]], offset[part[at]] + at - (ends - size)[part[at]], counts, at, key.view(np.int64), mark
 
@@ -106,15 +106,36 @@ def _bytes(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """A bit for the leading bits of every key; at most ``2 ** BITMAP_BITS`` bits come to the driver."""
+    """A bit for the leading bits of every key; at most ``2 ** BITMAP_BITS`` bits come to the driver, and fewer are kept of few keys."""
     slots = keys.select(F.shiftrightunsigned(column, 64 - BITMAP_BITS).alias("slot"))
     words = slots.select(F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, int(slot & 63))").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return _packed_bits(found["word"].to_numpy(), found["bits"].to_numpy().view(np.uint64))
+
+
+def _packed_bits(word: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """A bitmap from its words that are not zero. Neighbouring bits of a sparse one are put together."""
+    size = min(max(int(np.bitwise_count(bits).sum()).bit_length() + _SPARSE, 6), BITMAP_BITS)
+    bitmap = np.zeros(1 << (size - 6), np.uint64)
+    if size == BITMAP_BITS:
+        bitmap[word] = bits
+        return bitmap
+    row, place = np.nonzero(np.unpackbits(bits.astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64))
+    slot = (word[row] << 6 | place) >> (BITMAP_BITS - size)
+    np.bitwise_or.at(bitmap, slot >> 6, np.uint64(1) << (slot & 63).astype(np.uint64))
     return bitmap
 
 
+def _shift(bitmap: np.ndarray) -> int:
+    """How far a key of 64 bits is shifted to its bit."""
+    return 59 - len(bitmap).bit_length()
+
+
+def _are_set(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys >> np.uint64(_shift(bitmap))
+    return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def _has(bitmap, column: Column) -> Column:
     """Whether a key may be in the bitmap, as a filter on rows with texts."""
 
@@ -122,8 +143,7 @@ def _has(bitmap, column: Column) -> Column:
     def has(keys):
         import pandas as pd
 
-        slot = keys.to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
-        return pd.Series((bitmap.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool))
+        return pd.Series(_are_set(bitmap.value, keys.to_numpy().view(np.uint64)))
 
     return has(column)
 
@@ -255,7 +275,7 @@ def _sides(text: bytes, phrase: dict, length: int) -> tuple[int | None, int | No
 
 
 def _is_set(bits: np.ndarray, key: int) -> bool:
-    slot = (key & (1 << 64) - 1) >> (64 - BITMAP_BITS)
+    slot = (key & (1 << 64) - 1) >> _shift(bits)
     return bool(int(bits[slot >> 6]) >> (slot & 63) & 1)
 
 
