@@ -86,4 +86,5 @@ def test_few_keys_make_a_small_bitmap(spark):
     assert all(sub._is_set(bitmap, key) for key in keys)
     assert frame.where(sub._has(spark.sparkContext.broadcast(bitmap), frame["key"])).count() == len(keys)
     assert sum(sub._is_set(bitmap, random.randint(0, 2**64 - 1)) for _ in range(2000)) < 60
-    assert not any(sub._is_set(sub._bitmap(frame.limit(0), "key"), key) for key in keys)
+    empty = sub._bitmap(frame.limit(0), "key")
+    assert not any(sub._is_set(empty, key) for key in keys)

@@ -74,3 +74,17 @@ def test_four_batches_equal_one_run(spark, tmp_path_factory, events):
     want = full_run(table.read())
     for name in ("channel_revenue_last_click", "channel_revenue_time_decay", "conversion_rate_by_channel"):
         assert [tuple(r) for r in days.marts()[name].select(want[name].columns).collect()] == [tuple(r) for r in want[name].collect()], name
+
+
+def test_touches_are_searched_once_a_batch(spark, tmp_path, events, monkeypatch):
+    calls, search = [], multi_touch.channel_weights
+    monkeypatch.setattr(multi_touch, "channel_weights", lambda *args: calls.append(args) or search(*args))
+    table = VersionedTable(spark, f"{tmp_path}/events", day_of())
+    days = MartDays(spark, f"{tmp_path}/marts", table, SessionDays(spark, f"{tmp_path}/sessions"))
+    some = ["2024-01-03", "2024-01-04"]
+    table.replace(events.where(day_of().isin(some)), some)
+    days.update(some)
+    assert len(calls) == 1
+    for model, half_life in (("linear", None), ("time_decay", multi_touch.HALF_LIFE_DAYS)):
+        want = multi_touch.channel_credit(multi_touch.credits(table.read(), half_life, "price_first"))
+        assert days._credited(model).select(want.columns).collect() == want.collect()

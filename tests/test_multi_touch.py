@@ -106,3 +106,19 @@ def test_a_client_with_a_third_of_all_touches_is_split(spark):
     reach, width = 7 * DAY * 10**6, 60 * 10**6
     sizes = touches.withColumns(multi_touch._placed_in(touches["us"], reach, width)).groupBy("block", "slice").count()
     assert max(r["count"] for r in sizes.collect()) <= 7 and sizes.count() <= 1441
+
+
+def test_both_models_of_one_pass(spark):
+    pick = random.Random(11)
+    rows = [
+        {
+            "row_seq": n, "t": None if n % 37 == 0 else pick.uniform(0, 20 * DAY), "client": pick.choice(["a", "b", None]),
+            "source": pick.choice([None, "x", "y", ""]), "name": pick.choice(["purchase", "page_viewed"]),
+        }
+        for n in range(300)
+    ]
+    df = events(spark, rows)
+    both = multi_touch.credits_of_both(df, 2.0).collect()
+    for half_life, prefix in ((None, "linear_"), (2.0, "")):
+        want = {(r.row_seq, r.channel): (r.touches, r.share, r.revenue) for r in multi_touch.credits(df, half_life).collect()}
+        assert {(r.row_seq, r.channel): (r.touches, r[f"{prefix}share"], r[f"{prefix}revenue"]) for r in both} == want

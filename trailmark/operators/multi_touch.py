@@ -110,18 +110,39 @@ def credits(
     Purchases without a touch, without a client or without a time go to ``direct`` as a whole. ``events`` is read several times,
     so it should be a stored table.
     """
-    weights = channel_weights(events, half_life_days, days, slice_seconds)
+    return _credited(events, channel_weights(events, half_life_days, days, slice_seconds), {"": "weight"}, revenue_policy)
+
+
+def credits_of_both(
+    events: DataFrame,
+    half_life_days: float = HALF_LIFE_DAYS,
+    revenue_policy: str = "total",
+    days: int = LOOKBACK_DAYS,
+    slice_seconds: int = SLICE_SECONDS,
+) -> DataFrame:
+    """The rows of ``credits`` by time decay, and beside them ``linear_share`` and ``linear_revenue``.
+
+    The linear weight of a channel is the number of its touches, which time decay counts too: one pass gives both models.
+    """
+    weights = channel_weights(events, half_life_days, days, slice_seconds).withColumn("linear_weight", F.col("touches").cast("double"))
+    return _credited(events, weights, {"": "weight", "linear_": "linear_weight"}, revenue_policy)
+
+
+def _credited(events: DataFrame, weights: DataFrame, models: dict[str, str], revenue_policy: str) -> DataFrame:
+    """Purchases by channel with the share and revenue of each model, by its prefix and the column of its weights."""
     per_moment = Window.partitionBy("client_id", "us")
-    shares = weights.withColumn("share", ratio(F.col("weight"), F.sum("weight").over(per_moment))).drop("weight")
+    shares = weights.withColumns({f"{prefix}share": ratio(F.col(weight), F.sum(weight).over(per_moment)) for prefix, weight in models.items()})
+    shares = shares.drop(*models.values())
     purchases = events.where(F.col("event_name") == PURCHASE).withColumn("revenue", revenue_of(revenue_policy))
     placed = purchases.where(_PLACED).withColumn("us", micros(F.col("timestamp_utc"))).join(shares, ["client_id", "us"], "left").drop("us")
     every = placed.unionByName(purchases.where(f"NOT ({_PLACED})"), allowMissingColumns=True)
+    share = {prefix: F.coalesce(f"{prefix}share", F.lit(1.0)) for prefix in models}
     return every.withColumns(
         {
             "channel": F.coalesce("channel", F.lit(DIRECT)),
             "touches": F.coalesce("touches", F.lit(0).cast("bigint")),
-            "share": F.coalesce("share", F.lit(1.0)),
-            "revenue": F.col("revenue") * F.coalesce("share", F.lit(1.0)),
+            **{f"{prefix}share": column for prefix, column in share.items()},
+            **{f"{prefix}revenue": F.col("revenue") * column for prefix, column in share.items()},
         }
     )
 

@@ -25,7 +25,7 @@ from .session_days import SessionDays
 _MONEY, _SHARE = "decimal(38,4)", "decimal(38,6)"
 
 
-def _row(mart: str, key: Column | None = None, n: Column | None = None, m: Column | None = None, money: Column | None = None, other: Column | None = None, share: Column | None = None) -> list[Column]:
+def _row(mart: str | Column, key: Column | None = None, n: Column | None = None, m: Column | None = None, money: Column | None = None, other: Column | None = None, share: Column | None = None) -> list[Column]:
     """A row of the store: two counts, two sums of money and one of shares, those that the mart has."""
     kinds = (("key", key, "string"), ("n", n, "bigint"), ("m", m, "bigint"), ("money", money, _MONEY), ("other", other, _MONEY), ("share", share, _SHARE))
     return ["day", F.lit(mart).alias("mart"), *[(F.lit(None) if column is None else column).cast(kind).alias(name) for name, column, kind in kinds]]
@@ -63,16 +63,13 @@ class MartDays:
         self.purchases.replace(bought, redone)
         held = self.purchases.read(redone)
         held = self.spark.createDataFrame([], bought.schema) if held is None else held
-        credited = {
-            name: multi_touch.credits(seen, half_life, "price_first").where(own)
-            for name, half_life in (("linear", None), ("time_decay", multi_touch.HALF_LIFE_DAYS))
-        }
+        credited = multi_touch.credits_of_both(seen, multi_touch.HALF_LIFE_DAYS, "price_first").where(own)
         rows = materialize(self._sums(seen.where(own), held, credited), "sums")
         self.sums.replace(rows, redone)
         discard(rows)
         return redone
 
-    def _sums(self, events: DataFrame, purchases: DataFrame, credited: dict[str, DataFrame]) -> DataFrame:
+    def _sums(self, events: DataFrame, purchases: DataFrame, credited: DataFrame) -> DataFrame:
         """The rows of the store for some days, from their events, purchases and credits."""
         day = day_of().alias("day")
         by_price = purchases.withColumn("revenue", attribution.revenue_of("price_first"))
@@ -91,11 +88,16 @@ class MartDays:
         devices = marts.device_days(events).groupBy(F.coalesce(F.col("dt").cast("string"), F.lit(UNDATED)).alias("day"), "device_type")
         sums = devices.agg(F.count("client_id").alias("n"), exact_sum(F.col("revenue")).alias("money"))
         parts.append(sums.select(_row("device", F.col("device_type"), F.col("n"), None, F.col("money"))))
-        for model, rows in credited.items():
-            sums = rows.groupBy(day, "channel").agg(
-                exact_sum(round_half_away(F.col("revenue"), 4)).alias("money"), F.sum(round_half_away(F.col("share"), 6).cast(_SHARE)).alias("share"), F.sum("touches").alias("n")
+        models = {"linear": "linear_", "time_decay": ""}
+        sums = [
+            F.struct(
+                F.lit(model).alias("mart"), exact_sum(round_half_away(F.col(f"{prefix}revenue"), 4)).alias("money"),
+                F.sum(round_half_away(F.col(f"{prefix}share"), 6).cast(_SHARE)).alias("share"),
             )
-            parts.append(sums.select(_row(model, F.col("channel"), F.col("n"), None, F.col("money"), None, F.col("share"))))
+            for model, prefix in models.items()
+        ]
+        both = credited.groupBy(day, "channel").agg(F.sum("touches").alias("n"), F.array(*sums).alias("models")).select("day", "channel", "n", F.inline("models"))
+        parts.append(both.select(_row(F.col("mart"), F.col("channel"), F.col("n"), None, F.col("money"), None, F.col("share"))))
         parts.append(marts.outside_sessions(events).groupBy(day).agg(count).select(_row("outside", n=F.col("n"))))
 
         is_purchase = F.col("event_name") == PURCHASE
@@ -104,8 +106,10 @@ class MartDays:
             count, F.count_if(is_purchase).alias("m"), F.count_if(F.col("client_id").isNull()).alias("nulls"), F.count_if(bad).alias("bad"),
             exact_sum(F.when(is_purchase, F.col("total"))).alias("money"),
         )
-        parts.append(counted.select(_row("events", None, F.col("n"), F.col("m"), F.col("money"))))
-        parts.append(counted.select(_row("faults", None, F.col("nulls"), F.col("bad"))))
+        kept = (("events", "n", "m", F.col("money")), ("faults", "nulls", "bad", F.lit(None)))
+        kept = [F.struct(F.lit(mart).alias("mart"), F.col(n).alias("n"), F.col(m).alias("m"), money.cast(_MONEY).alias("money")) for mart, n, m, money in kept]
+        found = counted.select("day", F.inline(F.array(*kept)))
+        parts.append(found.select(_row(F.col("mart"), None, F.col("n"), F.col("m"), F.col("money"))))
         copies = monitoring.duplicate_groups(events.withColumn("day", day_of()), "day")
         parts.append(copies.select(_row("copies", None, F.col("groups"), F.col("several"))))
         direct = monitoring.direct_revenue(purchases.withColumn("revenue", attribution.revenue_of("total")), day)
