@@ -2,9 +2,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+from pathlib import Path
+
+import pyarrow as pa
 
 from trailmark.llm import substring_dedup as sub
 from trailmark.llm.queries import QUERIES
+from trailmark.session import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +92,44 @@ def test_few_keys_make_a_small_bitmap(spark):
     assert sum(sub._is_set(bitmap, random.randint(0, 2**64 - 1)) for _ in range(2000)) < 60
     empty = sub._bitmap(frame.limit(0), "key")
     assert not any(sub._is_set(empty, key) for key in keys)
+
+
+def test_search_writes_neither_texts_nor_strings(spark, monkeypatch):
+    random.seed(12)
+    char = lambda n: "".join(random.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    base = [char(3000) for _ in range(30)]
+    docs = []
+    for i in range(150):
+        text = base[i % 30]
+        for _ in range(3):  # edits, so that phrases beside them stay open in texts that go apart from these
+            at = random.randint(0, len(text))
+            text = text[:at] + char(9) + text[at:]
+        docs.append((i, text))
+    written = []
+
+    def recorded(df, name):
+        found = materialize(df, name)
+        written.extend(p.stat().st_size for p in Path(found.staged_path).glob("*.parquet"))
+        return found
+
+    monkeypatch.setattr(sub, "materialize", recorded)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(4)
+    assert rows(sub.remove_repeats(frame)) == sorted(plain(docs), key=str)
+    assert sum(written) < 2.5 * sum(len(text) for _, text in docs)
+
+
+def test_gates_keep_all_shared_strings(spark):
+    text, other = "".join(random.Random(1).choices("abcdefgh", k=400)), "".join(random.Random(2).choices("abcdefgh", k=400))
+    for length in (24, 120):
+        pair = [(1, other[:200] + text[:150] + other[200:]), (2, text[:130] + other[:9] + text[130:])]
+        frame = spark.createDataFrame(pair, "doc_id long, text string")
+        assert rows(sub.remove_repeats(frame, length)) == sorted(plain(pair, length), key=str)
+
+
+def test_stretches_are_merged_by_text():
+    lists = [[(5, 50), (0, 50), (80, 20)], None, [(0, 10), (10, 10)], [], [(3, 7)]]
+    lost = pa.array([None if x is None else [{"start": a, "size": b} for a, b in x] for x in lists], pa.list_(pa.struct([("start", pa.int64()), ("size", pa.int64())])))
+    expected = [[(0, 55), (80, 20)], [], [(0, 20)], [], [(3, 7)]]
+    assert sub._merged(lost, [100, 8, 20, 0, 10]) == expected
+    assert sub._merged(lost.slice(1, 3), [8, 20, 0]) == expected[1:4]
+    assert sub._merged(lost.slice(0, 0), []) == []

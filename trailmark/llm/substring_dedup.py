@@ -7,20 +7,21 @@ overlap so that no phrase is a prefix of a longer reading and every string lies
 
 The parse is the list of phrases of each document, the dictionary has each distinct phrase once with the first document that
 holds it. A phrase that stands in an earlier document goes as a whole. What is left are first occurrences whose trigger has
-other phrases too: their suffixes of ``length`` bytes are put in order across the dictionary by hash, which brings equal ones
-together, and those that an earlier document has go as well. (Only strings are tried whose bytes on one side of the trigger two documents share.) Order beyond equal or not is never needed, so no full suffix
-array is kept.
+other phrases too: their suffixes of ``length`` bytes are brought together across the dictionary by hash, and those that an
+earlier document has go as well. Ranges of neighbouring strings are tried before single ones: the bytes that all strings of a
+range have must stand in two documents. Order beyond equal or not is never needed, so no full suffix array is kept.
 
-Whole copies of an earlier text are set apart first. Triggers that a single document has are left out of the parse by a bitmap of bounded size; a bit set by chance costs time only.
+Whole copies of an earlier text are set apart first. Triggers, phrases and ranges that only one document has are left out by
+bitmaps of bounded size; a bit set by chance costs time only. What a batch has for a bitmap goes as raw bytes to buckets of
+equal hashes. For the search only the phrases that stay open are written, and only texts that may be copies are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +32,17 @@ LENGTH = 50
 GRAM = 16
 BITMAP_BITS = 27  # 16 MB at most, whatever the corpus is
 _SPARSE = 8  # a bitmap is as small as leaves one bit in 2 ** 8 set
-_PIECE = 1 << 20  # bytes parsed at a time
-_PLACE = np.uint64(_PIECE - 1)
+_PIECE = 1 << 16  # bytes parsed at a time, if the strings are not very long; the arrays stay in a core's cache
+_BUCKET_BITS = 9
+_GATES = (4, 12)  # ranges that the strings of a phrase are tried in, before each is tried alone
 
 _ORDER = ["own_id", "text_hash"]
 
 
+def _piece(length: int) -> int:
+    return max(_PIECE, 1 << (4 * length).bit_length())
+
+
 def _triggers(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the ``GRAM`` bytes at each place, and the trigger's place for the string of ``length`` bytes at each place."""
     words = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
@@ -47,23 +53,26 @@ def _triggers(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     hashes ^= hashes >> np.uint64(29)
     hashes *= np.uint64(0x94D049BB133111EB)
     hashes ^= hashes >> np.uint64(32)
-    least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    least = (hashes >> np.uint64(32)).astype(np.uint32)
+    places = np.uint32(_piece(length) - 1)
+    least &= ~places
+    least |= np.arange(len(hashes), dtype=np.uint32)
     width, size = length - GRAM + 1, 1
     while size * 2 <= width:
         least, size = np.minimum(least[:-size], least[size:]), size * 2
     if size < width:
         least = np.minimum(least[: len(least) - (width - size)], least[width - size :])
-    return hashes, (least & _PLACE).astype(np.int64)
+    return hashes, (least & places).astype(np.int64)
 
 
 def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
-    """Texts joined up to ``_PIECE`` bytes, with ``(row, offset in the text, bytes)`` of each part; longer texts are cut so that
+    """Texts joined up to ``_piece(length)`` bytes, with ``(row, offset in the text, bytes)`` of each part; longer texts are cut so that
     every string of ``length`` bytes is whole in exactly one part."""
-    parts, joined, total = [], [], 0
+    piece, parts, joined, total = _piece(length), [], [], 0
     for row, text in enumerate(texts):
-        for start in range(0, max(len(text) - length + 1, 0), _PIECE // 2):
-            part = text[start : start + _PIECE // 2 + length - 1]
-            if total + len(part) > _PIECE:
+        for start in range(0, max(len(text) - length + 1, 0), piece // 2):
+            part = text[start : start + piece // 2 + length - 1]
+            if total + len(part) > piece:
                 yield b"".join(joined), parts
                 parts, joined, total = [], [], 0
             parts.append((row, start, len(part)))
@@ -148,12 +157,6 @@ def _has(bitmap, column: Column) -> Column:
     return has(column)
 
 
-def _table(schema: str, columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    names, kinds = zip(*(field.split() for field in schema.split(", ")))
-    types = [np.int32 if kind == "int" else np.int64 for kind in kinds]
-    return pa.record_batch([pa.array(np.concatenate([np.zeros(0, t), *c])) for t, c in zip(types, columns)], names=list(names))
-
-
 def _once(texts: DataFrame, broadcast) -> DataFrame:
     """One row of each ``own_id`` and text. Only rows whose key may occur again are shuffled."""
     named = F.xxhash64(*_ORDER)
@@ -162,10 +165,163 @@ def _once(texts: DataFrame, broadcast) -> DataFrame:
     return flagged.where(~F.col("again")).unionByName(flagged.where("again").dropDuplicates(_ORDER)).drop("again")
 
 
+def _deal(by: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """Columns as raw bytes, one row for each ``bucket``: the leading bits of ``by``, which is in order."""
+    bucket = (by >> np.uint64(64 - _BUCKET_BITS)).astype(np.int32)
+    turns = np.flatnonzero(np.diff(bucket, prepend=-1))
+    arrays = [pa.array(bucket[turns])]
+    for column in columns.values():
+        ends = np.append(turns, len(column)) * column[:1].nbytes
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(turns), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(column))]))
+    return pa.record_batch(arrays, names=["bucket", *columns])
+
+
+def _gathered(table: pa.Table, name: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(table[name].to_pylist()), kind)
+
+
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted columns differ from the row before."""
+    changed = np.zeros(len(columns[0]), bool)
+    changed[:1] = True
+    for column in columns:
+        changed[1:] |= column[1:] != column[:-1]
+    return changed
+
+
+def _ends(*columns: np.ndarray) -> list[np.ndarray]:
+    """The columns in order; of the rows alike in all but the last column, those of its smallest and largest value."""
+    order = np.lexsort(columns[::-1])
+    columns = [column[order] for column in columns]
+    first = _new(*columns[:-1])
+    least = columns[-1][first][np.cumsum(first) - 1]
+    kept = first | np.append(first[1:], True)[: len(first)] & (columns[-1] != least)
+    return [column[kept] for column in columns]
+
+
+def _keys_dealt(keys: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+    """The leading 40 bits of the keys of a batch by bucket: once, or twice if they are of rows of two ids."""
+    keys, owner = _ends(keys.view(np.uint64) >> np.uint64(24), owner)
+    again = np.append(False, keys[1:] == keys[:-1])[: len(keys)]
+    kept = ~again | np.append(False, owner[1:] != owner[:-1])[: len(keys)]
+    keys = keys[kept] << np.uint64(24)
+    return _deal(keys, keys=keys.view(np.uint8).reshape(-1, 8)[:, 3:])
+
+
+_DEALT = "bucket int, keys binary"
+
+
+def _shared_bitmap(dealt: DataFrame) -> np.ndarray:
+    """A bitmap of the keys that stand more than once in the rows that ``_keys_dealt`` made: those of two ids, and some that two
+    batches have of one id."""
+
+    def words(table: pa.Table) -> pa.Table:
+        raw = _gathered(table, "keys", "u1").reshape(-1, 5)
+        keys = np.zeros((len(raw), 8), np.uint8)
+        keys[:, 3:] = raw
+        keys = np.sort(keys.reshape(-1).view("<u8"))
+        slot = keys[1:][keys[1:] == keys[:-1]] >> np.uint64(64 - BITMAP_BITS)
+        turns = np.flatnonzero(_new(slot >> np.uint64(6)))
+        bits = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), turns) if len(turns) else slot
+        return pa.table({"word": (slot[turns] >> np.uint64(6)).astype(np.int64), "bits": bits.view(np.int64)})
+
+    found = dealt.groupBy("bucket").applyInArrow(words, "word long, bits long").toArrow()
+    return _packed_bits(found["word"].to_numpy(), found["bits"].to_numpy().view(np.uint64))
+
+
+def _hash(data: bytes, starts: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """64 bits by the ``size`` bytes at each of ``starts``."""
+    words = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
+    found = np.full(len(starts), seed * 0x2545F4914F6CDD1D + size & (1 << 64) - 1, np.uint64)
+    for offset in [*range(0, size - 8, 8), size - 8]:
+        found ^= words[starts + offset]
+        found *= np.uint64(0x9E3779B97F4A7C15 if seed % 2 else 0xD6E8FEB86659FD93)
+        found ^= found >> np.uint64(29)
+        found *= np.uint64(0xBF58476D1CE4E5B9 if seed % 2 else 0xA0761D6478BD642F)
+        found ^= found >> np.uint64(32)
+    return found
+
+
+def _phrase_hash(data: bytes, at: np.ndarray, counts: np.ndarray, length: int) -> np.ndarray:
+    """A phrase has at most twice ``length`` bytes, so its first and its last string cover it."""
+    return _mixed(_hash(data, at, length, 3), _hash(data, at + counts - 1, length, 4), counts.astype(np.uint64))
+
+
+def _mixed(*values: np.ndarray) -> np.ndarray:
+    found = np.zeros(len(values[0]), np.uint64)
+    for value in values:
+        found = (found ^ value.view(np.uint64)) * np.uint64(0x94D049BB133111EB)
+        found ^= found >> np.uint64(31)
+        found *= np.uint64(0xBF58476D1CE4E5B9)
+        found ^= found >> np.uint64(32)
+    return found
+
+
+class _Open:
+    """Phrases of a batch of rows, with the strings of each that other documents may have, by how far they begin before the trigger."""
+
+    def __init__(self, batch: pa.RecordBatch, length: int):
+        start, count, self.mark = (batch.column(name).flatten().to_numpy() for name in ("start", "count", "mark"))
+        self.length, self.width, self.data = length, length - GRAM + 1, b"".join(batch.column("bytes").to_pylist()) + bytes(8)
+        self.row = np.repeat(np.arange(batch.num_rows), batch.column("start").value_lengths().to_numpy())
+        sizes = count.astype(np.int64) + length - 1
+        self.at = np.cumsum(sizes) - sizes  # the phrase's place in the data
+        self.trigger, self.base = self.at + self.mark, start + self.mark
+        before = np.arange(self.width)
+        self.alive = (before > (self.mark - count)[:, None]) & (before <= self.mark[:, None])
+
+    def cores(self, parts: int) -> Iterator[tuple[np.ndarray, int, int, np.ndarray]]:
+        """For each of ``parts`` ranges: phrases with such strings, the range, and a hash of the bytes that all strings of it have."""
+        edges = sorted({self.width * i // parts for i in range(parts + 1)})
+        for low, high in zip(edges, edges[1:]):
+            some = np.flatnonzero(self.alive[:, low:high].any(axis=1))
+            yield some, low, high, _hash(self.data, self.trigger[some] - low, self.length - (high - low - 1), 64 * parts + 2 * low + 1)
+
+    def gate(self, parts: int, bitmap: np.ndarray) -> None:
+        """Strings go whose core no other document has."""
+        for some, low, high, key in self.cores(parts):
+            self.alive[some[~_are_set(bitmap, key)], low:high] = False
+
+    def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, start, and a hash of 64 and one of 32 bits, of each string."""
+        phrase, before = np.nonzero(self.alive)
+        starts = self.trigger[phrase] - before
+        both = _hash(self.data, starts, self.length, 1), _hash(self.data, starts, self.length, 2) >> np.uint64(32)
+        return self.row[phrase], self.base[phrase] - before, *both
+
+
+def _lists(row: np.ndarray, rows: int, *columns: np.ndarray) -> list[pa.Array]:
+    """A list for each row."""
+    ends = np.append(0, np.bincount(row, minlength=rows).cumsum()).astype(np.int32)
+    return [pa.ListArray.from_arrays(pa.array(ends), pa.array(column)) for column in columns]
+
+
+_PARSE = (
+    "own_id long, text_hash long, start array<long>, count array<int>, mark array<int>, bytes binary, "
+    "place array<long>, size array<int>, phrase array<long>, trigger array<long>"
+)
+
+
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``own_id, text_hash, start, size``: stretches to remove; together they cover exactly the repeated strings. They overlap."""
-    spark = docs.sparkSession
-    broadcast = spark.sparkContext.broadcast
+    return _spans(docs, length)[0]
+
+
+def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows of ``spans``, and what lets go of all that they are made of."""
+    context, held = docs.sparkSession.sparkContext, []
+
+    def broadcast(bitmap: np.ndarray):
+        held.append(context.broadcast(bitmap))
+        return held[-1]
+
+    def free(*frames: DataFrame) -> None:
+        # each bitmap is a file of the driver and of every executor
+        while held:
+            held.pop().destroy()
+        discard(*frames)
+        let_go()
+
     texts = _texts(docs)
     named = F.xxhash64(*_ORDER)
 
@@ -176,102 +332,124 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     maybe = _has(broadcast(_bitmap(copies.select(named.alias("key")), "key")), named)
     flagged = texts.withColumn("maybe", maybe)
     texts = flagged.where(~F.col("maybe")).unionByName(flagged.where("maybe").join(copies, _ORDER, "left_anti")).drop("maybe")
-    texts = _once(texts, broadcast)
+    texts = _once(texts, broadcast).select(*_ORDER, "text")
 
     def triggers(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner = np.asarray(batch.column("own_id"))
-        found = [(key >> 24 << 24, owner[row]) for _, row, _, _, _, key, _ in phrases(_bytes(batch), length)]
-        return _table("key long, own_id long", [[x[i] for x in found] for i in range(2)])
+        found = [(key, owner[row]) for _, row, _, _, _, key, _ in phrases(_bytes(batch), length)]
+        return _keys_dealt(*(np.concatenate([np.zeros(0, np.int64), *(x[i] for x in found)]) for i in range(2)))
 
     # only leading bits of a key go into the bitmap, so only these are counted
-    pairs = map_batches(texts.select("own_id", "text"), triggers, "key long, own_id long")
-    shared = broadcast(_bitmap(_in_two(pairs), "key"))
+    shared = broadcast(_shared_bitmap(map_batches(texts, triggers, _DEALT)))
     let_go()
 
-    parse_schema = "key int, phrase long, own_id long, text_hash long, start long, count int, mark int"
-
+    # the dictionary: phrases of two documents, and first occurrences whose trigger has other phrases
     def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, hashes, columns = np.asarray(batch.column("own_id")), np.asarray(batch.column("text_hash")), [[] for _ in range(7)]
-        digest = xxhash.xxh3_64_intdigest
-        for data, row, start, count, at, key, mark in phrases(_bytes(batch), length, shared.value):
-            last = at + count + length - 1
-            phrase = np.fromiter((digest(data[a:b]) for a, b in zip(at.tolist(), last.tolist())), np.uint64, len(at)).view(np.int64)
-            for column, values in zip(columns, ((key >> 32).astype(np.int32), phrase, owner[row], hashes[row], start, count.astype(np.int32), (mark - at).astype(np.int32))):
-                column.append(values)
-        return _table(parse_schema, columns)
-
-    parsed = materialize(map_batches(texts.select("own_id", "text_hash", "text"), parse, parse_schema), "parse")
-    # a phrase's trigger is in it, so half of the trigger's hash is enough beside the phrase's
-    dictionary = materialize(parsed.groupBy("key", "phrase").agg(F.min("own_id").alias("first")), "dictionary")
-    let_go()
-    several = dictionary.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("several"))
-    known = parsed.join(dictionary.join(several, "key", "left"), ["key", "phrase"]).withColumn("whole", F.col("own_id") > F.col("first"))
-    marked = materialize(
-        known.where("whole OR several").groupBy(*_ORDER).agg(F.collect_list(F.struct("start", "count", "mark", "whole")).alias("marks")), "marks"
-    )
-    whole = marked.select(*_ORDER, F.explode(F.filter("marks", lambda x: x["whole"])).alias("x")).select(
-        *_ORDER, "x.start", (F.col("x.count") + (length - 1)).cast("long").alias("size")
-    )
-
-    # first occurrences whose trigger has other phrases: string by string, with what stands before or after the trigger
-    discard(parsed, dictionary)
-    let_go()
-    opened = marked.select(*_ORDER, F.filter("marks", lambda x: ~x["whole"]).alias("open")).where(F.size("open") > 0)
-    concerned = broadcast(_bitmap(opened.select(named.alias("key")), "key"))
-    some = texts.where(_has(concerned, named)).select(*_ORDER, "text")
-    joined = materialize(some.join(opened, _ORDER).select(*_ORDER, "text", "open"), "opened")
-    side_schema = "key long, own_id long"
-
-    def sides(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, columns = np.asarray(batch.column("own_id")), [[], []]
-        for row, (text, phrases_of) in enumerate(zip(_bytes(batch), batch.column("open").to_pylist())):
-            keys = [key >> 24 << 24 for x in phrases_of for key in _sides(text, x, length) if key is not None]
-            columns[0].append(np.array(keys, np.int64))
-            columns[1].append(np.full(len(keys), owner[row]))
-        return _table(side_schema, columns)
-
-    let_go()
-    two_sided = broadcast(_bitmap(_in_two(map_batches(joined.select("own_id", "text", "open"), sides, side_schema)), "key"))
-    string_schema = "h1 long, h2 int, own_id long, text_hash long, start long"
-
-    def strings(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, hashes, columns = np.asarray(batch.column("own_id")), np.asarray(batch.column("text_hash")), [[] for _ in range(5)]
-        digest, bits = xxhash.xxh3_128_digest, two_sided.value
-        for row, (text, phrases_of) in enumerate(zip(_bytes(batch), batch.column("open").to_pylist())):
-            starts = []
-            for x in phrases_of:
-                left, right = (key is not None and _is_set(bits, key) for key in _sides(text, x, length))
-                turn = x["start"] + x["mark"] - _LEFT  # strings from here on have too little before the trigger
-                low, high = x["start"], x["start"] + x["count"]
-                starts += range(low if left else max(low, turn + 1), high if right else min(high, turn + 1))
-            both = np.frombuffer(b"".join([digest(text[p : p + length]) for p in starts]), "<i8").reshape(-1, 2)
-            values = (both[:, 0], (both[:, 1] >> 32).astype(np.int32), np.full(len(starts), owner[row]), np.full(len(starts), hashes[row]), np.array(starts, np.int64))
-            for column, value in zip(columns, values):
+        owner, columns = np.asarray(batch.column("own_id")), [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]]
+        for data, row, _, count, at, key, _ in phrases(_bytes(batch), length, shared.value):
+            for column, value in zip(columns, (key.view(np.uint64), _phrase_hash(data, at, count, length), owner[row])):
                 column.append(value)
-        return _table(string_schema, columns)
-
-    suffixes = materialize(map_batches(joined, strings, string_schema), "suffixes")
-    discard(joined)
+        trigger, phrase, owners = _ends(*map(np.concatenate, columns))
+        return _deal(trigger, trigger=trigger, phrase=phrase, owner=owners)
+
+    def dictionary(table: pa.Table) -> pa.Table:
+        columns = [_gathered(table, name, kind) for name, kind in (("trigger", "<u8"), ("phrase", "<u8"), ("owner", "<i8"))]
+        trigger, phrase, owner = _ends(*columns)
+        first = np.flatnonzero(_new(trigger, phrase))
+        high = owner[np.append(first[1:], len(owner))[: len(first)] - 1]
+        trigger, phrase, owner = trigger[first], phrase[first], owner[first]
+        other = _new(trigger)
+        several = ~(other & np.append(other[1:], True)[: len(other)])
+        keys = _mixed(trigger, phrase)[owner < high], _mixed(trigger, phrase, owner)[several]
+        return pa.table({"open": np.repeat([False, True], [len(k) for k in keys]), "key": np.concatenate(keys).view(np.int64)})
+
+    dealt = map_batches(texts, parse, "bucket int, trigger binary, phrase binary, owner binary")
+    known = materialize(dealt.groupBy("bucket").applyInArrow(dictionary, "open boolean, key long"), "dictionary")
+    twice, opened = (broadcast(_bitmap(known.where(F.col("open") == which), "key")) for which in (False, True))
+    discard(known)
     let_go()
-    earlier = suffixes.groupBy("h1", "h2").agg(F.min("own_id").alias("first"), F.max("own_id").alias("high")).where("first < high")
-    single = suffixes.join(earlier.select("h1", "h2", "first"), ["h1", "h2"]).where("own_id > first")
-    all_of = copies.where(F.col("size") >= length).select(*_ORDER, F.lit(0).cast("long").alias("start"), "size")
-    return all_of.unionByName(whole).unionByName(single.select(*_ORDER, "start", F.lit(length).cast("long").alias("size")))
-
-
-#: of a string's bytes outside its trigger, either so many stand before it or enough after it
-_LEFT = GRAM + 1
-
 
-def _sides(text: bytes, phrase: dict, length: int) -> tuple[int | None, int | None]:
-    """Hashes of the trigger with the ``_LEFT`` bytes before it, and with the bytes after it that a string with fewer before it
-    must have; None where no string of the phrase has them. Equal strings have equal sides."""
-    low, high = phrase["start"], phrase["start"] + phrase["count"] - 1
-    at = low + phrase["mark"]
-    digest = xxhash.xxh3_64_intdigest
-    left = digest(text[at - _LEFT : at + GRAM], 1) if at - low >= _LEFT else None
-    right = digest(text[at : at + length - _LEFT + 1], 2) if at - high < _LEFT else None
-    return tuple(None if x is None else x - (1 << 64) if x >> 63 else x for x in (left, right))
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
+            owner, hashes = np.asarray(batch.column("own_id")), np.asarray(batch.column("text_hash"))
+            for data, row, start, count, at, key, mark in phrases(_bytes(batch), length, shared.value):
+                phrase = _phrase_hash(data, at, count, length)
+                two = _are_set(twice.value, _mixed(key, phrase))
+                some = _are_set(opened.value, _mixed(key, phrase, owner[row]))
+                rows, at_row = np.unique(row[two | some], return_inverse=True)
+                place = np.zeros(len(row), np.int64)
+                place[two | some] = at_row
+                sizes = count + (length - 1)
+                in_bytes = np.bincount(place[some], sizes[some], minlength=len(rows)).cumsum()
+                texts_of = b"".join([data[a : a + n] for a, n in zip(at[some].tolist(), sizes[some].tolist())])
+                offsets = np.append(0, in_bytes).astype(np.int32)
+                arrays = [
+                    *(pa.array(owner[rows]), pa.array(hashes[rows])),
+                    *_lists(place[some], len(rows), start[some], count[some].astype(np.int32), (mark - at)[some].astype(np.int32)),
+                    pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(texts_of)]),
+                    *_lists(place[two], len(rows), start[two], sizes[two].astype(np.int32), phrase[two].view(np.int64), key[two]),
+                ]
+                yield pa.record_batch(arrays, names=[field.split()[0] for field in _PARSE.split(", ")])
+
+    parsed = materialize(texts.mapInArrow(occurrences, _PARSE), "parse")
+    free()
+
+    # first occurrences whose trigger has other phrases: string by string, if other documents have what neighbouring strings share
+    gates: list[tuple[int, object]] = []
+
+    def still_open(batch: pa.RecordBatch) -> _Open:
+        found = _Open(batch, length)
+        for parts, bitmap in gates:
+            found.gate(parts, bitmap.value)
+        return found
+
+    for parts in _GATES:
+
+        def cores(batch: pa.RecordBatch, parts: int = parts) -> pa.RecordBatch:
+            owner, found = np.asarray(batch.column("own_id")), still_open(batch)
+            keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for some, _, _, key in found.cores(parts):
+                keys.append(key)
+                owners.append(owner[found.row[some]])
+            return _keys_dealt(np.concatenate(keys), np.concatenate(owners))
+
+        bitmap = broadcast(_shared_bitmap(map_batches(parsed.select("own_id", "start", "count", "mark", "bytes"), cores, _DEALT, 128)))
+        gates.append((parts, bitmap))
+        let_go()
+
+    def found_in(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Row, start, size, and both hashes of phrases and strings that are to be compared."""
+        row, start, h1, h2 = still_open(batch).strings()
+        place, size, phrase, trigger = (batch.column(name).flatten().to_numpy() for name in ("place", "size", "phrase", "trigger"))
+        rows = np.repeat(np.arange(batch.num_rows), batch.column("place").value_lengths().to_numpy())
+        parts = (row, rows), (start, place), (np.full(len(row), length, np.int32), size), (h1, phrase.view(np.uint64)), (h2, trigger.view(np.uint64) >> np.uint64(32))
+        return tuple(np.concatenate(x) for x in parts)
+
+    def compared(batch: pa.RecordBatch) -> pa.RecordBatch:
+        row, _, _, h1, h2 = found_in(batch)
+        h1, h2, owner = _ends(h1, h2.astype(np.uint32), np.asarray(batch.column("own_id"))[row])
+        return _deal(h1, h1=h1, h2=h2, owner=owner)
+
+    def earliest(table: pa.Table) -> pa.Table:
+        h1, h2, owner = _ends(*(_gathered(table, name, kind) for name, kind in (("h1", "<u8"), ("h2", "<u4"), ("owner", "<i8"))))
+        first = np.flatnonzero(_new(h1, h2))
+        high = owner[np.append(first[1:], len(owner))[: len(first)] - 1]
+        first = first[owner[first] < high]
+        return pa.table({"h1": h1[first].view(np.int64), "h2": h2[first].view(np.int32), "first": owner[first]})
+
+    def places(batch: pa.RecordBatch) -> pa.RecordBatch:
+        row, start, size, h1, h2 = found_in(batch)
+        own = (np.asarray(batch.column(name))[row] for name in _ORDER)
+        values = (h1.view(np.int64), h2.astype(np.uint32).view(np.int32), *own, start, size)
+        return pa.record_batch([pa.array(v) for v in values], names=["h1", "h2", *_ORDER, "start", "size"])
+
+    dealt = map_batches(parsed, compared, "bucket int, h1 binary, h2 binary, owner binary", 128)
+    earlier = materialize(dealt.groupBy("bucket").applyInArrow(earliest, "h1 long, h2 int, first long"), "earlier")
+    let_go()
+    strings = map_batches(parsed, places, "h1 long, h2 int, own_id long, text_hash long, start long, size int", 128)
+    later = strings.join(earlier, ["h1", "h2"]).where("own_id > first").select(*_ORDER, "start", F.col("size").cast("long").alias("size"))
+    found = copies.where(F.col("size") >= length).select(*_ORDER, F.lit(0).cast("long").alias("start"), "size").unionByName(later)
+    return found, lambda: free(copies, parsed, earlier)
 
 
 def _is_set(bits: np.ndarray, key: int) -> bool:
@@ -279,11 +457,6 @@ def _is_set(bits: np.ndarray, key: int) -> bool:
     return bool(int(bits[slot >> 6]) >> (slot & 63) & 1)
 
 
-def _in_two(pairs: DataFrame) -> DataFrame:
-    """The keys that documents of two ids have."""
-    return pairs.groupBy("key").agg(F.min("own_id").alias("low"), F.max("own_id").alias("high")).where("low < high")
-
-
 def cut(text: bytes, found: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
     """The text without the stretches ``(start, size)``, and the maximal removed runs ``(start, end)``."""
     runs: list[list[int]] = []
@@ -299,6 +472,22 @@ def cut(text: bytes, found: list[tuple[int, int]]) -> tuple[bytes, list[tuple[in
     return b"".join([*kept, text[at:]]), [tuple(run) for run in runs]
 
 
+def _merged(lost: pa.ListArray, sizes: list[int]) -> list[list[tuple[int, int]]]:
+    """For each text of so many bytes, the runs ``(start, size)`` that its stretches make."""
+    per_row = lost.value_lengths().fill_null(0).to_numpy()
+    start, size = (field.to_numpy() for field in lost.flatten().flatten())
+    base = np.cumsum([0, *sizes]) + np.arange(len(sizes) + 1)  # a byte between texts keeps their runs apart
+    at = start + np.repeat(base[:-1], per_row)
+    order = np.argsort(at)
+    at, reach = at[order], np.maximum.accumulate((at + size)[order])
+    turns = np.flatnonzero(np.append(True, at[1:] > reach[:-1])[: len(at)])
+    low, high = at[turns], reach[np.append(turns[1:], len(at))[: len(turns)] - 1]
+    row = np.searchsorted(base, low, "right") - 1
+    edges = np.searchsorted(row, np.arange(len(sizes) + 1)).tolist()
+    runs = list(zip((low - base[row]).tolist(), (high - low).tolist()))
+    return [runs[a:b] for a, b in zip(edges, edges[1:])]
+
+
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
@@ -312,14 +501,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < GRAM + 8:
         raise ValueError(f"strings of at least {GRAM + 8} bytes")
     texts = _texts(docs)
-    lost = materialize(spans(docs, length).groupBy(*_ORDER).agg(F.collect_list(F.struct("start", "size")).alias("lost")), "spans")
+    found, free = _spans(docs, length)
+    lost = materialize(found.groupBy(*_ORDER).agg(F.collect_list(F.struct("start", "size")).alias("lost")), "spans")
+    free()
     named = F.xxhash64(*_ORDER)
     concerned = docs.sparkSession.sparkContext.broadcast(_bitmap(lost.select(named.alias("key")), "key"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for text, found in zip(_bytes(batch), batch.column("lost").to_pylist()):
-            kept, runs = cut(text, [(x["start"], x["size"]) for x in found or ()])
+        rows, texts = [], _bytes(batch)
+        for text, stretches in zip(texts, _merged(batch.column("lost"), [len(text) for text in texts])):
+            kept, runs = cut(text, stretches)
             rows.append((len(text), len(text) - len(kept), len(runs), kept))
         columns = list(zip(*rows)) or [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
