@@ -4,7 +4,9 @@ import hashlib
 import random
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from trailmark.llm import substring_dedup as sub
 from trailmark.llm.queries import QUERIES
@@ -118,6 +120,48 @@ def test_search_writes_neither_texts_nor_strings(spark, monkeypatch):
     assert sum(written) < 2.5 * sum(len(text) for _, text in docs)
 
 
+def test_bitmaps_hold_documents_only(spark, monkeypatch):
+    random.seed(13)
+    char = lambda n: "".join(random.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passages = [char(2000) for _ in range(10)]
+    docs = [(i, char(1000) + passages[i % 10] + char(10)) for i in range(20)]
+    keys, bitmap = [], sub._bitmap
+
+    def recorded(frame, column):
+        keys.append(frame.count())
+        return bitmap(frame, column)
+
+    monkeypatch.setattr(sub, "_bitmap", recorded)  # of phrases and strings, a bitmap of bounded size is full on a large corpus
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(4)
+    assert rows(sub.remove_repeats(frame)) == sorted(plain(docs), key=str)
+    assert keys and max(keys) <= len(docs)
+
+
+def test_answers_are_in_the_order_of_the_keys():
+    rng = np.random.default_rng(5)
+    ids = np.array([-(2**63), 3, 2**62], np.int64)
+    keys = [rng.integers(0, 6, 40).astype(np.uint64) for _ in range(3)]
+    for more in (None, [rng.integers(0, 2, 40).astype(np.uint64) for _ in range(3)]):
+        asked = []
+        for i in range(3):
+            chunk = sub._Chunk(i, b"", own_id=ids[i:], text=np.zeros(40, np.int32), start=np.zeros(0), size=np.zeros(0))
+            found = (np.arange(40), np.arange(40), np.ones(40, np.int64), keys[i] << np.uint64(35), more and more[i])
+            asked.append(sub._Asked(chunk, lambda *_, found=found: found, 50))
+        dealt = [pa.Table.from_batches([a.dealt(i, 6)]) for i, a in enumerate(asked)]
+        buckets = sorted({b for t in dealt for b in t["bucket"].to_pylist()})
+        answers = [sub._judged(pa.concat_tables([t.filter(pc.equal(t["bucket"], b)) for t in dealt])) for b in buckets]
+        table = pa.concat_tables(answers)
+        for i, a in enumerate(asked):
+            left, earlier = a.answered(table.filter(pc.equal(table["chunk"], i)), 6)
+            for j, key in enumerate(keys[i]):
+                if more is None:
+                    assert left[j] == (sum(key in k for k in keys) > 1) and not earlier[j]
+                else:
+                    alike = [o for o in range(3) if ((keys[o] == key) & (more[o] == more[i][j])).any()]
+                    several = len({m for o in range(3) for k, m in zip(keys[o], more[o]) if k == key}) > 1
+                    assert earlier[j] == (min(alike) < i) and left[j] == (not earlier[j] and several)
+
+
 def test_gates_keep_all_shared_strings(spark):
     text, other = "".join(random.Random(1).choices("abcdefgh", k=400)), "".join(random.Random(2).choices("abcdefgh", k=400))
     for length in (24, 120):

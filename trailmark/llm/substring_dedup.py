@@ -11,9 +11,10 @@ other phrases too: their suffixes of ``length`` bytes are brought together acros
 earlier document has go as well. Ranges of neighbouring strings are tried before single ones: the bytes that all strings of a
 range have must stand in two documents. Order beyond equal or not is never needed, so no full suffix array is kept.
 
-Whole copies of an earlier text are set apart first. Triggers, phrases and ranges that only one document has are left out by
-bitmaps of bounded size; a bit set by chance costs time only. What a batch has for a bitmap goes as raw bytes to buckets of
-equal hashes. For the search only the phrases that stay open are written, and only texts that may be copies are shuffled.
+Whole copies of an earlier text are set apart first. The other texts are gathered in chunks, and every step is a round of
+question and answer: a chunk sends its distinct keys to buckets of equal hashes, a bucket sends back a bit or two for each key, in
+the order they came, and the chunk keeps the stretches of its texts whose strings are still searched for. The answers are exact
+whatever the size of the corpus, a chunk shrinks from round to round, and nothing but bitmaps of documents goes through the driver.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,12 @@ LENGTH = 50
 GRAM = 16
 BITMAP_BITS = 27  # 16 MB at most, whatever the corpus is
 _SPARSE = 8  # a bitmap is as small as leaves one bit in 2 ** 8 set
+_CHUNK = 1 << 21  # bytes of texts in a chunk, if no text is longer
 _PIECE = 1 << 16  # bytes parsed at a time, if the strings are not very long; the arrays stay in a core's cache
-_BUCKET_BITS = 9
+_KEY_BITS = 40
+_BUCKET_BITS = 6  # at least
+_BUCKET = 1 << 25  # bytes of texts for each bucket
+_LARGE = 1 << 26  # bytes of texts whose shuffles are not kept between rounds
 _GATES = (4, 12)  # ranges that the strings of a phrase are tried in, before each is tried alone
 
 _ORDER = ["own_id", "text_hash"]
@@ -82,12 +88,9 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[bytes, list[tuple
         yield b"".join(joined), parts
 
 
-def phrases(texts: list[bytes], length: int = LENGTH, shared: np.ndarray | None = None) -> Iterator[tuple]:
+def phrases(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple]:
     """``(data, row, start, count, offset in data, trigger hash, trigger offset in data)`` as arrays: each phrase covers ``count``
-    strings from ``start``.
-
-    With a bitmap ``shared``, only phrases whose trigger is set in it.
-    """
+    strings from ``start``."""
     for data, parts in _pieces(texts, length):
         hashes, trigger = _triggers(data, length)
         row, offset, size = (np.array(x, np.int64) for x in zip(*parts))
@@ -100,9 +103,6 @@ def phrases(texts: list[bytes], length: int = LENGTH, shared: np.ndarray | None
         at, counts = turns[real], counts[real]
         mark = trigger[at]
         key = hashes[mark]
-        if shared is not None:
-            kept = _are_set(shared, key)
-            at, counts, key, mark = at[kept], counts[kept], key[kept], mark[kept]
         yield data, row[part[at]], offset[part[at]] + at - (ends - size)[part[at]], counts, at, key.view(np.int64), mark
 
 
@@ -165,21 +165,6 @@ def _once(texts: DataFrame, broadcast) -> DataFrame:
     return flagged.where(~F.col("again")).unionByName(flagged.where("again").dropDuplicates(_ORDER)).drop("again")
 
 
-def _deal(by: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
-    """Columns as raw bytes, one row for each ``bucket``: the leading bits of ``by``, which is in order."""
-    bucket = (by >> np.uint64(64 - _BUCKET_BITS)).astype(np.int32)
-    turns = np.flatnonzero(np.diff(bucket, prepend=-1))
-    arrays = [pa.array(bucket[turns])]
-    for column in columns.values():
-        ends = np.append(turns, len(column)) * column[:1].nbytes
-        arrays.append(pa.Array.from_buffers(pa.binary(), len(turns), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(column))]))
-    return pa.record_batch(arrays, names=["bucket", *columns])
-
-
-def _gathered(table: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table[name].to_pylist()), kind)
-
-
 def _new(*columns: np.ndarray) -> np.ndarray:
     """Where sorted columns differ from the row before."""
     changed = np.zeros(len(columns[0]), bool)
@@ -189,46 +174,6 @@ def _new(*columns: np.ndarray) -> np.ndarray:
     return changed
 
 
-def _ends(*columns: np.ndarray) -> list[np.ndarray]:
-    """The columns in order; of the rows alike in all but the last column, those of its smallest and largest value."""
-    order = np.lexsort(columns[::-1])
-    columns = [column[order] for column in columns]
-    first = _new(*columns[:-1])
-    least = columns[-1][first][np.cumsum(first) - 1]
-    kept = first | np.append(first[1:], True)[: len(first)] & (columns[-1] != least)
-    return [column[kept] for column in columns]
-
-
-def _keys_dealt(keys: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
-    """The leading 40 bits of the keys of a batch by bucket: once, or twice if they are of rows of two ids."""
-    keys, owner = _ends(keys.view(np.uint64) >> np.uint64(24), owner)
-    again = np.append(False, keys[1:] == keys[:-1])[: len(keys)]
-    kept = ~again | np.append(False, owner[1:] != owner[:-1])[: len(keys)]
-    keys = keys[kept] << np.uint64(24)
-    return _deal(keys, keys=keys.view(np.uint8).reshape(-1, 8)[:, 3:])
-
-
-_DEALT = "bucket int, keys binary"
-
-
-def _shared_bitmap(dealt: DataFrame) -> np.ndarray:
-    """A bitmap of the keys that stand more than once in the rows that ``_keys_dealt`` made: those of two ids, and some that two
-    batches have of one id."""
-
-    def words(table: pa.Table) -> pa.Table:
-        raw = _gathered(table, "keys", "u1").reshape(-1, 5)
-        keys = np.zeros((len(raw), 8), np.uint8)
-        keys[:, 3:] = raw
-        keys = np.sort(keys.reshape(-1).view("<u8"))
-        slot = keys[1:][keys[1:] == keys[:-1]] >> np.uint64(64 - BITMAP_BITS)
-        turns = np.flatnonzero(_new(slot >> np.uint64(6)))
-        bits = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), turns) if len(turns) else slot
-        return pa.table({"word": (slot[turns] >> np.uint64(6)).astype(np.int64), "bits": bits.view(np.int64)})
-
-    found = dealt.groupBy("bucket").applyInArrow(words, "word long, bits long").toArrow()
-    return _packed_bits(found["word"].to_numpy(), found["bits"].to_numpy().view(np.uint64))
-
-
 def _hash(data: bytes, starts: np.ndarray, size: int, seed: int) -> np.ndarray:
     """64 bits by the ``size`` bytes at each of ``starts``."""
     words = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
@@ -257,58 +202,277 @@ def _mixed(*values: np.ndarray) -> np.ndarray:
     return found
 
 
-class _Open:
-    """Phrases of a batch of rows, with the strings of each that other documents may have, by how far they begin before the trigger."""
+def _merge(row: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of strings in order, those that follow each other in a row as one."""
+    turns = np.ones(len(row), bool)
+    turns[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + count[:-1])
+    first = np.flatnonzero(turns)
+    return row[first], start[first], np.add.reduceat(count, first) if len(first) else count
 
-    def __init__(self, batch: pa.RecordBatch, length: int):
-        start, count, self.mark = (batch.column(name).flatten().to_numpy() for name in ("start", "count", "mark"))
-        self.length, self.width, self.data = length, length - GRAM + 1, b"".join(batch.column("bytes").to_pylist()) + bytes(8)
-        self.row = np.repeat(np.arange(batch.num_rows), batch.column("start").value_lengths().to_numpy())
-        sizes = count.astype(np.int64) + length - 1
-        self.at = np.cumsum(sizes) - sizes  # the phrase's place in the data
-        self.trigger, self.base = self.at + self.mark, start + self.mark
-        before = np.arange(self.width)
-        self.alive = (before > (self.mark - count)[:, None]) & (before <= self.mark[:, None])
 
-    def cores(self, parts: int) -> Iterator[tuple[np.ndarray, int, int, np.ndarray]]:
-        """For each of ``parts`` ranges: phrases with such strings, the range, and a hash of the bytes that all strings of it have."""
-        edges = sorted({self.width * i // parts for i in range(parts + 1)})
-        for low, high in zip(edges, edges[1:]):
-            some = np.flatnonzero(self.alive[:, low:high].any(axis=1))
-            yield some, low, high, _hash(self.data, self.trigger[some] - low, self.length - (high - low - 1), 64 * parts + 2 * low + 1)
+class _Chunk:
+    """Stretches of texts that hold the strings still searched for, and the ``(text, start, size)`` that the texts lose so far."""
 
-    def gate(self, parts: int, bitmap: np.ndarray) -> None:
-        """Strings go whose core no other document has."""
-        for some, low, high, key in self.cores(parts):
-            self.alive[some[~_are_set(bitmap, key)], low:high] = False
+    SCHEMA = "chunk long, octets long, own_id binary, text_hash binary, text binary, start binary, size binary, data binary, lost binary"
+    KINDS = {"own_id": "<i8", "text_hash": "<i8", "text": "<i4", "start": "<i4", "size": "<i4", "lost": "<i8"}
 
-    def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Row, start, and a hash of 64 and one of 32 bits, of each string."""
-        phrase, before = np.nonzero(self.alive)
-        starts = self.trigger[phrase] - before
-        both = _hash(self.data, starts, self.length, 1), _hash(self.data, starts, self.length, 2) >> np.uint64(32)
-        return self.row[phrase], self.base[phrase] - before, *both
+    def __init__(self, chunk: int, data: bytes, **columns: np.ndarray):
+        self.chunk, self.data, self.columns = chunk, data, columns
+        self.own_id, self.text, self.start, self.size = (columns[name] for name in ("own_id", "text", "start", "size"))
 
+    @classmethod
+    def read(cls, table: pa.Table | pa.RecordBatch) -> _Chunk:
+        """From the only row of ``table``."""
+        columns = {name: np.frombuffer(table[name][0].as_buffer(), kind) for name, kind in cls.KINDS.items()}
+        octets = table["octets"][0].as_py()
+        data = pa.decompress(table["data"][0].as_buffer(), octets, "zstd", asbytes=True) if octets else b""
+        return cls(table["chunk"][0].as_py(), data, **columns)
+
+    def written(self) -> pa.RecordBatch:
+        packed = pa.compress(self.data, "zstd", asbytes=True) if self.data else b""
+        raw = {name: np.ascontiguousarray(self.columns[name].astype(kind)).tobytes() for name, kind in self.KINDS.items()}
+        values = {"chunk": self.chunk, "octets": len(self.data), **raw, "data": packed}
+        names = [field.split()[0] for field in self.SCHEMA.split(", ")]
+        return pa.record_batch([pa.array([values[n]], pa.int64() if n in ("chunk", "octets") else pa.binary()) for n in names], names=names)
 
-def _lists(row: np.ndarray, rows: int, *columns: np.ndarray) -> list[pa.Array]:
-    """A list for each row."""
-    ends = np.append(0, np.bincount(row, minlength=rows).cumsum()).astype(np.int32)
-    return [pa.ListArray.from_arrays(pa.array(ends), pa.array(column)) for column in columns]
+    def stretches(self) -> list[bytes]:
+        ends = np.cumsum(self.size, dtype=np.int64)
+        return [self.data[a:b] for a, b in zip((ends - self.size).tolist(), ends.tolist())]
 
+    def narrowed(self, length: int, row: np.ndarray, start: np.ndarray, count: np.ndarray, kept: np.ndarray, gone: np.ndarray) -> _Chunk:
+        """With the runs of ``count`` strings that are ``kept``; those that are ``gone`` are lost."""
+        old, columns = self.stretches(), dict(self.columns)
+        at, first, n = _merge(row[gone], start[gone], count[gone])
+        columns["lost"] = np.concatenate([columns["lost"], np.stack([self.text[at], self.start[at] + first, n + length - 1], 1).ravel().astype("<i8")])
+        at, first, n = _merge(row[kept], start[kept], count[kept])
+        columns |= {"text": self.text[at], "start": self.start[at] + first, "size": n + length - 1}
+        data = b"".join([old[r][a : a + z] for r, a, z in zip(at.tolist(), first.tolist(), columns["size"].tolist())])
+        return _Chunk(self.chunk, data, **columns)
 
-_PARSE = (
-    "own_id long, text_hash long, start array<long>, count array<int>, mark array<int>, bytes binary, "
-    "place array<long>, size array<int>, phrase array<long>, trigger array<long>"
-)
+    def losses(self) -> pa.RecordBatch:
+        """A row for each text that loses something."""
+        text, start, size = self.columns["lost"].reshape(-1, 3).T
+        order = np.argsort(text, kind="stable")
+        first = np.flatnonzero(_new(text[order]))
+        pairs = pa.StructArray.from_arrays([pa.array(start[order]), pa.array(size[order])], names=["start", "size"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(text)).astype(np.int32)), pairs)
+        own = [pa.array(self.columns[name][text[order][first]]) for name in _ORDER]
+        return pa.record_batch([*own, lists], names=[*_ORDER, "lost"])
+
+
+def _chunks(texts: DataFrame, length: int) -> DataFrame:
+    """Texts of at least ``length`` bytes, ``_CHUNK`` bytes a row."""
+
+    def chunk(number: int, rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        own_id, text_hash, found = zip(*rows)
+        size = np.array([len(text) for text in found])
+        columns = {"own_id": np.array(own_id, np.int64), "text_hash": np.array(text_hash, np.int64), "text": np.arange(len(rows)), "size": size}
+        return _Chunk(number, b"".join(found), **columns, start=np.zeros(len(rows), np.int64), lost=np.zeros(0, np.int64)).written()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, rows, octets = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            for row in zip(batch["own_id"].to_pylist(), batch["text_hash"].to_pylist(), batch["text"].cast(pa.binary())):
+                text = row[2].as_py()
+                if len(text) < length:
+                    continue
+                if rows and octets + len(text) > _CHUNK:
+                    yield chunk(number, rows)
+                    number, rows, octets = number + 1, [], 0
+                rows.append((row[0], row[1], text))
+                octets += len(text)
+        if rows:
+            yield chunk(number, rows)
+
+    return texts.mapInArrow(run, _Chunk.SCHEMA)
+
+
+# What is asked about a chunk: the row, start and count of runs of strings, a key of 40 bits for each, and what else makes two alike
+# if an earlier document is searched for (64 bits), not just another one.
+
+
+def _joined(found: list[tuple], kinds: tuple) -> tuple[np.ndarray, ...]:
+    return tuple(np.concatenate([np.zeros(0, kind), *columns]) for kind, columns in zip(kinds, zip(*found) if found else [()] * len(kinds)))
+
+
+def _short(*values: np.ndarray) -> np.ndarray:
+    return _mixed(*values) >> np.uint64(64 - _KEY_BITS)
+
+
+_RUNS = (np.int64, np.int64, np.int64)
+
+
+def _by_trigger(chunk: _Chunk, length: int) -> tuple:
+    return *_joined([(row, start, count, _short(key)) for _, row, start, count, _, key, _ in phrases(chunk.stretches(), length)], (*_RUNS, np.uint64)), None
+
+
+def _by_phrase(chunk: _Chunk, length: int) -> tuple:
+    found = [(row, start, count, _short(key), _phrase_hash(data, at, count, length)) for data, row, start, count, at, key, _ in phrases(chunk.stretches(), length)]
+    return _joined(found, (*_RUNS, np.uint64, np.uint64))
+
+
+def _by_range(parts: int) -> Callable[[_Chunk, int], tuple]:
+    """The strings of a phrase in ``parts`` ranges, by how far they begin before the trigger, and the bytes that all of a range have."""
+
+    def asked(chunk: _Chunk, length: int) -> tuple:
+        width, found = length - GRAM + 1, []
+        edges = sorted({width * i // parts for i in range(parts + 1)})
+        for data, row, start, count, at, _, mark in phrases(chunk.stretches(), length):
+            before, runs = mark - at, []
+            for low, high in zip(edges[-2::-1], edges[:0:-1]):
+                begin, end = np.maximum(before - high + 1, 0), np.minimum(before - low + 1, count)
+                some = np.flatnonzero(begin < end)
+                core = _hash(data, mark[some] - low, length - (high - low - 1), 64 * parts + 2 * low + 1)
+                runs.append((some, row[some], start[some] + begin[some], (end - begin)[some], _short(core)))
+            phrase, *columns = _joined(runs, (np.int64, *_RUNS, np.uint64))
+            order = np.argsort(phrase, kind="stable")
+            found.append(tuple(column[order] for column in columns))
+        return *_joined(found, (*_RUNS, np.uint64)), None
+
+    return asked
+
+
+def _by_string(chunk: _Chunk, length: int) -> tuple:
+    counts, ends = chunk.size.astype(np.int64) - length + 1, np.cumsum(chunk.size, dtype=np.int64)
+    row = np.repeat(np.arange(len(counts)), counts)
+    start = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    both = (_hash(chunk.data + bytes(8), (ends - chunk.size)[row] + start, length, seed) for seed in (1, 2))
+    return row, start, np.ones(len(row), np.int64), _short(next(both)), next(both)
+
+
+class _Asked:
+    """The distinct keys of a chunk, in order, with the smallest id that has them."""
+
+    def __init__(self, chunk: _Chunk, asked: Callable[[_Chunk, int], tuple], length: int):
+        self.row, self.start, self.count, key, more = asked(chunk, length)
+        self.owner, self.exact = chunk.own_id[chunk.text[self.row]], more is not None
+        if self.exact:
+            order = np.lexsort((self.owner, more, key))
+            first = _new(key[order], more[order])
+            self.more = more[order][first]
+        else:  # keys and ranks of the ids in one word are sorted faster
+            ids, rank = np.unique(chunk.own_id, return_inverse=True)
+            rank = rank[chunk.text[self.row]].astype(np.uint64)
+            if len(ids) < 1 << 64 - _KEY_BITS:
+                order = np.argsort(key << np.uint64(64 - _KEY_BITS) | rank)
+            else:
+                order = np.lexsort((rank, key))
+            first = _new(key[order])
+        self.key, owner = key[order][first], self.owner[order]
+        turns = np.flatnonzero(first)
+        self.least, self.most = owner[turns], owner[np.append(turns[1:], len(owner))[: len(turns)] - 1]
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.cumsum(first) - 1
+
+    def buckets(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets that are asked, and where the keys of each end."""
+        bucket = (self.key >> np.uint64(_KEY_BITS - bits)).astype(np.int32)
+        ends = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)[: len(bucket)]) + 1
+        return bucket[ends - 1], ends
+
+    def dealt(self, chunk: int, bits: int) -> pa.RecordBatch:
+        """Columns as raw bytes, one row for each bucket."""
+        bucket, ends = self.buckets(bits)
+
+        def raw(column: np.ndarray, size: int) -> pa.Array:
+            return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer((np.append(0, ends) * size).astype(np.int32)), pa.py_buffer(column.tobytes())])
+
+        columns = {"bucket": pa.array(bucket), "chunk": pa.array(np.full(len(bucket), chunk, np.int64)), "keys": raw(self.key.view(np.uint8).reshape(-1, 8)[:, :5], 5)}
+        if self.exact:  # ids as what they are above the smallest, in as few bytes as that takes
+            base = self.least.min(initial=2**63 - 1)
+            above = self.least.view(np.uint64) - base.view(np.uint64)
+            size = next(n for n in (1, 2, 4, 8) if int(above.max(initial=0)) < 1 << 8 * n)
+            columns |= {"more": raw(self.more, 8), "base": pa.array(np.full(len(bucket), base, np.int64)), "above": raw(above.astype(f"<u{size}"), size)}
+        return pa.record_batch(list(columns.values()), names=list(columns))
+
+    def answered(self, answers: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which runs are still searched for, and which stand in an earlier document."""
+        bucket, ends = self.buckets(bits)
+        answers = answers.sort_by("bucket")
+        per_key = 1 + self.exact
+        sizes = np.diff(ends, prepend=0) * per_key
+        if not np.array_equal(answers["bucket"].to_numpy(), bucket) or [len(x) for x in answers["bits"].to_pylist()] != ((sizes + 7) // 8).tolist():
+            raise RuntimeError("answers of other keys than were asked for")
+        bit = np.unpackbits(np.frombuffer(b"".join(answers["bits"].to_pylist()), np.uint8))[_aligned(sizes)].astype(bool)
+        if not self.exact:
+            return (bit | (self.least < self.most))[self.place], np.zeros(len(self.place), bool)
+        earlier = bit[::2][self.place] | (self.owner > self.least[self.place])
+        return ~earlier & bit[1::2][self.place], earlier
+
+
+_DEALT = ("bucket int, chunk long, keys binary", "bucket int, chunk long, keys binary, more binary, base long, above binary")
+
+
+def _aligned(sizes: np.ndarray) -> np.ndarray:
+    """Places of so many bits in a row each, if every row begins with a byte."""
+    whole = (sizes + 7) // 8 * 8
+    return np.arange(sizes.sum()) + np.repeat(np.cumsum(whole) - whole - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _judged(table: pa.Table) -> pa.Table:
+    """For the keys of a bucket, whether they stand more than once; or whether an earlier id has the same key and ``more``, and
+    whether the key has another ``more``. Of one id in two chunks, a key counts twice."""
+    raw = table["keys"].to_pylist()
+    sizes = np.array([len(keys) // 5 for keys in raw])
+    keys = np.zeros((sizes.sum(), 8), np.uint8)
+    keys[:, :5] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 5)
+    keys = keys.reshape(-1).view("<u8")
+    if "more" in table.column_names:
+        more = np.frombuffer(b"".join(table["more"].to_pylist()), "<u8")
+        parts = zip(table["above"].to_pylist(), sizes.tolist(), table["base"].to_pylist())
+        owner = np.concatenate([np.frombuffer(above, f"<u{len(above) // n}").astype(np.uint64) + np.uint64(base % 2**64) for above, n, base in parts]).view(np.int64)
+        order = np.lexsort((owner, more, keys))
+        key, owner = keys[order], owner[order]
+        other, first = _new(key), _new(key, more[order])
+        alike = np.cumsum(other) - 1
+        bits = np.zeros((len(keys), 2), bool)
+        bits[order, 0] = owner > owner[first][np.cumsum(first) - 1]
+        bits[order, 1] = np.bincount(alike, first)[alike] > 1
+    else:
+        order = np.argsort(keys)
+        again = keys[order][1:] == keys[order][:-1]
+        bits = np.zeros((len(keys), 1), bool)
+        bits[order, 0] = np.append(again, False) | np.append(False, again)
+    sizes = sizes * bits.shape[1]
+    ends = np.cumsum((sizes + 7) // 8)
+    packed = np.zeros(8 * ends[-1], bool)
+    packed[_aligned(sizes)] = bits.reshape(-1)
+    offsets = np.append(0, ends).astype(np.int32)
+    bits = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.packbits(packed))])
+    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "bits": bits})
+
+
+def _round(chunks: DataFrame, asked: Callable[[_Chunk, int], tuple], length: int, exact: bool, octets: int) -> DataFrame:
+    """Chunks with what is left after all buckets have answered; ``chunks``, of texts of so many bytes, is discarded."""
+    bits = max(_BUCKET_BITS, (octets // _BUCKET).bit_length())
+
+    def ask(batch: pa.RecordBatch) -> pa.RecordBatch:
+        chunk = _Chunk.read(batch)
+        return _Asked(chunk, asked, length).dealt(chunk.chunk, bits)
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        chunk = _Chunk.read(left)
+        found = _Asked(chunk, asked, length)
+        return pa.Table.from_batches([chunk.narrowed(length, found.row, found.start, found.count, *found.answered(right, bits)).written()])
+
+    dealt = map_batches(chunks, ask, _DEALT[exact], 1)
+    answers = materialize(dealt.groupBy("bucket").applyInArrow(_judged, "chunk long, bucket int, bits binary"), "answers")
+    if octets > _LARGE:
+        let_go()
+    left = materialize(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(answer, _Chunk.SCHEMA), "chunks")
+    discard(chunks, answers)
+    if octets > _LARGE:
+        let_go()
+    return left
 
 
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``own_id, text_hash, start, size``: stretches to remove; together they cover exactly the repeated strings. They overlap."""
-    return _spans(docs, length)[0]
+    return _spans(docs, length)[0].select(*_ORDER, F.inline("lost"))
 
 
 def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, Callable[[], None]]:
-    """The rows of ``spans``, and what lets go of all that they are made of."""
+    """The rows of ``spans`` as a list for each text, and what lets go of all that they are made of."""
     context, held = docs.sparkSession.sparkContext, []
 
     def broadcast(bitmap: np.ndarray):
@@ -332,124 +496,22 @@ def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, Callable[[], None]]
     maybe = _has(broadcast(_bitmap(copies.select(named.alias("key")), "key")), named)
     flagged = texts.withColumn("maybe", maybe)
     texts = flagged.where(~F.col("maybe")).unionByName(flagged.where("maybe").join(copies, _ORDER, "left_anti")).drop("maybe")
-    texts = _once(texts, broadcast).select(*_ORDER, "text")
-
-    def triggers(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner = np.asarray(batch.column("own_id"))
-        found = [(key, owner[row]) for _, row, _, _, _, key, _ in phrases(_bytes(batch), length)]
-        return _keys_dealt(*(np.concatenate([np.zeros(0, np.int64), *(x[i] for x in found)]) for i in range(2)))
-
-    # only leading bits of a key go into the bitmap, so only these are counted
-    shared = broadcast(_shared_bitmap(map_batches(texts, triggers, _DEALT)))
-    let_go()
-
-    # the dictionary: phrases of two documents, and first occurrences whose trigger has other phrases
-    def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, columns = np.asarray(batch.column("own_id")), [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]]
-        for data, row, _, count, at, key, _ in phrases(_bytes(batch), length, shared.value):
-            for column, value in zip(columns, (key.view(np.uint64), _phrase_hash(data, at, count, length), owner[row])):
-                column.append(value)
-        trigger, phrase, owners = _ends(*map(np.concatenate, columns))
-        return _deal(trigger, trigger=trigger, phrase=phrase, owner=owners)
-
-    def dictionary(table: pa.Table) -> pa.Table:
-        columns = [_gathered(table, name, kind) for name, kind in (("trigger", "<u8"), ("phrase", "<u8"), ("owner", "<i8"))]
-        trigger, phrase, owner = _ends(*columns)
-        first = np.flatnonzero(_new(trigger, phrase))
-        high = owner[np.append(first[1:], len(owner))[: len(first)] - 1]
-        trigger, phrase, owner = trigger[first], phrase[first], owner[first]
-        other = _new(trigger)
-        several = ~(other & np.append(other[1:], True)[: len(other)])
-        keys = _mixed(trigger, phrase)[owner < high], _mixed(trigger, phrase, owner)[several]
-        return pa.table({"open": np.repeat([False, True], [len(k) for k in keys]), "key": np.concatenate(keys).view(np.int64)})
-
-    dealt = map_batches(texts, parse, "bucket int, trigger binary, phrase binary, owner binary")
-    known = materialize(dealt.groupBy("bucket").applyInArrow(dictionary, "open boolean, key long"), "dictionary")
-    twice, opened = (broadcast(_bitmap(known.where(F.col("open") == which), "key")) for which in (False, True))
-    discard(known)
-    let_go()
-
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
-            owner, hashes = np.asarray(batch.column("own_id")), np.asarray(batch.column("text_hash"))
-            for data, row, start, count, at, key, mark in phrases(_bytes(batch), length, shared.value):
-                phrase = _phrase_hash(data, at, count, length)
-                two = _are_set(twice.value, _mixed(key, phrase))
-                some = _are_set(opened.value, _mixed(key, phrase, owner[row]))
-                rows, at_row = np.unique(row[two | some], return_inverse=True)
-                place = np.zeros(len(row), np.int64)
-                place[two | some] = at_row
-                sizes = count + (length - 1)
-                in_bytes = np.bincount(place[some], sizes[some], minlength=len(rows)).cumsum()
-                texts_of = b"".join([data[a : a + n] for a, n in zip(at[some].tolist(), sizes[some].tolist())])
-                offsets = np.append(0, in_bytes).astype(np.int32)
-                arrays = [
-                    *(pa.array(owner[rows]), pa.array(hashes[rows])),
-                    *_lists(place[some], len(rows), start[some], count[some].astype(np.int32), (mark - at)[some].astype(np.int32)),
-                    pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(texts_of)]),
-                    *_lists(place[two], len(rows), start[two], sizes[two].astype(np.int32), phrase[two].view(np.int64), key[two]),
-                ]
-                yield pa.record_batch(arrays, names=[field.split()[0] for field in _PARSE.split(", ")])
-
-    parsed = materialize(texts.mapInArrow(occurrences, _PARSE), "parse")
+    chunks = materialize(_chunks(_once(texts, broadcast).select(*_ORDER, "text"), length), "chunks")
     free()
 
-    # first occurrences whose trigger has other phrases: string by string, if other documents have what neighbouring strings share
-    gates: list[tuple[int, object]] = []
-
-    def still_open(batch: pa.RecordBatch) -> _Open:
-        found = _Open(batch, length)
-        for parts, bitmap in gates:
-            found.gate(parts, bitmap.value)
-        return found
+    octets = chunks.agg(F.sum("octets")).first()[0] or 0
 
+    # triggers of two documents; the dictionary: phrases of an earlier document go, first ones whose trigger has others stay open
+    chunks = _round(chunks, _by_trigger, length, False, octets)
+    chunks = _round(chunks, _by_phrase, length, True, octets)
+    # string by string, if other documents have what neighbouring strings share
     for parts in _GATES:
+        chunks = _round(chunks, _by_range(parts), length, False, octets)
+    chunks = _round(chunks, _by_string, length, True, octets)
 
-        def cores(batch: pa.RecordBatch, parts: int = parts) -> pa.RecordBatch:
-            owner, found = np.asarray(batch.column("own_id")), still_open(batch)
-            keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for some, _, _, key in found.cores(parts):
-                keys.append(key)
-                owners.append(owner[found.row[some]])
-            return _keys_dealt(np.concatenate(keys), np.concatenate(owners))
-
-        bitmap = broadcast(_shared_bitmap(map_batches(parsed.select("own_id", "start", "count", "mark", "bytes"), cores, _DEALT, 128)))
-        gates.append((parts, bitmap))
-        let_go()
-
-    def found_in(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        """Row, start, size, and both hashes of phrases and strings that are to be compared."""
-        row, start, h1, h2 = still_open(batch).strings()
-        place, size, phrase, trigger = (batch.column(name).flatten().to_numpy() for name in ("place", "size", "phrase", "trigger"))
-        rows = np.repeat(np.arange(batch.num_rows), batch.column("place").value_lengths().to_numpy())
-        parts = (row, rows), (start, place), (np.full(len(row), length, np.int32), size), (h1, phrase.view(np.uint64)), (h2, trigger.view(np.uint64) >> np.uint64(32))
-        return tuple(np.concatenate(x) for x in parts)
-
-    def compared(batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, _, _, h1, h2 = found_in(batch)
-        h1, h2, owner = _ends(h1, h2.astype(np.uint32), np.asarray(batch.column("own_id"))[row])
-        return _deal(h1, h1=h1, h2=h2, owner=owner)
-
-    def earliest(table: pa.Table) -> pa.Table:
-        h1, h2, owner = _ends(*(_gathered(table, name, kind) for name, kind in (("h1", "<u8"), ("h2", "<u4"), ("owner", "<i8"))))
-        first = np.flatnonzero(_new(h1, h2))
-        high = owner[np.append(first[1:], len(owner))[: len(first)] - 1]
-        first = first[owner[first] < high]
-        return pa.table({"h1": h1[first].view(np.int64), "h2": h2[first].view(np.int32), "first": owner[first]})
-
-    def places(batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, start, size, h1, h2 = found_in(batch)
-        own = (np.asarray(batch.column(name))[row] for name in _ORDER)
-        values = (h1.view(np.int64), h2.astype(np.uint32).view(np.int32), *own, start, size)
-        return pa.record_batch([pa.array(v) for v in values], names=["h1", "h2", *_ORDER, "start", "size"])
-
-    dealt = map_batches(parsed, compared, "bucket int, h1 binary, h2 binary, owner binary", 128)
-    earlier = materialize(dealt.groupBy("bucket").applyInArrow(earliest, "h1 long, h2 int, first long"), "earlier")
-    let_go()
-    strings = map_batches(parsed, places, "h1 long, h2 int, own_id long, text_hash long, start long, size int", 128)
-    later = strings.join(earlier, ["h1", "h2"]).where("own_id > first").select(*_ORDER, "start", F.col("size").cast("long").alias("size"))
-    found = copies.where(F.col("size") >= length).select(*_ORDER, F.lit(0).cast("long").alias("start"), "size").unionByName(later)
-    return found, lambda: free(copies, parsed, earlier)
+    losses = map_batches(chunks, lambda batch: _Chunk.read(batch).losses(), "own_id long, text_hash long, lost array<struct<start:long,size:long>>", 1)
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), "size")).alias("lost")
+    return copies.where(F.col("size") >= length).select(*_ORDER, whole).unionByName(losses), lambda: free(copies, chunks)
 
 
 def _is_set(bits: np.ndarray, key: int) -> bool:
@@ -502,7 +564,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"strings of at least {GRAM + 8} bytes")
     texts = _texts(docs)
     found, free = _spans(docs, length)
-    lost = materialize(found.groupBy(*_ORDER).agg(F.collect_list(F.struct("start", "size")).alias("lost")), "spans")
+    lost = materialize(found, "spans")
     free()
     named = F.xxhash64(*_ORDER)
     concerned = docs.sparkSession.sparkContext.broadcast(_bitmap(lost.select(named.alias("key")), "key"))
